@@ -62,3 +62,110 @@ def web_articles_from_pages(spark, d):
         TB.page_texts(spark, d), TB.page_resources(spark, d), empty_articles,
         schemas.empty(spark, "feed_items"), schemas.empty(spark, "gdelt_events"),
         langs=ARTICLE_LANGS, profiles=_profiles(spark, d))
+
+
+# ------------------------------------------------------------------ scans and filters
+
+@register("live_enabled_feeds", with_tables("feeds") + """
+SELECT id, url FROM feeds WHERE enabled AND deleted_at IS NULL""")
+def live_enabled_feeds(spark, d):
+    """S-5 + F-1: live (not soft-deleted) enabled sources."""
+    return TB.feeds(spark, d).where("enabled AND deleted_at IS NULL").select("id", "url")
+
+
+@register("lookup_feed_items", with_tables("incoming_feed_items") + """
+SELECT item_seq, url, title FROM incoming_feed_items WHERE item_seq IN (SELECT doc_id FROM labels)""")
+def lookup_feed_items(spark, d):
+    """S-6: set-at-a-time point lookup, a semi join with the batch of ids."""
+    ids = TB.raw(spark, d, "labels").select(F.col("doc_id").alias("item_seq"))
+    return (TB.incoming_feed_items(spark, d).join(ids, "item_seq", "left_semi")
+            .select("item_seq", "url", "title"))
+
+
+@register("feed_items_recent_allowed", with_tables("incoming_feed_items") + """
+SELECT item_seq, language, published_at FROM incoming_feed_items
+WHERE NOT coalesce(published_at < TIMESTAMP '2024-01-10 00:00:00', FALSE) AND coalesce(language IN ('en', 'de'), FALSE)""")
+def feed_items_recent_allowed(spark, d):
+    """F-2 (NULL date kept, strict <) + F-3 (allow-list)."""
+    import datetime as dt
+    from newsflow.functions.text import language_allowed, not_older_than
+    fi = TB.incoming_feed_items(spark, d)
+    return (fi.where(not_older_than("published_at", dt.datetime(2024, 1, 10)) & language_allowed("language", ["en", "de"]))
+            .select("item_seq", "language", "published_at"))
+
+
+@register("feed_items_empty_allow_list", with_tables("incoming_feed_items") + """
+SELECT item_seq FROM incoming_feed_items WHERE FALSE""")
+def feed_items_empty_allow_list(spark, d):
+    """F-3: an empty language list allows nothing."""
+    from newsflow.functions.text import language_allowed
+    return TB.incoming_feed_items(spark, d).where(language_allowed("language", [])).select("item_seq")
+
+
+@register("feed_item_outcomes", with_tables("incoming_feed_items", "stored_resources", "stored_feed_items", extra=[
+    ("pre", """SELECT *, CASE WHEN coalesce(published_at < TIMESTAMP '2024-01-05 00:00:00', FALSE)
+                    OR language IS NULL OR NOT coalesce(language IN ('en', 'fr', 'de'), FALSE)
+                    OR NOT """ + S.has_text("url") + """ THEN 'skip' END AS pre FROM incoming_feed_items"""),
+    ("firsts", "SELECT item_seq FROM (SELECT item_seq, row_number() OVER (PARTITION BY url ORDER BY item_seq) AS rn "
+               "FROM pre WHERE pre IS NULL) WHERE rn = 1"),
+]) + """
+SELECT p.item_seq, p.url, r.id AS resource_id,
+       CASE WHEN p.pre IS NOT NULL OR f.item_seq IS NULL THEN 'skip'
+            WHEN r.id IS NULL THEN 'new'
+            WHEN s.web_resource_id IS NULL THEN 'attach' ELSE 'skip' END AS outcome
+FROM pre p LEFT JOIN firsts f USING (item_seq)
+LEFT JOIN stored_resources r ON r.url = p.url AND p.pre IS NULL AND f.item_seq IS NOT NULL
+LEFT JOIN stored_feed_items s ON s.web_resource_id = r.id""")
+def feed_item_outcomes(spark, d):
+    """P-1 + J-1: new / attach / skip per incoming feed item."""
+    import datetime as dt
+    from newsflow.operators.ingest import normalize_feed_items
+    out = normalize_feed_items(TB.incoming_feed_items(spark, d), TB.stored_resources(spark, d),
+                               TB.stored_feed_items(spark, d), langs=["en", "fr", "de"],
+                               cutoff=dt.datetime(2024, 1, 5))
+    return out.select("item_seq", "url", "resource_id", "outcome")
+
+
+@register("gdelt_event_outcomes", with_tables("incoming_events", "stored_resources", "stored_gdelt_events",
+                                               "country_codes", extra=[
+    ("firsts", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY seq) AS rn "
+               "FROM incoming_events) WHERE rn = 1"),
+    ("ev", """SELECT f.*, c.iso, try_strptime(f.date_added, '%Y%m%d%H%M%S') AS added
+              FROM firsts f LEFT JOIN country_codes c ON c.fips = f.geo_country"""),
+]) + """
+SELECT e.seq, e.source_url, e.global_event_id, e.added AS date_added,
+       CASE e.geo_type WHEN '1' THEN 'COUNTRY' WHEN '2' THEN 'USSTATE' WHEN '3' THEN 'USCITY'
+                       WHEN '4' THEN 'WORLDCITY' WHEN '5' THEN 'WORLDSTATE' END AS location_type,
+       nullif(e.geo_name, '') AS location_name, nullif(e.iso, '') AS country_code,
+       CASE WHEN e.geo_lat IS NOT NULL AND e.geo_long IS NOT NULL THEN e.geo_long END AS coord_x,
+       CASE WHEN e.geo_lat IS NOT NULL AND e.geo_long IS NOT NULL THEN e.geo_lat END AS coord_y,
+       array_to_string(list_sort(list_filter(list_distinct([e.event_code, e.event_base_code, e.event_root_code]),
+                                   lambda x: coalesce(length(x), 0) > 0)), ',') AS categories,
+       r.id AS resource_id,
+       CASE WHEN NOT """ + S.has_text("e.source_url") + """ THEN 'skip'
+            WHEN NOT coalesce(e.event_root_code IN ('04', '14', '19'), FALSE) THEN 'skip'
+            WHEN e.added IS NULL OR NOT (coalesce(e.geo_country, '') = '' OR e.iso IS NOT NULL) THEN 'error'
+            WHEN r.id IS NULL THEN 'new'
+            WHEN g.web_resource_id IS NULL THEN 'attach' ELSE 'skip' END AS outcome
+FROM ev e LEFT JOIN stored_resources r ON r.url = e.source_url
+LEFT JOIN stored_gdelt_events g ON g.web_resource_id = r.id""")
+def gdelt_event_outcomes(spark, d):
+    """W-4 (first per URL, before the code filter) + F-9 + F-5 + P-2 + J-8 + F-19 + J-2."""
+    from newsflow.operators.ingest import normalize_gdelt_events
+    out = normalize_gdelt_events(TB.incoming_events(spark, d), TB.stored_resources(spark, d),
+                                 TB.stored_gdelt_events(spark, d), L.frame(spark, L.COUNTRY_CODES),
+                                 codes=["04", "14", "19"])
+    return out.select("seq", "source_url", "global_event_id", "date_added", "location_type", "location_name",
+                      "country_code", F.col("coordinates.x").alias("coord_x"), F.col("coordinates.y").alias("coord_y"),
+                      F.array_join(F.array_sort("event_categories"), ",").alias("categories"), "resource_id", "outcome")
+
+
+@register("gdelt_all_codes_allowed", with_tables("incoming_events") + """
+SELECT count(*) AS n FROM (SELECT DISTINCT source_url FROM incoming_events WHERE length(source_url) > 0)""")
+def gdelt_all_codes_allowed(spark, d):
+    """F-5: an empty root-code list allows every event (count of first events per URL)."""
+    from newsflow.functions.text import code_allowed
+    from newsflow.operators.common import first_per_key
+    ev = first_per_key(TB.incoming_events(spark, d), ["source_url"], ["seq"])
+    return ev.where(code_allowed("event_root_code", []) & (F.length("source_url") > 0)).agg(
+        F.count(F.lit(1)).alias("n"))
