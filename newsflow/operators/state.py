@@ -41,10 +41,10 @@ def running_counts(df: DataFrame, key: str, seq: str, flags: dict[str, Column],
 def source_health(attempts: DataFrame, max_failures: int | None = None,
                   block_width: int = BLOCK_WIDTH) -> DataFrame:
     """A-3 / A-4: final (source_id, failures_count, last_error, last_retrieved_at, enabled)
-    after replaying an attempt log (source_id, seq, at, failed, error).
+    after replaying an attempt log (source_id, seq, attempted_at, failed, error).
 
     Failure: count + 1, last_error = message, enabled = count <= max.
-    Success: count 0, last_error NULL, last_retrieved_at = at (a failure
+    Success: count 0, last_error NULL, last_retrieved_at = attempted_at (a failure
     leaves it unchanged).  The first attempt that pushes the count past
     ``max_failures`` disables the source; later attempts are ignored (a
     disabled source is not fetched).  ``max_failures=None`` never disables.
@@ -52,7 +52,7 @@ def source_health(attempts: DataFrame, max_failures: int | None = None,
     ok = ~F.col("failed")
     r = running_counts(attempts, "source_id", "seq", {"_g": ok.cast("int")}, block_width)
     island = r.groupBy("source_id", "_g").agg(F.min("_r").alias("_start"),
-                                              F.max(F.when(~F.col("failed"), F.col("at"))).alias("_ok_at"))
+                                              F.max(F.when(~F.col("failed"), F.col("attempted_at"))).alias("_ok_at"))
     r = r.join(island, ["source_id", "_g"])
     # failures since the last success, counting this attempt
     r = r.withColumn("_fails", F.col("_r") - F.col("_start") + F.when(F.col("_g") > 0, 0).otherwise(1))
@@ -63,7 +63,7 @@ def source_health(attempts: DataFrame, max_failures: int | None = None,
         r = r.withColumn("_stop", F.lit(None).cast("long"))
     last = r.groupBy("source_id").agg(
         F.max_by(F.struct("_fails", "failed", "error", "_stop"), "_r").alias("s"),
-        F.max(F.when(~F.col("failed"), F.col("at"))).alias("last_retrieved_at"),
+        F.max(F.when(~F.col("failed"), F.col("attempted_at"))).alias("last_retrieved_at"),
         F.count(F.lit(1)).alias("attempts"))
     return last.select(
         "source_id", F.col("s._fails").cast("int").alias("failures_count"),

@@ -169,3 +169,140 @@ def gdelt_all_codes_allowed(spark, d):
     ev = first_per_key(TB.incoming_events(spark, d), ["source_url"], ["seq"])
     return ev.where(code_allowed("event_root_code", []) & (F.length("source_url") > 0)).agg(
         F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ tweets
+
+@register("tweets_of_sources", with_tables("incoming_tweets", "twitter_sources", extra=[
+    ("src", "SELECT id AS twitter_source_id, type, text AS term FROM twitter_sources WHERE enabled AND deleted_at IS NULL"),
+]) + """
+SELECT s.twitter_source_id, t.upstream_id, 'ok' AS outcome, CAST(NULL AS VARCHAR) AS error
+FROM incoming_tweets t JOIN src s ON s.type = 'user' AND t.username = s.term
+UNION ALL
+SELECT s.twitter_source_id, t.upstream_id, 'ok', NULL
+FROM incoming_tweets t JOIN src s ON s.type = 'search' AND contains(lower(t.text), lower(s.term))
+UNION ALL
+SELECT twitter_source_id, NULL, 'error', 'unexpected source type ' || type FROM src WHERE type NOT IN ('user', 'search')""")
+def tweets_of_sources(spark, d):
+    """S-3: user sources by exact user name, search sources by case-insensitive substring; bad type -> error row."""
+    from newsflow.operators.ingest import tweets_of_sources as op
+    return op(TB.incoming_tweets(spark, d), L.frame(spark, L.TWITTER_SOURCES)).select(
+        "twitter_source_id", "upstream_id", "outcome", "error")
+
+
+@register("tweets_capped", with_tables("incoming_tweets") + """
+SELECT upstream_id, twitter_source_id FROM (
+  SELECT upstream_id, CAST(CAST(upstream_id AS BIGINT) // 100 % 9 AS BIGINT) AS twitter_source_id,
+         row_number() OVER (PARTITION BY CAST(upstream_id AS BIGINT) // 100 % 9
+                            ORDER BY published_at DESC, upstream_id) AS rn
+  FROM incoming_tweets) WHERE rn <= 3""")
+def tweets_capped(spark, d):
+    """W-3: at most N (here 3) newest tweets per source."""
+    from newsflow.operators.ingest import cap_per_source
+    t = TB.incoming_tweets(spark, d).withColumn(
+        "twitter_source_id", (F.floor(F.col("upstream_id").cast("long") / 100) % 9).cast("long"))
+    return cap_per_source(t, 3).select("upstream_id", "twitter_source_id")
+
+
+TWEET_RES_SQL = ("SELECT CAST(dense_rank() OVER (ORDER BY permanent_url) AS BIGINT) AS id, permanent_url AS url "
+                 "FROM incoming_tweets WHERE username = 'system'")
+
+
+@register("tweet_outcomes", with_tables("incoming_tweets", extra=[
+    ("profiles", S.profiles_cte()),
+    ("det", S.detect_cte("incoming_tweets", "upstream_id", "text")),
+    ("res", TWEET_RES_SQL),
+    ("t", """SELECT t.*, d.detected AS language,
+                    CASE WHEN d.detected IS NULL OR NOT coalesce(d.detected IN ('en', 'fr', 'de', 'es'), FALSE)
+                         THEN 'skip' END AS pre
+             FROM incoming_tweets t LEFT JOIN det d USING (upstream_id)"""),
+]) + """
+SELECT t.upstream_id, t.language, r.id AS resource_id,
+       coalesce(t.pre, CASE WHEN r.id IS NULL THEN 'new' ELSE 'attach' END) AS tweet_outcome,
+       coalesce(t.pre, CASE WHEN r.id IS NULL THEN 'new' ELSE 'skip' END) AS article_outcome,
+       t.text AS title, t.photos[1] AS top_image, t.published_at AS publish_date
+FROM t LEFT JOIN res r ON r.url = t.permanent_url""")
+def tweet_outcomes(spark, d):
+    """P-3 + J-3: tweet and article outcomes decided independently; language detected from the text."""
+    from newsflow import schemas
+    from newsflow.operators.ingest import normalize_tweets
+    from pyspark.sql.window import Window
+    tw = TB.incoming_tweets(spark, d)
+    res = tw.where("username = 'system'").select(
+        F.dense_rank().over(Window.orderBy("permanent_url")).cast("long").alias("id"),
+        F.col("permanent_url").alias("url"))
+    arts = res.select(F.col("id").alias("web_resource_id"))
+    out = normalize_tweets(tw, res, schemas.empty(spark, "tweets"), arts,
+                           langs=["en", "fr", "de", "es"], profiles=_profiles(spark, d))
+    return out.select("upstream_id", "language", "resource_id", "tweet_outcome", "article_outcome",
+                      "title", "top_image", "publish_date")
+
+
+# ------------------------------------------------------------------ projections
+
+@register("effective_titles", with_tables("doc_articles") + f"""
+SELECT id, {S.effective_title()} AS title_eff FROM doc_articles WHERE {S.has_text(S.effective_title())}""")
+def effective_titles(spark, d):
+    """P-5 + SC-2 + F-10: trimmed translation if present (even blank) else title; blank leaves the chain."""
+    from newsflow.functions.text import effective_title, has_text
+    a = TB.doc_articles(spark, d)
+    return a.select("id", effective_title().alias("title_eff")).where(has_text("title_eff"))
+
+
+@register("geo_text_choice", with_tables("doc_articles") + f"""
+SELECT id,
+  CASE WHEN language IN ('de', 'es', 'en') AND {S.has_text('title')} THEN {S.go_trim('title')}
+       WHEN translation_language IN ('de', 'es', 'en') AND {S.has_text('translated_title')} THEN {S.go_trim('translated_title')} END AS geo_text,
+  CASE WHEN language IN ('de', 'es', 'en') AND {S.has_text('title')} THEN upper(language)
+       WHEN translation_language IN ('de', 'es', 'en') AND {S.has_text('translated_title')} THEN upper(translation_language) END AS geo_lang
+FROM doc_articles""")
+def geo_text_choice(spark, d):
+    """P-6: original title in a supported language, else the translation, else none."""
+    from newsflow.functions.text import geo_text
+    a = TB.doc_articles(spark, d).select("id", geo_text().alias("g"))
+    return a.select("id", F.col("g.text").alias("geo_text"), F.col("g.lang").alias("geo_lang"))
+
+
+@register("resource_relations", with_tables("incoming_feed_items", "stored_resources", "stored_feed_items",
+                                             "stored_gdelt_events", extra=[
+    ("fi", """SELECT s.web_resource_id, min(f.published_at) AS published_at
+              FROM stored_feed_items s JOIN stored_resources r ON r.id = s.web_resource_id
+              JOIN incoming_feed_items f ON f.url = r.url GROUP BY s.web_resource_id"""),
+    ("ge", """SELECT g.web_resource_id, min(e.ts) AS date_added
+              FROM stored_gdelt_events g JOIN stored_resources r ON r.id = g.web_resource_id
+              JOIN incoming_events e ON e.source_url = r.url GROUP BY g.web_resource_id"""),
+]) + """
+SELECT r.id, r.url, fi.web_resource_id IS NOT NULL AS has_feed_item, ge.web_resource_id IS NOT NULL AS has_gdelt_event,
+       coalesce(fi.published_at, ge.date_added, r.created_at) AS publish_date
+FROM stored_resources r LEFT JOIN fi ON fi.web_resource_id = r.id LEFT JOIN ge ON ge.web_resource_id = r.id""")
+def resource_relations(spark, d):
+    """J-4 + P-7: resource with its feed item and GDELT event; publish date precedence."""
+    r = TB.stored_resources(spark, d)
+    fi = (TB.stored_feed_items(spark, d).join(r.select(F.col("id").alias("web_resource_id"), "url"), "web_resource_id")
+          .join(TB.incoming_feed_items(spark, d).select("url", "published_at"), "url")
+          .groupBy("web_resource_id").agg(F.min("published_at").alias("published_at")))
+    ge = (TB.stored_gdelt_events(spark, d).join(r.select(F.col("id").alias("web_resource_id"), "url"), "web_resource_id")
+          .join(TB.incoming_events(spark, d).select(F.col("source_url").alias("url"), "ts"), "url")
+          .groupBy("web_resource_id").agg(F.min("ts").alias("date_added")))
+    j = (r.join(fi.withColumn("_fi", F.lit(True)), r.id == fi.web_resource_id, "left").drop("web_resource_id")
+         .join(ge.withColumn("_ge", F.lit(True)), r.id == ge.web_resource_id, "left"))
+    return j.select("id", "url", F.col("_fi").isNotNull().alias("has_feed_item"),
+                    F.col("_ge").isNotNull().alias("has_gdelt_event"),
+                    F.coalesce("published_at", "date_added", "created_at").alias("publish_date"))
+
+
+@register("api_feed_rows", with_tables("feeds", "fetch_attempts") + """
+SELECT CAST(f.id AS VARCHAR) AS id, f.url, f.enabled,
+       coalesce(strftime(f.created_at, '%Y-%m-%dT%H:%M:%SZ'), '') AS created_at,
+       coalesce(strftime(f.deleted_at, '%Y-%m-%dT%H:%M:%SZ'), '') AS deleted_at,
+       coalesce(strftime(a.last_ok, '%Y-%m-%dT%H:%M:%SZ'), '') AS last_retrieved_at
+FROM feeds f LEFT JOIN (SELECT source_id, max(attempted_at) FILTER (WHERE NOT failed) AS last_ok FROM fetch_attempts GROUP BY 1) a
+ON a.source_id = f.id""")
+def api_feed_rows(spark, d):
+    """P-11 + SC-14: API view: id as text, RFC 3339 times, NULL -> ''."""
+    from newsflow.functions.text import rfc3339
+    ok = (TB.fetch_attempts(spark, d).where(~F.col("failed")).groupBy("source_id")
+          .agg(F.max("attempted_at").alias("last_ok")))
+    f = TB.feeds(spark, d).join(ok, F.col("id") == F.col("source_id"), "left")
+    return f.select(F.col("id").cast("string").alias("id"), "url", "enabled", rfc3339("created_at").alias("created_at"),
+                    rfc3339("deleted_at").alias("deleted_at"), rfc3339("last_ok").alias("last_retrieved_at"))

@@ -72,12 +72,12 @@ def fetch_attempts(spark, d) -> DataFrame:
     ev = raw(spark, d, "events")
     failed = F.col("event_type").isin("error", "click")
     return ev.select(F.col("user_id").alias("source_id"), F.col("event_id").alias("seq"),
-                     F.col("ts").cast("timestamp").alias("at"), failed.alias("failed"),
+                     F.col("ts").cast("timestamp").alias("attempted_at"), failed.alias("failed"),
                      F.when(failed, F.concat(F.lit("fetch failed: "), F.col("event_type"))).alias("error"))
 
 
 SQL_FETCH_ATTEMPTS = """
-SELECT user_id AS source_id, event_id AS seq, ts AS at, event_type IN ('error', 'click') AS failed,
+SELECT user_id AS source_id, event_id AS seq, ts AS attempted_at, event_type IN ('error', 'click') AS failed,
        CASE WHEN event_type IN ('error', 'click') THEN 'fetch failed: ' || event_type END AS error
 FROM events"""
 
