@@ -306,3 +306,130 @@ def api_feed_rows(spark, d):
     f = TB.feeds(spark, d).join(ok, F.col("id") == F.col("source_id"), "left")
     return f.select(F.col("id").cast("string").alias("id"), "url", "enabled", rfc3339("created_at").alias("created_at"),
                     rfc3339("deleted_at").alias("deleted_at"), rfc3339("last_ok").alias("last_retrieved_at"))
+
+
+# ------------------------------------------------------------------ model-backed stages
+
+HYP_SQL = """SELECT t.id AS template_id, l.id AS label_id, l.text AS label, t.multi_class,
+       replace(t.text, '{}', l.text) AS hypothesis,
+       count(*) OVER (PARTITION BY t.id, l.text) > 1 AS dup_label
+FROM templates t JOIN labels_t l ON l.zero_shot_hypothesis_template_id = t.id
+WHERE t.enabled AND t.deleted_at IS NULL AND l.enabled AND l.deleted_at IS NULL"""
+
+
+@register("hypotheses", with_tables("templates", "labels_t", "doc_articles", extra=[("h", HYP_SQL)]) + """
+SELECT h.template_id, h.label_id, h.hypothesis, h.dup_label, count(*) AS n_articles
+FROM h, (SELECT 1 FROM doc_articles) GROUP BY ALL""")
+def hypotheses_q(spark, d):
+    """J-6 + P-10 + J-13: enabled templates x enabled labels, '{}' rendered; times the articles they apply to."""
+    from newsflow.operators.models import hypotheses
+    from newsflow.operators.side import explode_side
+    h = hypotheses(L.frame(spark, L.TEMPLATES), L.frame(spark, L.LABELS))
+    per = explode_side(TB.doc_articles(spark, d).select("id"), h)
+    return per.groupBy("template_id", "label_id", "hypothesis", "dup_label").agg(F.count(F.lit(1)).alias("n_articles"))
+
+
+def _tri_list(x):
+    n = S.norm(x)
+    return (f"(CASE WHEN length({n}) >= 3 THEN list_transform(range(1, length({n}) - 1), "
+            f"lambda i: substr({n}, i, 3)) ELSE [] END)")
+
+
+@register("zero_shot_classes", with_tables("templates", "labels_t", "doc_articles", extra=[
+    ("h", HYP_SQL),
+    ("a", f"SELECT id, {S.effective_title()} AS title_eff FROM doc_articles WHERE {S.has_text(S.effective_title())}"),
+    ("p", f"""SELECT a.id, h.template_id, h.label_id, h.multi_class,
+                     CAST(len(list_intersect({_tri_list('a.title_eff')}, {_tri_list('h.label')})) AS DOUBLE) AS logit
+              FROM a, h WHERE NOT h.dup_label"""),
+    ("c", """SELECT *, CAST(CASE WHEN multi_class THEN 1.0 / (1.0 + exp(-logit))
+                      ELSE exp(logit) / sum(exp(logit)) OVER (PARTITION BY id, template_id) END AS FLOAT) AS confidence
+             FROM p"""),
+]) + """
+SELECT id AS web_article_id, label_id AS zero_shot_hypothesis_label_id, template_id AS zero_shot_hypothesis_template_id,
+       row_number() OVER (PARTITION BY id, template_id ORDER BY confidence DESC, label_id) = 1 AS best,
+       round(confidence, 4) AS confidence
+FROM c""")
+def zero_shot_classes(spark, d):
+    """M-2 + J-10 + A-7 + W-1: default NLI scores, softmax or sigmoid, best flag."""
+    from newsflow.operators.models import zero_shot_classify
+    z = zero_shot_classify(TB.doc_articles(spark, d), L.frame(spark, L.TEMPLATES), L.frame(spark, L.LABELS))
+    return z.withColumn("confidence", F.round("confidence", 4))
+
+
+@register("text_classes_default", with_tables("keywords", "doc_articles", extra=[
+    ("a", f"SELECT id, {S.effective_title()} AS title_eff FROM doc_articles WHERE {S.has_text(S.effective_title())}"),
+    ("tk", f"SELECT DISTINCT id, unnest({S.tokens('title_eff')}) AS keyword FROM a"),
+    ("hits", "SELECT id, type, label, sum(weight) AS w FROM tk JOIN keywords USING (keyword) GROUP BY ALL"),
+]) + """
+SELECT id AS web_article_id, type, label, round(CAST(w / sum(w) OVER (PARTITION BY id, type) AS FLOAT), 4) AS confidence
+FROM hits""")
+def text_classes_default(spark, d):
+    """M-3: 0..n (type, label, confidence) per article from the default keyword model."""
+    from newsflow.operators.models import classify_text
+    classes, _ = classify_text(TB.doc_articles(spark, d), L.frame(spark, L.KEYWORDS))
+    return classes.withColumn("confidence", F.round("confidence", 4))
+
+
+@register("text_class_forwarding", with_tables("keywords", "doc_articles", extra=[
+    ("a", f"SELECT id, {S.effective_title()} AS title_eff FROM doc_articles WHERE {S.has_text(S.effective_title())}"),
+    ("tk", f"SELECT DISTINCT id, unnest({S.tokens('title_eff')}) AS keyword FROM a"),
+    ("hits", "SELECT DISTINCT id FROM tk JOIN keywords USING (keyword) WHERE type = 'topic'"),
+]) + """
+SELECT id AS web_article_id FROM hits""")
+def text_class_forwarding(spark, d):
+    """M-10: continue the chain only for articles with a 'topic' class (custom should_continue)."""
+    from newsflow.operators.models import classify_text
+    _, fwd = classify_text(TB.doc_articles(spark, d), L.frame(spark, L.KEYWORDS),
+                           should_continue=lambda cls: F.exists(F.coalesce(cls, F.array()), lambda c: c["type"] == "topic"))
+    return fwd
+
+
+def _sentences_sql(x):
+    return f"list_filter(list_transform(regexp_split_to_array({x}, '[.!?;\\n]+'), lambda s: trim(s)), lambda s: length(s) > 0)"
+
+
+@register("extracted_infos", with_tables("rules", "doc_articles", extra=[
+    ("a", f"SELECT id, lower({S.effective_title()}) AS passage FROM doc_articles WHERE {S.has_text(S.effective_title())}"),
+    ("r", "SELECT id AS rule_id, lower(question) AS question, answer_regexp AS pattern, threshold FROM rules "
+          "WHERE enabled AND deleted_at IS NULL"),
+    ("s", f"SELECT a.id, r.rule_id, r.pattern, r.threshold, q, u.s, u.pos "
+          f"FROM a, (SELECT *, list_distinct({S.tokens('question')}) AS q FROM r) r, "
+          f"unnest({_sentences_sql('a.passage')}) WITH ORDINALITY AS u(s, pos)"),
+    ("sc", f"""SELECT id, rule_id, pattern, threshold, s, pos,
+                      CAST(len(list_intersect(list_distinct({S.tokens('s')}), q)) / greatest(len(q), 1) AS FLOAT) AS conf
+               FROM s"""),
+    ("best", """SELECT id, rule_id, pattern, threshold, arg_max(s, (conf, -pos)) AS text, max(conf) AS confidence
+                FROM sc WHERE conf > 0 GROUP BY ALL"""),
+]) + """
+SELECT id AS web_article_id, rule_id AS info_extraction_rule_id, text, round(confidence, 4) AS confidence
+FROM best WHERE confidence >= threshold AND regexp_matches(text, pattern)""")
+def extracted_infos(spark, d):
+    """M-8 + J-9 + F-13 + F-15 + SC-3: best answer per rule, threshold (>=), unanchored regexp."""
+    from newsflow.operators.models import extract_info
+    x = extract_info(TB.doc_articles(spark, d), L.frame(spark, L.RULES))
+    return x.withColumn("confidence", F.round("confidence", 4))
+
+
+@register("translated_titles", with_tables("incoming_feed_items", "lexicon", extra=[
+    ("a", f"SELECT item_seq AS id, title, language FROM incoming_feed_items"),
+    ("w", f"""SELECT a.id, a.language, u.word, u.pos,
+                     lower(regexp_replace(u.word, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS source
+              FROM a, unnest(regexp_split_to_array({S.go_trim('a.title')}, '\\s+')) WITH ORDINALITY AS u(word, pos)
+              WHERE {S.has_text('a.title')} AND a.language IN ('fr', 'de', 'es')"""),
+    ("m", """SELECT w.id, string_agg(coalesce(l.target, w.word), ' ' ORDER BY w.pos) AS tt
+             FROM w LEFT JOIN lexicon l ON l.lang = w.language AND l.source = w.source GROUP BY w.id"""),
+]) + f"""
+SELECT a.id, CASE WHEN m.id IS NOT NULL THEN {S.go_trim('m.tt')} END AS translated_title,
+       CASE WHEN m.id IS NOT NULL THEN 'en' END AS translation_language,
+       CASE WHEN NOT {S.has_text('a.title')} THEN 'skip'
+            WHEN a.language NOT IN ('fr', 'de', 'es') THEN 'pass'
+            WHEN {S.has_text('m.tt')} THEN 'translated' ELSE 'error' END AS outcome
+FROM a LEFT JOIN m USING (id)""")
+def translated_titles(spark, d):
+    """M-1 + F-4: white-listed languages translated with the default lexicon model, others pass through."""
+    from newsflow.operators.models import translate
+    a = TB.incoming_feed_items(spark, d).select(
+        F.col("item_seq").alias("id"), "title", "language",
+        F.lit(None).cast("string").alias("translated_title"), F.lit(None).cast("string").alias("translation_language"))
+    out = translate(a, ["fr", "de", "es"], "en", lexicon=L.frame(spark, L.LEXICON))
+    return out.select("id", "translated_title", "translation_language", "outcome")
