@@ -433,3 +433,159 @@ def translated_titles(spark, d):
         F.lit(None).cast("string").alias("translated_title"), F.lit(None).cast("string").alias("translation_language"))
     out = translate(a, ["fr", "de", "es"], "en", lexicon=L.frame(spark, L.LEXICON))
     return out.select("id", "translated_title", "translation_language", "outcome")
+
+
+@register("hashed_vectors", with_tables("doc_articles", extra=[
+    ("a", f"SELECT id, {S.effective_title()} AS title_eff FROM doc_articles WHERE {S.has_text(S.effective_title())}"),
+    ("b", f"""SELECT id, CAST(CAST(('0x' || substr(md5(t), 1, 7)) AS BIGINT) % 16 AS INTEGER) AS idx
+              FROM (SELECT id, unnest({S.tokens('title_eff')}) AS t FROM a)"""),
+    ("c", "SELECT id, idx, count(*) AS n FROM b GROUP BY ALL"),
+]) + """
+SELECT id AS web_article_id, idx, round(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY id)) AS FLOAT), 4) AS value
+FROM c""")
+def hashed_vectors(spark, d):
+    """M-6 + SC-6: default hashed-token vectors (dim 16), L2-normalised; non-zero entries."""
+    from newsflow.operators.models import vectorize
+    v = vectorize(TB.doc_articles(spark, d), dim=16)
+    return (v.select("web_article_id", F.posexplode("data").alias("idx", "value"))
+            .where(F.col("value") != 0).withColumn("value", F.round("value", 4)))
+
+
+@register("geo_parse_titles", with_tables("doc_articles", "gazetteer", extra=[
+    ("g", f"""SELECT id, CASE WHEN language IN ('de', 'es', 'en') AND {S.has_text('title')} THEN {S.go_trim('title')}
+                   WHEN translation_language IN ('de', 'es', 'en') AND {S.has_text('translated_title')}
+                   THEN {S.go_trim('translated_title')} END AS txt FROM doc_articles"""),
+    ("tk", f"SELECT g.id, u.tok, u.pos FROM g, unnest({S.tokens('g.txt')}) WITH ORDINALITY AS u(tok, pos)"),
+    ("lg", """SELECT id, pos, tok AS n1,
+                     tok || ' ' || lead(tok, 1) OVER (PARTITION BY id ORDER BY pos) AS n2,
+                     tok || ' ' || lead(tok, 1) OVER (PARTITION BY id ORDER BY pos) || ' ' ||
+                     lead(tok, 2) OVER (PARTITION BY id ORDER BY pos) AS n3 FROM tk"""),
+    ("grams", "SELECT id, pos, n1 AS name FROM lg UNION ALL SELECT id, pos, n2 FROM lg WHERE n2 IS NOT NULL "
+              "UNION ALL SELECT id, pos, n3 FROM lg WHERE n3 IS NOT NULL"),
+    ("hits", "SELECT grams.*, z.country_code, z.kind, z.demonym FROM grams JOIN gazetteer z USING (name)"),
+    ("s1", """SELECT id, kind, country_code, count(*) AS score, min(pos) AS first_pos FROM hits WHERE NOT demonym GROUP BY ALL"""),
+    ("p1", """SELECT id, arg_min(country_code, (-score, CASE kind WHEN 'city' THEN 0 WHEN 'country' THEN 1 ELSE 2 END,
+                                                 first_pos, country_code)) AS country_code FROM s1 GROUP BY id"""),
+    ("s2", """SELECT id, kind, country_code, count(*) AS score, min(pos) AS first_pos FROM hits
+              WHERE demonym AND id NOT IN (SELECT id FROM p1) GROUP BY ALL"""),
+    ("p2", """SELECT id, arg_min(country_code, (-score, CASE kind WHEN 'city' THEN 0 WHEN 'country' THEN 1 ELSE 2 END,
+                                                 first_pos, country_code)) AS country_code FROM s2 GROUP BY id"""),
+]) + """
+SELECT a.id, coalesce(p1.country_code, p2.country_code) AS country_code
+FROM doc_articles a LEFT JOIN p1 USING (id) LEFT JOIN p2 USING (id)""")
+def geo_parse_titles(spark, d):
+    """M-4 + J-12 + A-5: gazetteer n-gram match, demonyms only when the first pass finds nothing."""
+    from newsflow.operators.geo import geo_parse
+    return geo_parse(TB.doc_articles(spark, d), L.frame(spark, L.GAZETTEER))
+
+
+def _reply_spark(ev):
+    codes = F.array(*[F.lit(c) for c in L.EVENT_COUNTRIES])
+    c1 = F.element_at(codes, (F.col("user_id") % 8 + 1).cast("int"))
+    c2 = F.element_at(codes, ((F.col("user_id") + 3) % 8 + 1).cast("int"))
+    s1 = ((F.col("value") * 100).cast("int") % 97).cast("string")
+    s2 = ((F.col("value") * 700).cast("int") % 97).cast("string")
+    loc = lambda c, s: F.concat(F.lit('{"countryCode":"'), c, F.lit('","score":'), s, F.lit("}"))
+    js = F.concat(F.lit('{"results":{"places":{"focus":{"cities":['), loc(c1, s1),
+                  F.lit('],"countries":['), loc(c2, s2), F.lit(","), loc(c1, s2),
+                  F.lit('],"states":['), loc(c2, s1), F.lit("]}}}}"))
+    return F.when(F.col("event_type") == "error", F.lit("not json")).otherwise(js)
+
+
+def _reply_sql():
+    codes = "[" + ", ".join(f"'{c}'" for c in L.EVENT_COUNTRIES) + "]"
+    c1 = f"{codes}[user_id % 8 + 1]"
+    c2 = f"{codes}[(user_id + 3) % 8 + 1]"
+    s1 = "CAST(CAST(trunc(value * 100) AS INTEGER) % 97 AS VARCHAR)"
+    s2 = "CAST(CAST(trunc(value * 700) AS INTEGER) % 97 AS VARCHAR)"
+
+    def loc(c, s):
+        return f"""'{{"countryCode":"' || {c} || '","score":' || {s} || '}}'"""
+    js = (f"""'{{"results":{{"places":{{"focus":{{"cities":[' || {loc(c1, s1)} || '],"countries":[' || """
+          f"""{loc(c2, s2)} || ',' || {loc(c1, s2)} || '],"states":[' || {loc(c2, s1)} || ']}}}}}}}}'""")
+    return f"CASE WHEN event_type = 'error' THEN 'not json' ELSE {js} END"
+
+
+GEO_JSON_TYPE = ('{"results":{"places":{"focus":{"cities":[{"countryCode":"VARCHAR","score":"DOUBLE"}],'
+                 '"countries":[{"countryCode":"VARCHAR","score":"DOUBLE"}],'
+                 '"states":[{"countryCode":"VARCHAR","score":"DOUBLE"}]}}}}')
+
+
+@register("geo_from_replies", f"""
+WITH r AS (SELECT event_id, {_reply_sql()} AS reply FROM events),
+p AS (SELECT event_id, CASE WHEN json_valid(reply) THEN from_json(reply, '{GEO_JSON_TYPE}') END AS j FROM r),
+l AS (SELECT event_id, list_concat(coalesce(j.results.places.focus.cities, []),
+                                   coalesce(j.results.places.focus.countries, []),
+                                   coalesce(j.results.places.focus.states, [])) AS locs FROM p),
+b AS (SELECT l.event_id, arg_max(u.x.countryCode, (u.x.score, -u.pos)) AS country_code
+      FROM l, unnest(l.locs) WITH ORDINALITY AS u(x, pos) GROUP BY l.event_id)
+SELECT l.event_id, len(l.locs) AS n_locations, b.country_code FROM l LEFT JOIN b USING (event_id)""")
+def geo_from_replies(spark, d):
+    """M-5 + SC-11 + U-2 + A-5: stored geo replies -> all locations and the best country."""
+    from newsflow.operators.geo import geo_from_reply
+    ev = TB.raw(spark, d, "events").select("event_id", _reply_spark(TB.raw(spark, d, "events")).alias("reply"))
+    out = geo_from_reply(ev, "reply")
+    return out.select("event_id", F.size("locations").alias("n_locations"), "country_code")
+
+
+@register("detected_languages", with_tables("incoming_feed_items", extra=[
+    ("profiles", S.profiles_cte()),
+    ("det", S.detect_cte("incoming_feed_items", "item_seq", "title")),
+]) + """
+SELECT f.item_seq, d.detected AS detected_language FROM incoming_feed_items f LEFT JOIN det d USING (item_seq)""")
+def detected_languages(spark, d):
+    """SC-1 + A-6: trigram-profile language of every feed item title (NULL = failed)."""
+    from newsflow.operators.lang import detect_language
+    fi = TB.incoming_feed_items(spark, d).select("item_seq", "title")
+    return detect_language(fi, "item_seq", "title", _profiles(spark, d)).select("item_seq", "detected_language")
+
+
+HEALTH_SQL = """
+r AS (SELECT *, sum(CASE WHEN NOT failed THEN 1 ELSE 0 END) OVER (PARTITION BY source_id ORDER BY seq
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g,
+             row_number() OVER (PARTITION BY source_id ORDER BY seq) AS rn FROM fetch_attempts),
+i AS (SELECT *, rn - min(rn) OVER (PARTITION BY source_id, g) + CASE WHEN g > 0 THEN 0 ELSE 1 END AS fails FROM r),
+st AS (SELECT source_id, min(rn) AS stop FROM i WHERE fails > {max} GROUP BY 1),
+k AS (SELECT i.*, st.stop FROM i LEFT JOIN st USING (source_id) WHERE st.stop IS NULL OR i.rn <= st.stop),
+health AS (SELECT source_id, CAST(arg_max(fails, rn) AS INTEGER) AS failures_count,
+       arg_max_null(CASE WHEN failed THEN error END, rn) AS last_error,
+       max(attempted_at) FILTER (WHERE NOT failed) AS last_retrieved_at, max(stop) IS NULL AS enabled,
+       count(*) AS attempts FROM k GROUP BY 1)"""
+
+
+@register("source_health_feeds", with_tables("fetch_attempts") + ", " + HEALTH_SQL.format(max=5) +
+          " SELECT * FROM health")
+def source_health_feeds(spark, d):
+    """A-3: consecutive failures, last error, last retrieval; disabled at max + 1 failures (max 5), absorbing."""
+    from newsflow.operators.state import source_health
+    return source_health(TB.fetch_attempts(spark, d), max_failures=5)
+
+
+@register("source_health_twitter", with_tables("fetch_attempts") + ", " + HEALTH_SQL.format(max=10 ** 9) +
+          " SELECT * FROM health")
+def source_health_twitter(spark, d):
+    """A-4: the same fold for Twitter sources, which are never disabled."""
+    from newsflow.operators.state import source_health
+    return source_health(TB.fetch_attempts(spark, d), max_failures=None)
+
+
+@register("work_order_feeds", with_tables("feeds", "fetch_attempts") + ", " + HEALTH_SQL.format(max=5) + """,
+s AS (SELECT f.id, coalesce(h.last_retrieved_at, f.last_retrieved_at) AS last_retrieved_at,
+             f.enabled AND coalesce(h.enabled, TRUE) AS enabled, f.deleted_at
+      FROM feeds f LEFT JOIN health h ON h.source_id = f.id)
+SELECT id, last_retrieved_at, position, (position - 1) // 4 AS batch_no FROM (
+  SELECT *, row_number() OVER (ORDER BY last_retrieved_at ASC NULLS FIRST, id) AS position FROM s
+  WHERE enabled AND deleted_at IS NULL)""")
+def work_order_feeds(spark, d):
+    """O-1 + O-2 + F-1: never-retrieved first, then oldest retrieval, id; fixed batches (size 4)."""
+    from newsflow.operators.state import apply_health, source_health, work_order
+    feeds = apply_health(TB.feeds(spark, d), source_health(TB.fetch_attempts(spark, d), max_failures=5))
+    return work_order(feeds, batch=4).select("id", "last_retrieved_at", "position", "batch_no")
+
+
+@register("keyset_page_feeds", with_tables("feeds") + """
+SELECT id, url FROM feeds WHERE id > 5 ORDER BY id LIMIT 10""")
+def keyset_page_feeds(spark, d):
+    """O-3: keyset page, ids after 5, first 10 (the limit is the feature)."""
+    from newsflow.operators.manage import keyset_page
+    return keyset_page(TB.feeds(spark, d), after=5, first=10).select("id", "url")
