@@ -121,6 +121,8 @@ def _block_fn(space: str, threshold: float, mode: str):
         ok = d <= t32
         if mode == "smaller":
             ok &= cid[None, :] < qid[:, None]
+        elif mode == "others":
+            ok &= cid[None, :] != qid[:, None]
         ok &= ~np.isnan(d)
         qi, ci = np.nonzero(ok)
         if qi.size == 0:
@@ -140,7 +142,8 @@ def _blocks(df: DataFrame, block_rows: int, prefix: str) -> DataFrame:
 
 
 def knn_pairs(queries: DataFrame, vectors: DataFrame, timeframe_days: int, threshold: float,
-              space: str = "COSINE", block_rows: int = 4096, smaller_only: bool = False) -> DataFrame:
+              space: str = "COSINE", block_rows: int = 4096, smaller_only: bool = False,
+              exclude_self: bool = False) -> DataFrame:
     """Hits (qid, id, distance) of every query against stored vectors of days
     ``day - N .. day`` with ``distance <= threshold`` (float32 comparison).
 
@@ -149,8 +152,9 @@ def knn_pairs(queries: DataFrame, vectors: DataFrame, timeframe_days: int, thres
     emits at most the best hit per query.
     """
     check_space(space)
-    q = queries.select("id", "day", "data")
-    c = vectors.select("id", "day", "data")
+    # fresh attributes on both sides: queries and vectors may be the same table
+    q = queries.select(*[F.col(x).alias(x) for x in ("id", "day", "data")])
+    c = vectors.select(*[F.col(x).alias(x) for x in ("id", "day", "data")])
     qb = bounded_broadcast(_blocks(q, block_rows, "q_"))
     cb = bounded_broadcast(_blocks(c, block_rows, "c_"))
 
@@ -170,17 +174,18 @@ def knn_pairs(queries: DataFrame, vectors: DataFrame, timeframe_days: int, thres
              .withColumn("c_block", F.explode(F.sequence(F.lit(0), F.col("c_nb") - 1)))
              .select(F.col("day").alias("q_day"), "q_block", "c_day", "c_block", "id", "data"))
     keys = ["q_day", "q_block", "c_day", "c_block"]
-    fn = _block_fn(space, threshold, "smaller" if smaller_only else "all")
+    fn = _block_fn(space, threshold, "smaller" if smaller_only else ("others" if exclude_self else "all"))
     return (qside.groupBy(*keys).cogroup(cside.groupBy(*keys))
             .applyInPandas(fn, "qid long, id long, distance float"))
 
 
 def knn(queries: DataFrame, vectors: DataFrame, timeframe_days: int, threshold: float,
-        space: str = "COSINE", k: int | None = None, block_rows: int = 4096) -> DataFrame:
+        space: str = "COSINE", k: int | None = None, block_rows: int = 4096,
+        exclude_self: bool = False) -> DataFrame:
     """J-11 + U-1 + O-4 + W-5 + F-14: hits (qid, id, distance, rank) sorted by
     (distance, id) per query; ``k`` keeps the first k (K nearest), ``None``
     keeps every hit within the threshold."""
-    hits = knn_pairs(queries, vectors, timeframe_days, threshold, space, block_rows)
+    hits = knn_pairs(queries, vectors, timeframe_days, threshold, space, block_rows, exclude_self=exclude_self)
     w = Window.partitionBy("qid").orderBy("distance", "id")
     hits = hits.withColumn("rank", F.row_number().over(w))
     if k is not None:

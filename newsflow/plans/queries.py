@@ -589,3 +589,133 @@ def keyset_page_feeds(spark, d):
     """O-3: keyset page, ids after 5, first 10 (the limit is the feature)."""
     from newsflow.operators.manage import keyset_page
     return keyset_page(TB.feeds(spark, d), after=5, first=10).select("id", "url")
+
+
+# ------------------------------------------------------------------ vectors: KNN, duplicates, retention
+
+def _cos_sql(a, b):
+    da = f"list_transform({a}, lambda x: CAST(x AS DOUBLE))"
+    db = f"list_transform({b}, lambda x: CAST(x AS DOUBLE))"
+    return (f"CAST(1.0 - list_dot_product({da}, {db}) / (sqrt(list_dot_product({da}, {da})) * "
+            f"sqrt(list_dot_product({db}, {db}))) AS FLOAT)")
+
+
+def _vec_queries(spark, d):
+    v = TB.vectors(spark, d)
+    return v.select(F.col("web_article_id").alias("id"), F.col("publish_day").alias("day"), "data")
+
+
+@register("knn_hits", with_tables("vectors", extra=[
+    ("pairs", f"""SELECT q.web_article_id AS qid, c.web_article_id AS id, {_cos_sql('q.data', 'c.data')} AS distance
+                  FROM vectors q JOIN vectors c ON c.publish_day BETWEEN q.publish_day - 3 AND q.publish_day
+                  AND c.web_article_id <> q.web_article_id"""),
+]) + """
+SELECT qid, id, round(distance, 4) AS distance, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM pairs
+  WHERE distance <= CAST(0.65 AS FLOAT)) WHERE rank <= 5""")
+def knn_hits(spark, d):
+    """J-11 + SC-10 + SC-8 + F-14 + U-1 + O-4 + W-5: 5 nearest within 0.65 over days d-3..d (blocked, exact)."""
+    from newsflow.operators.knn import knn
+    q = _vec_queries(spark, d)
+    hits = knn(q, q, 3, 0.65, "COSINE", k=5, block_rows=64, exclude_self=True)
+    return hits.select("qid", "id", F.round("distance", 4).alias("distance"), "rank")
+
+
+@register("duplicates", with_tables("vectors", extra=[
+    ("q", "SELECT * FROM vectors WHERE web_article_id NOT IN (SELECT web_article_id FROM vectors WHERE label = 0)"),
+    ("pairs", f"""SELECT q.web_article_id AS qid, c.web_article_id AS id, {_cos_sql('q.data', 'c.data')} AS distance
+                  FROM q JOIN vectors c ON c.publish_day BETWEEN q.publish_day - 3 AND q.publish_day
+                  AND c.web_article_id < q.web_article_id"""),
+    ("top", """SELECT qid, arg_min(id, (distance, id)) AS parent_id, min(distance) AS distance FROM pairs
+               WHERE distance <= CAST(0.65 AS FLOAT) GROUP BY qid"""),
+]) + """
+SELECT q.web_article_id, t.parent_id, round(t.distance, 4) AS distance FROM q LEFT JOIN top t ON t.qid = q.web_article_id""")
+def duplicates(spark, d):
+    """M-7 + W-2 + F-11 + F-12: parent = nearest smaller id within 0.65 over 3 days back; else NULL."""
+    from newsflow.operators.knn import detect_duplicates
+    v = TB.vectors(spark, d)
+    checked = v.where("label = 0").select("web_article_id")
+    out = detect_duplicates(TB.vector_articles(spark, d), v, checked, 3, 0.65, block_rows=64)
+    return out.withColumn("distance", F.round("distance", 4))
+
+
+@register("vector_retention", with_tables("vectors") + """
+SELECT web_article_id, CAST(publish_day AS VARCHAR) AS publish_day, 'vec_' || strftime(publish_day, '%Y-%m-%d') AS day_key,
+       publish_day < DATE '2024-01-03' AS expired FROM vectors""")
+def vector_retention(spark, d):
+    """F-16 + ST-7 + SC-9: days strictly before day(now - 6 days) expire (now 2024-01-09 12:00)."""
+    import datetime as dt
+    from newsflow.operators.knn import day_key, retain
+    kept, gone = retain(TB.vectors(spark, d), dt.datetime(2024, 1, 9, 12), 6)
+    out = kept.withColumn("expired", F.lit(False)).unionByName(gone.withColumn("expired", F.lit(True)))
+    return out.select("web_article_id", F.col("publish_day").cast("string").alias("publish_day"),
+                      day_key("publish_day", "vec_").alias("day_key"), "expired")
+
+
+@register("day_keys", with_tables("vectors") + """
+SELECT web_article_id AS id, 'idx_' || strftime(make_timestamp(CAST(epoch(CAST(publish_day AS TIMESTAMP))
+       + web_article_id % 86400 AS BIGINT) * 1000000), '%Y-%m-%d') AS day_key FROM vectors""")
+def day_keys(spark, d):
+    """SC-9: UTC day key with prefix of each article's publish time."""
+    from newsflow.operators.knn import day_key
+    return TB.vector_articles(spark, d).select("id", day_key("publish_date", "idx_").alias("day_key"))
+
+
+@register("vector_distances", with_tables("vectors", extra=[
+    ("p", "SELECT a.web_article_id AS id, list_transform(a.data, lambda x: CAST(x AS DOUBLE)) AS x, "
+          "list_transform(b.data, lambda x: CAST(x AS DOUBLE)) AS y FROM vectors a JOIN vectors b "
+          "ON b.web_article_id = a.web_article_id + 1"),
+]) + """
+SELECT id, round(CAST(1.0 - list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y))) AS FLOAT), 4) AS cosine,
+       round(CAST(1.0 - list_dot_product(x, y) AS FLOAT), 4) AS ip,
+       round(CAST(list_sum(list_transform(list_zip(x, y), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS FLOAT), 4) AS l2
+FROM p""")
+def vector_distances(spark, d):
+    """SC-8: COSINE, IP and squared L2 between each vector and the next id (double math, float result)."""
+    from newsflow.operators.knn import distance
+    v = TB.vectors(spark, d)
+    a = v.select(F.col("web_article_id").alias("id"), F.col("data").alias("x"))
+    b = v.select((F.col("web_article_id") - 1).alias("id"), F.col("data").alias("y"))
+    j = a.join(b, "id")
+    return j.select("id", *[F.round(distance("x", "y", s), 4).alias(n)
+                            for s, n in (("COSINE", "cosine"), ("IP", "ip"), ("L2", "l2"))])
+
+
+@register("l2_normalized", with_tables("vectors", extra=[
+    ("s", "SELECT web_article_id AS id, list_transform(data, lambda x: CAST(x * (1 + web_article_id % 3) AS FLOAT)) AS v FROM vectors"),
+    ("n", "SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nrm FROM s"),
+]) + """
+SELECT id, round(CAST(v[1] / nrm AS FLOAT), 4) AS x1, round(CAST(v[2] / nrm AS FLOAT), 4) AS x2 FROM n""")
+def l2_normalized(spark, d):
+    """SC-6: L2 normalisation of scaled vectors (first two components)."""
+    from newsflow.operators.knn import l2_normalize
+    v = TB.vectors(spark, d).select(F.col("web_article_id").alias("id"), F.transform(
+        "data", lambda x: (x * (1 + F.col("web_article_id") % 3)).cast("float")).alias("v"))
+    n = v.select("id", l2_normalize("v").alias("u"))
+    return n.select("id", F.round(F.get("u", 0), 4).alias("x1"), F.round(F.get("u", 1), 4).alias("x2"))
+
+
+# ------------------------------------------------------------------ pending work
+
+@register("pending_work", with_tables("doc_articles") + """
+SELECT id, publish_date AS created_at FROM doc_articles WHERE id NOT IN (SELECT doc_id FROM labels)""")
+def pending_work_q(spark, d):
+    """ST-4: records handed to a stage without a recorded outcome (labels = outcomes)."""
+    from newsflow.operators.state import pending_work
+    inputs = TB.doc_articles(spark, d).select("id", F.col("publish_date").alias("created_at"))
+    outcomes = TB.raw(spark, d, "labels").select(F.col("doc_id").alias("id"))
+    return pending_work(inputs, outcomes)
+
+
+@register("stale_pending", with_tables("doc_articles") + """
+SELECT id, created_at, row_number() OVER (ORDER BY created_at, id) AS position FROM (
+  SELECT id, publish_date AS created_at FROM doc_articles WHERE id NOT IN (SELECT doc_id FROM labels))
+WHERE created_at < TIMESTAMP '2024-01-19 00:00:00'""")
+def stale_pending_q(spark, d):
+    """ST-5 + F-17 + O-5: pending older than now - leeway (now 2024-01-20, leeway 1 day), oldest first."""
+    import datetime as dt
+    from newsflow.operators.state import pending_work, stale_pending
+    inputs = TB.doc_articles(spark, d).select("id", F.col("publish_date").alias("created_at"))
+    outcomes = TB.raw(spark, d, "labels").select(F.col("doc_id").alias("id"))
+    return stale_pending(pending_work(inputs, outcomes), dt.datetime(2024, 1, 20), dt.timedelta(days=1)).select(
+        "id", "created_at", "position")
