@@ -182,14 +182,19 @@ def _decode_other(body: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([one(b, c) for b, c in zip(body, charset)], dtype=object)
 
 
-def decode_body(body="body", content_type="content_type") -> Column:
-    """SC-7: bytes -> text.  Charsets Spark knows decode on the JVM; only the
-    others (windows-1252, koi8-r, ...) reach the Arrow-batched Python decoder,
-    which sees NULL bodies for every natively decoded row."""
-    cs = charset_of(content_type, body)
+def decode_charset(body="body", charset="charset") -> Column:
+    """SC-7 with a known charset column: JVM ``decode`` for the charsets Spark
+    knows; only other charsets (windows-1252, koi8-r, ...) reach the
+    Arrow-batched Python decoder, which sees NULL bodies for every other row."""
+    cs = _c(charset)
     native = cs.isin(*NATIVE_CHARSETS)
-    jvm = F.when(native, F.decode(_c(body), "UTF-8"))
+    jvm = F.decode(_c(body), "UTF-8")
     for name in NATIVE_CHARSETS[1:]:
         jvm = F.when(cs == name, F.decode(_c(body), name)).otherwise(jvm)
     python = _decode_other(F.when(~native, _c(body)), cs)
     return F.when(native, jvm).otherwise(python)
+
+
+def decode_body(body="body", content_type="content_type") -> Column:
+    """SC-7: bytes -> text with the charset sniffed from header or body."""
+    return decode_charset(body, charset_of(content_type, body))

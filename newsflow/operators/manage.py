@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import warnings
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -169,7 +170,9 @@ def pattern_error(pattern: str) -> str | None:
     if re.search(r"(?<!\\)\\[1-9]", pattern):
         return "back-references are not supported"
     try:
-        re.compile(pattern)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            re.compile(pattern)
     except re.error as exc:
         return str(exc)
     return None

@@ -719,3 +719,217 @@ def stale_pending_q(spark, d):
     outcomes = TB.raw(spark, d, "labels").select(F.col("doc_id").alias("id"))
     return stale_pending(pending_work(inputs, outcomes), dt.datetime(2024, 1, 20), dt.timedelta(days=1)).select(
         "id", "created_at", "position")
+
+
+# ------------------------------------------------------------------ sinks
+
+NEW_URLS_SQL = """SELECT url, item_seq FROM (
+  SELECT url, item_seq, row_number() OVER (PARTITION BY url ORDER BY item_seq) AS rn FROM incoming_feed_items) f
+WHERE rn = 1 AND url NOT IN (SELECT url FROM stored_resources)"""
+
+
+@register("insert_if_absent_resources", with_tables("incoming_feed_items", "stored_resources") + NEW_URLS_SQL)
+def insert_if_absent_resources(spark, d):
+    """K-1: first row per URL in the batch, URLs already stored are skipped."""
+    from newsflow.operators.sinks import insert_if_absent
+    new = TB.incoming_feed_items(spark, d).select("url", "item_seq")
+    return insert_if_absent(new, TB.stored_resources(spark, d), [["url"]], ["item_seq"])
+
+
+@register("assign_resource_ids", with_tables("incoming_feed_items", "stored_resources", extra=[("n", NEW_URLS_SQL)]) + """
+SELECT (SELECT max(id) FROM stored_resources) + row_number() OVER (ORDER BY item_seq) AS id, url FROM n""")
+def assign_resource_ids(spark, d):
+    """K-5: dense ids after the table's max id, in arrival order (distributed numbering)."""
+    from newsflow.operators.sinks import assign_ids, insert_if_absent
+    stored = TB.stored_resources(spark, d)
+    new = insert_if_absent(TB.incoming_feed_items(spark, d).select("url", "item_seq"), stored, [["url"]], ["item_seq"])
+    return assign_ids(new, stored, ["item_seq"]).select("id", "url")
+
+
+@register("versioned_feed_updates", with_tables("feeds") + """
+SELECT f.id, CASE WHEN f.enabled THEN f.url || '?v=2' ELSE f.url END AS url,
+       CASE WHEN f.enabled THEN f.version + 1 ELSE f.version END AS version,
+       CASE WHEN f.enabled THEN 'applied' ELSE 'stale' END AS status
+FROM feeds f""")
+def versioned_feed_updates(spark, d):
+    """K-2: optimistic update; writers that read version 1 of a disabled feed are stale."""
+    from newsflow.operators.sinks import versioned_update
+    feeds = TB.feeds(spark, d)
+    updates = feeds.select("id", F.when(F.col("enabled"), 0).otherwise(1).cast("long").alias("base_version"),
+                           F.concat("url", F.lit("?v=2")).alias("url"))
+    snapshot, applied, stale = versioned_update(feeds, updates)
+    st = stale.select("id", F.lit("stale").alias("status"))
+    ap = applied.select("id", F.lit("applied").alias("status"))
+    return snapshot.join(ap.unionByName(st), "id", "left").select("id", "url", "version", "status")
+
+
+# ------------------------------------------------------------------ management
+
+@register("create_feeds", with_tables("feeds") + """
+SELECT (SELECT max(id) FROM feeds) + row_number() OVER (ORDER BY url) AS id, url, FALSE AS enabled, 0 AS failures_count
+FROM (SELECT DISTINCT 'https://feeds.example/src' || CAST(doc_id % 25 AS VARCHAR) AS url FROM documents)
+WHERE url NOT IN (SELECT url FROM feeds)""")
+def create_feeds(spark, d):
+    """C-2 + K-1 + K-5: bulk create; existing URLs skipped, new feeds start disabled."""
+    import datetime as dt
+    from newsflow.operators.manage import apply_creates
+    creates = TB.raw(spark, d, "documents").select(
+        F.concat(F.lit("https://feeds.example/src"), (F.col("doc_id") % 25).cast("string")).alias("url"))
+    _, created = apply_creates(TB.feeds(spark, d), creates, [["url"]], dt.datetime(2024, 3, 1),
+                               defaults={"enabled": False, "failures_count": 0})
+    return created.select("id", "url", "enabled", "failures_count")
+
+
+@register("update_feeds", with_tables("feeds") + """
+SELECT id, url || '#u' AS url, NULL AS last_error, version + 1 AS version, id % 2 = 0 AS enabled FROM feeds""")
+def update_feeds(spark, d):
+    """C-3: full-row update by id; empty last_error becomes NULL; unknown ids are not found."""
+    import datetime as dt
+    from newsflow.operators.manage import apply_updates
+    feeds = TB.feeds(spark, d)
+    upd = feeds.select("id", F.concat("url", F.lit("#u")).alias("url"), F.lit("").alias("last_error"),
+                       (F.col("id") % 2 == 0).alias("enabled"))
+    upd = upd.unionByName(spark.range(1).select(F.lit(10 ** 6).cast("long").alias("id"), F.lit("x").alias("url"),
+                                                F.lit("").alias("last_error"), F.lit(True).alias("enabled")))
+    snap, _ = apply_updates(feeds, upd, dt.datetime(2024, 3, 1))
+    return snap.select("id", "url", "last_error", "version", "enabled")
+
+
+@register("delete_feeds", with_tables("incoming_feed_items", "feeds") + """
+SELECT f.id, CASE WHEN f.id IN (SELECT i.feed_id FROM incoming_feed_items i JOIN labels l ON l.doc_id = i.item_seq
+                                WHERE l.toxic = 1) THEN 'soft' ELSE 'hard' END AS kind
+FROM feeds f""")
+def delete_feeds(spark, d):
+    """C-4 + J-14 + A-2: delete every feed; feeds with stored items are soft-deleted, others removed."""
+    import datetime as dt
+    from newsflow.operators.manage import apply_deletes
+    feeds = TB.feeds(spark, d)
+    lab = TB.raw(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("item_seq"))
+    children = TB.incoming_feed_items(spark, d).join(lab, "item_seq", "left_semi").select("feed_id")
+    _, report = apply_deletes(feeds, feeds.select("id"), [(children, "feed_id")], dt.datetime(2024, 3, 1))
+    return report
+
+
+@register("templates_with_labels", with_tables("templates", "labels_t", "doc_articles", extra=[
+    ("h", HYP_SQL),
+    ("uses", f"SELECT h.template_id, count(*) AS n_pairs FROM h, doc_articles a WHERE NOT h.dup_label "
+             f"AND {S.has_text(S.effective_title('a.title', 'a.translated_title'))} GROUP BY 1"),
+]) + """
+SELECT t.id, t.text, coalesce(string_agg(CAST(l.id AS VARCHAR), ',' ORDER BY l.id), '') AS label_ids,
+       coalesce(max(u.n_pairs), 0) AS n_pairs
+FROM templates t LEFT JOIN labels_t l ON l.zero_shot_hypothesis_template_id = t.id AND l.deleted_at IS NULL
+LEFT JOIN uses u ON u.template_id = t.id
+WHERE t.deleted_at IS NULL GROUP BY t.id, t.text""")
+def templates_with_labels(spark, d):
+    """C-1 + J-5: live templates with all their live labels nested (by id), and the
+    number of (article, label) pairs the zero-shot stage scores for each."""
+    from newsflow.operators.manage import nest_children
+    from newsflow.operators.models import hypotheses, with_title
+    from newsflow.operators.side import explode_side
+    t = L.frame(spark, L.TEMPLATES).where("deleted_at IS NULL")
+    lab = L.frame(spark, L.LABELS).where("deleted_at IS NULL")
+    nested = nest_children(t, lab, "zero_shot_hypothesis_template_id", ["id", "text"], name="labels")
+    h = hypotheses(L.frame(spark, L.TEMPLATES), L.frame(spark, L.LABELS)).where("NOT dup_label")
+    uses = (explode_side(with_title(TB.doc_articles(spark, d)).select("id"), h.select("template_id"))
+            .groupBy("template_id").agg(F.count(F.lit(1)).alias("n_pairs")))
+    out = nested.join(uses, nested.id == uses.template_id, "left")
+    return out.select("id", "text", F.array_join(F.transform("labels", lambda l: l["id"].cast("string")), ",").alias("label_ids"),
+                      F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"))
+
+
+@register("validated_rules")
+def validated_rules(spark, d):
+    """SC-5 + C-5: answer patterns derived from benchmark texts, checked as RE2 and rewritten for Spark.
+    (Validity is decided by a regex compiler, which SQL cannot express: no oracle.)"""
+    from newsflow.operators.manage import validate_rules
+    b = TB.raw(spark, d, "benchmark")
+    word = F.regexp_replace(F.split_part("text", F.lit(" "), F.lit(1)), r"[^\p{L}]", "")
+    suffix = (F.when(F.col("item_id") % 4 == 1, F.lit("("))
+              .when(F.col("item_id") % 4 == 2, F.lit("(?P<w>[[:alpha:]]+)$"))
+              .when(F.col("item_id") % 4 == 3, F.lit("(?=x)")).otherwise(F.lit("")))
+    rules = b.select(F.col("item_id").alias("id"), F.concat(word, suffix).alias("answer_regexp"))
+    valid, invalid = validate_rules(rules)
+    return valid.select("id", "answer_regexp", F.lit(None).cast("string").alias("error")).unionByName(
+        invalid.select("id", "answer_regexp", "error"))
+
+
+@register("same_title_counts", with_tables("doc_articles") + """
+SELECT title, count(*) AS n FROM doc_articles GROUP BY title HAVING count(*) > 1""")
+def same_title_counts(spark, d):
+    """A-1 (+ J-7 input): articles sharing an exact title."""
+    return TB.doc_articles(spark, d).groupBy("title").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@register("same_title_exclusion", with_tables("doc_articles", extra=[
+    ("s", f"SELECT page_id AS web_resource_id, {S.html_title(S.go_trim('html'))} AS title FROM pages"),
+]) + """
+SELECT web_resource_id, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY web_resource_id) AS rn FROM s
+  WHERE title NOT IN (SELECT title FROM doc_articles)) WHERE rn = 1""")
+def same_title_exclusion(spark, d):
+    """J-7: scraped titles equal (exact, case-sensitive) to a stored article title are skipped; first per title."""
+    from newsflow.functions.text import html_title
+    from newsflow.operators.common import first_per_key
+    s = TB.page_texts(spark, d).select("web_resource_id", html_title("text").alias("title"))
+    s = s.join(TB.doc_articles(spark, d).select("title").distinct(), "title", "left_anti")
+    return first_per_key(s, ["title"], ["web_resource_id"])
+
+
+@register("feed_language_sets", with_tables("incoming_feed_items") + """
+SELECT feed_id, array_to_string(list_sort(list_filter(list_distinct(list_concat(list(language), ['xx'])),
+                                                    lambda x: x <> 'en')), ',') AS langs,
+       list_contains(list(language), 'fr') AS has_fr
+FROM incoming_feed_items GROUP BY feed_id""")
+def feed_language_sets(spark, d):
+    """U-3: string-set build / add / delete / membership over each feed's item languages."""
+    s = TB.incoming_feed_items(spark, d).groupBy("feed_id").agg(F.collect_set("language").alias("s"))
+    s = s.select("feed_id", F.array_remove(F.array_union("s", F.array(F.lit("xx"))), "en").alias("s2"),
+                 F.array_contains("s", "fr").alias("has_fr"))
+    return s.select("feed_id", F.array_join(F.array_sort("s2"), ",").alias("langs"), "has_fr")
+
+
+@register("resource_union", with_tables("incoming_feed_items", "incoming_events", "incoming_tweets") + """
+SELECT url, source FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY prio, seq) AS rn FROM (
+    SELECT url, 'feed' AS source, 0 AS prio, item_seq AS seq FROM incoming_feed_items
+    UNION ALL SELECT source_url, 'gdelt', 1, seq FROM incoming_events WHERE length(source_url) > 0
+    UNION ALL SELECT permanent_url, 'tweet', 2, CAST(upstream_id AS BIGINT) FROM incoming_tweets)) WHERE rn = 1""")
+def resource_union(spark, d):
+    """U-5 + ST-8: one web-resource stream from feeds, events and tweets, deduplicated by URL."""
+    from newsflow.operators.common import first_per_key
+    from newsflow.operators.ingest import union_sources
+    u = union_sources(
+        TB.incoming_feed_items(spark, d).select("url", F.lit("feed").alias("source"), F.lit(0).alias("prio"),
+                                                F.col("item_seq").alias("seq")),
+        TB.incoming_events(spark, d).where(F.length("source_url") > 0).select(
+            F.col("source_url").alias("url"), F.lit("gdelt").alias("source"), F.lit(1).alias("prio"), "seq"),
+        TB.incoming_tweets(spark, d).select(F.col("permanent_url").alias("url"), F.lit("tweet").alias("source"),
+                                            F.lit(2).alias("prio"), F.col("upstream_id").cast("long").alias("seq")))
+    return first_per_key(u, ["url"], ["prio", "seq"]).select("url", "source")
+
+
+@register("response_routing", f"""
+WITH r AS (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 404 ELSE 200 END AS status,
+                  CASE page_id % 7 WHEN 0 THEN 'application/pdf' WHEN 1 THEN NULL
+                       WHEN 2 THEN 'TEXT/PLAIN; charset=ISO-8859-1' ELSE 'text/html; charset=utf-8' END AS content_type,
+                  CASE WHEN page_id % 13 = 0 THEN ' ' || chr(10) || ' ' ELSE html END AS body FROM pages)
+SELECT page_id, CASE WHEN status <> 200 THEN 'error'
+                     WHEN NOT coalesce(contains(lower(content_type), 'text') OR contains(lower(content_type), 'html'), FALSE) THEN 'skip'
+                     WHEN NOT {S.has_text('body')} THEN 'skip' ELSE 'ok' END AS outcome,
+       CASE WHEN status = 200 AND coalesce(contains(lower(content_type), 'text') OR contains(lower(content_type), 'html'), FALSE)
+                 AND {S.has_text('body')} THEN length({S.go_trim('body')}) END AS text_length
+FROM r""")
+def response_routing(spark, d):
+    """S-4 + F-7 (non-200 -> error) + F-6/SC-4 (content type) + SC-7 (charset) + F-8 (empty body)."""
+    from newsflow.sources.landed import response_text
+    pg = TB.raw(spark, d, "pages")
+    ct = (F.when(F.col("page_id") % 7 == 0, F.lit("application/pdf")).when(F.col("page_id") % 7 == 1, F.lit(None))
+          .when(F.col("page_id") % 7 == 2, F.lit("TEXT/PLAIN; charset=ISO-8859-1"))
+          .otherwise(F.lit("text/html; charset=utf-8")))
+    body = F.when(F.col("page_id") % 13 == 0, F.lit(" \n ")).otherwise(F.col("html"))
+    resp = pg.select("page_id", F.when(F.col("page_id") % 10 == 0, 404).otherwise(200).alias("status"),
+                     ct.alias("content_type"), body.alias("b"))
+    resp = resp.withColumn("body", F.when(F.col("content_type").contains("ISO-8859-1"), F.encode("b", "ISO-8859-1"))
+                           .otherwise(F.encode("b", "UTF-8")))
+    out = response_text(resp)
+    return out.select("page_id", "outcome", F.length("text").alias("text_length"))

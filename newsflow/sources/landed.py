@@ -169,14 +169,15 @@ def read_web_responses(spark: SparkSession, path: str, stream: bool = False) ->
 def response_text(responses: DataFrame) -> DataFrame:
     """S-4 + F-6 + F-7 + SC-7: split responses into
     ``outcome`` = 'error' (status != 200, retried), 'skip' (not text/html or
-    empty body), 'ok' (decoded, trimmed ``text``)."""
-    from newsflow.functions.text import decode_body, is_text_or_html
-    text = go_trim(decode_body("body", "content_type"))
-    return responses.select(
-        "*",
-        F.when(F.col("status") != 200, F.lit("error"))
-         .when(~is_text_or_html("content_type"), F.lit("skip"))
-         .otherwise(F.lit("ok")).alias("outcome"),
-    ).withColumn("text", F.when(F.col("outcome") == "ok", text)) \
-     .withColumn("outcome", F.when((F.col("outcome") == "ok") & (F.coalesce(F.length("text"), F.lit(0)) == 0),
-                                   F.lit("skip")).otherwise(F.col("outcome")))
+    empty body), 'ok' (decoded, trimmed ``text``; NULL unless ok)."""
+    from newsflow.functions.text import charset_of, decode_charset, is_text_or_html
+    staged = responses.withColumn(
+        "outcome", F.when(F.col("status") != 200, F.lit("error"))
+                    .when(~is_text_or_html("content_type"), F.lit("skip")).otherwise(F.lit("ok")))
+    staged = staged.withColumn("_cs", F.when(F.col("outcome") == "ok", charset_of("content_type", "body")))
+    staged = staged.withColumn("text", F.when(F.col("outcome") == "ok",
+                                              go_trim(decode_charset("body", "_cs"))))
+    empty = (F.col("outcome") == "ok") & (F.coalesce(F.length("text"), F.lit(0)) == 0)
+    return (staged.withColumn("outcome", F.when(empty, F.lit("skip")).otherwise(F.col("outcome")))
+            .withColumn("text", F.when(F.col("outcome") == "ok", F.col("text")))
+            .drop("_cs"))
