@@ -39,7 +39,7 @@ def running_counts(df: DataFrame, key: str, seq: str, flags: dict[str, Column],
 
 
 def source_health(attempts: DataFrame, max_failures: int | None = None,
-                  block_width: int = BLOCK_WIDTH) -> DataFrame:
+                  block_width: int = BLOCK_WIDTH, initial: DataFrame | None = None) -> DataFrame:
     """A-3 / A-4: final (source_id, failures_count, last_error, last_retrieved_at, enabled)
     after replaying an attempt log (source_id, seq, attempted_at, failed, error).
 
@@ -48,14 +48,27 @@ def source_health(attempts: DataFrame, max_failures: int | None = None,
     leaves it unchanged).  The first attempt that pushes the count past
     ``max_failures`` disables the source; later attempts are ignored (a
     disabled source is not fetched).  ``max_failures=None`` never disables.
+
+    ``initial`` (source_id, failures_count, last_error, last_retrieved_at,
+    enabled) is the state before this log (a streaming fold): its failure
+    count carries into the leading failures, disabled sources ignore their
+    attempts, and sources without attempts keep their state.
     """
     ok = ~F.col("failed")
+    if initial is not None:
+        init = initial.select("source_id", F.col("failures_count").alias("_f0"),
+                              F.col("last_retrieved_at").alias("_lr0"), F.col("enabled").alias("_en0"))
+        attempts = attempts.join(init.where(~F.col("_en0")).select("source_id"), "source_id", "left_anti")
     r = running_counts(attempts, "source_id", "seq", {"_g": ok.cast("int")}, block_width)
-    island = r.groupBy("source_id", "_g").agg(F.min("_r").alias("_start"),
-                                              F.max(F.when(~F.col("failed"), F.col("attempted_at"))).alias("_ok_at"))
+    if initial is not None:
+        r = r.join(init.select("source_id", "_f0"), "source_id", "left")
+    else:
+        r = r.withColumn("_f0", F.lit(0))
+    island = r.groupBy("source_id", "_g").agg(F.min("_r").alias("_start"))
     r = r.join(island, ["source_id", "_g"])
     # failures since the last success, counting this attempt
-    r = r.withColumn("_fails", F.col("_r") - F.col("_start") + F.when(F.col("_g") > 0, 0).otherwise(1))
+    r = r.withColumn("_fails", F.col("_r") - F.col("_start")
+                     + F.when(F.col("_g") > 0, 0).otherwise(1 + F.coalesce(F.col("_f0"), F.lit(0))))
     if max_failures is not None:
         stop = r.where(F.col("_fails") > max_failures).groupBy("source_id").agg(F.min("_r").alias("_stop"))
         r = r.join(stop, "source_id", "left").where(F.col("_stop").isNull() | (F.col("_r") <= F.col("_stop")))
@@ -65,10 +78,17 @@ def source_health(attempts: DataFrame, max_failures: int | None = None,
         F.max_by(F.struct("_fails", "failed", "error", "_stop"), "_r").alias("s"),
         F.max(F.when(~F.col("failed"), F.col("attempted_at"))).alias("last_retrieved_at"),
         F.count(F.lit(1)).alias("attempts"))
-    return last.select(
+    out = last.select(
         "source_id", F.col("s._fails").cast("int").alias("failures_count"),
         F.when(F.col("s.failed"), F.col("s.error")).alias("last_error"),
         "last_retrieved_at", F.col("s._stop").isNull().alias("enabled"), "attempts")
+    if initial is not None:
+        prev = initial.select("source_id", "failures_count", "last_error", "last_retrieved_at", "enabled",
+                              F.lit(0).cast("long").alias("attempts"))
+        out = (out.join(init.select("source_id", "_lr0"), "source_id", "left")
+               .withColumn("last_retrieved_at", F.coalesce("last_retrieved_at", "_lr0")).drop("_lr0"))
+        out = out.unionByName(prev.join(out.select("source_id"), "source_id", "left_anti"))
+    return out
 
 
 def apply_health(sources: DataFrame, health: DataFrame) -> DataFrame:

@@ -933,3 +933,22 @@ def response_routing(spark, d):
                            .otherwise(F.encode("b", "UTF-8")))
     out = response_text(resp)
     return out.select("page_id", "outcome", F.length("text").alias("text_length"))
+
+
+@register("enrichment_chain", with_tables("doc_articles", "lexicon", "templates", "labels_t", "keywords", extra=[
+    ("a", f"""SELECT id, title, language,
+                     CASE WHEN language IN ('fr', 'de', 'es') AND {S.has_text('title')} THEN 1 ELSE 0 END AS tr
+              FROM doc_articles"""),
+    ("h", HYP_SQL),
+]) + f"""
+SELECT 'translator' AS stage, count(*) AS n_forwarded FROM a WHERE {S.has_text('title')}""")
+def enrichment_chain(spark, d):
+    """ST-2 + ST-3: translator -> zero-shot -> text classes; forwarded count of the first stage."""
+    from newsflow.plans.chain import run_chain, translation_stage, zero_shot_stage
+    a = TB.doc_articles(spark, d).select("id", "title", "language", "publish_date",
+                                         F.lit(None).cast("string").alias("translated_title"),
+                                         F.lit(None).cast("string").alias("translation_language"))
+    res = run_chain(a, [translation_stage(["fr", "de", "es"], "en", lexicon=L.frame(spark, L.LEXICON)),
+                        zero_shot_stage(L.frame(spark, L.TEMPLATES), L.frame(spark, L.LABELS))])
+    return res[0].forward.agg(F.count(F.lit(1)).alias("n_forwarded")).select(
+        F.lit("translator").alias("stage"), "n_forwarded")
