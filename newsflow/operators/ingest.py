@@ -151,8 +151,9 @@ def normalize_tweets(tweets: DataFrame, resources: DataFrame, stored_tweets: Dat
         df = detect_language(df, "upstream_id", "text", profiles, out="language")
     pre = (F.when(~not_older_than("published_at", cutoff), F.lit("skip"))
            .when(F.col("language").isNull() | ~language_allowed("language", langs), F.lit("skip")))
-    df = df.withColumn("_pre", pre).withColumn("url", go_trim("permanent_url"))
-    df = first_per_key(df, ["url"], [F.col("published_at").desc(), "upstream_id"])
+    df = df.withColumn("_pre", pre).withColumn("url", go_trim("permanent_url")) \
+           .withColumn("_newest", -F.unix_micros("published_at"))
+    df = first_per_key(df, ["url"], ["_newest", "upstream_id"]).drop("_newest")
     res = _resource_lookup(resources)
     has_tweet = stored_tweets.select(F.col("web_resource_id").alias("resource_id"),
                                      F.lit(True).alias("_has_tweet")).distinct()

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsflow.operators.common import bounded_broadcast
+from newsflow.operators.common import bounded_broadcast, spread
 
 TOP = 300
 
@@ -48,7 +48,7 @@ def fit_language_profiles(corpus: DataFrame, text: str = "text", lang: str = "la
     shuffle; the per-language top-k uses a window group limit, so only
     ``top`` rows per language and partition cross the second exchange.
     """
-    grams = (corpus.where(F.col(lang).isNotNull())
+    grams = (spread(corpus.where(F.col(lang).isNotNull()).select(text, lang))
              .select(F.col(lang).alias("lang"), F.explode(trigrams(text)).alias("trigram"))
              .groupBy("lang", "trigram").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("trigram"))

@@ -33,9 +33,19 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_PROFILE_CACHE: dict = {}
+
+
 def _profiles(spark, d):
+    """Language profiles fitted once per session and corpus, then reused by every
+    detection job (a model resource: fit once, broadcast to many jobs)."""
+    from pyspark import StorageLevel
     from newsflow.operators.lang import fit_language_profiles
-    return fit_language_profiles(TB.raw(spark, d, "documents"), "text", "lang")
+    key = (id(spark), d)
+    if key not in _PROFILE_CACHE:
+        _PROFILE_CACHE[key] = fit_language_profiles(TB.raw(spark, d, "documents"), "text", "lang") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+    return _PROFILE_CACHE[key]
 
 
 # ------------------------------------------------------------------ P-4 (flagship / entry)
@@ -447,7 +457,7 @@ def hashed_vectors(spark, d):
     """M-6 + SC-6: default hashed-token vectors (dim 16), L2-normalised; non-zero entries."""
     from newsflow.operators.models import vectorize
     v = vectorize(TB.doc_articles(spark, d), dim=16)
-    return (v.select("web_article_id", F.posexplode("data").alias("idx", "value"))
+    return (v.select("web_article_id", F.posexplode_outer("data").alias("idx", "value"))
             .where(F.col("value") != 0).withColumn("value", F.round("value", 4)))
 
 

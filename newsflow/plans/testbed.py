@@ -21,6 +21,16 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def first_line(col) -> F.Column:
+    """``split_part(text, newline, 1)`` without splitting the whole text."""
+    return F.regexp_extract(col, r"^([^\n]*)", 1)
+
+
+def second_line(col) -> F.Column:
+    """``split_part(text, newline, 2)`` ('' when there is no second line)."""
+    return F.regexp_extract(col, r"^[^\n]*\n([^\n]*)", 1)
+
+
 def _day(n) -> F.Column:
     return F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
 
@@ -33,7 +43,7 @@ def incoming_feed_items(spark, d) -> DataFrame:
         F.col("doc_id").alias("item_seq"),
         F.substring("source", 4, 100).cast("long").alias("feed_id"),
         F.concat(F.lit("https://n.example/"), (F.col("doc_id") % 700).cast("string")).alias("url"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        first_line(F.col("text")).alias("title"),
         F.lit("").alias("description"), F.col("text").alias("content"),
         F.col("lang").alias("language"),
         F.when(F.col("doc_id") % 11 == 0, F.lit(None).cast("timestamp"))
@@ -252,8 +262,8 @@ def vector_articles(spark, d) -> DataFrame:
 def doc_articles(spark, d) -> DataFrame:
     """web_articles of the documents: first line as title, some translated."""
     doc = raw(spark, d, "documents")
-    title = F.split_part("text", F.lit("\n"), F.lit(1))
-    second = F.split_part("text", F.lit("\n"), F.lit(2))
+    title = first_line(F.col("text"))
+    second = second_line(F.col("text"))
     return doc.select(
         F.col("doc_id").alias("id"), F.col("doc_id").alias("web_resource_id"), title.alias("title"),
         F.col("lang").alias("language"),
