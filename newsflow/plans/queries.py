@@ -962,3 +962,30 @@ def enrichment_chain(spark, d):
                         zero_shot_stage(L.frame(spark, L.TEMPLATES), L.frame(spark, L.LABELS))])
     return res[0].forward.agg(F.count(F.lit(1)).alias("n_forwarded")).select(
         F.lit("translator").alias("stage"), "n_forwarded")
+
+
+@register("text_classes_from_labels", """
+SELECT doc_id AS web_article_id, 'quality' AS type, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS label,
+       CAST(1.0 AS FLOAT) AS confidence FROM labels
+UNION ALL
+SELECT doc_id, 'toxic', CASE WHEN toxic = 1 THEN 'yes' ELSE 'no' END, CAST(1.0 AS FLOAT) FROM labels""")
+def text_classes_from_labels(spark, d):
+    """K-3: child-result rows (text_classes shape) appended from an external classifier's labels."""
+    lab = TB.raw(spark, d, "labels")
+    q = lab.select(F.col("doc_id").alias("web_article_id"), F.lit("quality").alias("type"),
+                   F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label"))
+    t = lab.select(F.col("doc_id").alias("web_article_id"), F.lit("toxic").alias("type"),
+                   F.when(F.col("toxic") == 1, "yes").otherwise("no").alias("label"))
+    return q.unionByName(t).withColumn("confidence", F.lit(1.0).cast("float"))
+
+
+@register("twitter_sources_by_type", with_tables("twitter_sources", "incoming_tweets") + """
+SELECT s.type, count(DISTINCT s.id) AS n_sources, count(t.upstream_id) AS n_tweets
+FROM twitter_sources s LEFT JOIN incoming_tweets t ON s.type = 'user' AND t.username = s.text
+WHERE s.deleted_at IS NULL AND s.type IN ('user', 'search') GROUP BY s.type""")
+def twitter_sources_by_type(spark, d):
+    """F-18: user vs query sources (live only), with the tweets of user sources."""
+    s = L.frame(spark, L.TWITTER_SOURCES).where("deleted_at IS NULL AND type IN ('user', 'search')")
+    t = TB.incoming_tweets(spark, d).select("username", "upstream_id")
+    j = s.join(t, (s.type == "user") & (t.username == s.text), "left")
+    return j.groupBy("type").agg(F.countDistinct("id").alias("n_sources"), F.count("upstream_id").alias("n_tweets"))
