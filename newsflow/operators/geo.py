@@ -53,19 +53,14 @@ def geo_parse(articles: DataFrame, gazetteer: DataFrame, max_ngram: int = 3) ->
     Pass 1 matches place names without demonyms; only articles without a
     find in pass 1 get pass 2 with demonyms.
     """
-    arts = articles.select("id", geo_text().alias("g"))
-    toks = arts.select("id", F.posexplode(tokens(F.col("g.text"))).alias("pos", "tok"))
-    w = Window.partitionBy("id").orderBy("pos")
-    grams = toks
-    parts = [toks.select("id", "pos", F.col("tok").alias("name"))]
-    for n in range(2, max_ngram + 1):
-        lead = [F.lead("tok", k).over(w) for k in range(1, n)]
-        parts.append(toks.select("id", "pos", F.concat_ws(" ", F.col("tok"), *lead).alias("name"),
-                                 F.lead("tok", n - 1).over(w).isNotNull().alias("_full"))
-                     .where("_full").drop("_full"))
-    grams = parts[0]
-    for p in parts[1:]:
-        grams = grams.unionByName(p)
+    arts = articles.select("id", tokens(geo_text()["text"]).alias("_t"))
+    # every 1..max_ngram token n-gram with its start position, in one explode (no window, no union)
+    grams_arr = F.flatten(F.array(*[
+        F.transform(F.filter(F.sequence(F.lit(0), F.size("_t") - n), lambda i: i >= 0),
+                    lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("_t", i + 1, n), " ").alias("name")))
+        for n in range(1, max_ngram + 1)]))
+    grams = (arts.where(F.size("_t") > 0)
+             .select("id", F.explode(grams_arr).alias("g")).select("id", "g.pos", "g.name"))
     gz = bounded_broadcast(gazetteer.select("name", "country_code", "kind", "demonym"))
     hits = grams.join(gz, "name")
     kind_rank = F.lit(None).cast("int")

@@ -127,13 +127,17 @@ def zero_shot_classify(articles: DataFrame, templates: DataFrame, labels: DataFr
     label of the descending distribution, ties by label id (W-1).
     """
     arts = with_title(pending_for(articles, results)).select("id", "title_eff")
-    hyp = hypotheses(templates, labels)
-    pairs = explode_side(arts, hyp.where("NOT dup_label").drop("dup_label"))
+    hyp = hypotheses(templates, labels).where("NOT dup_label").drop("dup_label")
     if model is not None:
+        pairs = explode_side(arts, hyp)
         scored = _run_model(pairs, model, "id long, template_id long, label_id long, multi_class boolean, logit double")
     else:
+        # trigram sets once per article and once per label, then one intersect per pair
+        arts = arts.select("id", F.array_distinct(F.coalesce(trigrams("title_eff"), F.array())).alias("_tri"))
+        hyp = hyp.withColumn("_ltri", F.array_distinct(F.coalesce(trigrams("label"), F.array())))
+        pairs = explode_side(arts, hyp.select("template_id", "label_id", "multi_class", "_ltri"))
         scored = pairs.select("id", "template_id", "label_id", "multi_class",
-                              default_nli_logit("title_eff", "label").alias("logit"))
+                              F.size(F.array_intersect("_tri", "_ltri")).cast("double").alias("logit"))
     w = Window.partitionBy("id", "template_id")
     conf = F.when(F.col("multi_class"), 1.0 / (1.0 + F.exp(-F.col("logit")))) \
             .otherwise(F.exp("logit") / F.sum(F.exp("logit")).over(w))
@@ -226,6 +230,15 @@ def default_answers(passage="passage", question="question") -> Column:
     return F.transform(ranked, lambda a: F.struct(a["text"].alias("text"), a["confidence"].alias("confidence")))
 
 
+def _best_answers(sent: Column, q: Column) -> Column:
+    """``default_answers`` over precomputed (text, token set) sentences and question tokens."""
+    scored = F.transform(sent, lambda s, i: F.struct(
+        (F.size(F.array_intersect(s["toks"], q)) / F.greatest(F.size(q), F.lit(1))).cast("float").alias("confidence"),
+        (-i).alias("neg_pos"), s["text"].alias("text")))
+    ranked = F.reverse(F.array_sort(F.filter(scored, lambda a: a["confidence"] > 0)))
+    return F.transform(ranked, lambda a: F.struct(a["text"].alias("text"), a["confidence"].alias("confidence")))
+
+
 def extract_info(articles: DataFrame, rules: DataFrame, results: DataFrame | None = None,
                  model: PandasModel | None = None) -> DataFrame:
     """M-8: (web_article_id, info_extraction_rule_id, text, confidence).
@@ -240,13 +253,18 @@ def extract_info(articles: DataFrame, rules: DataFrame, results: DataFrame | Non
     live = rules.where("enabled AND deleted_at IS NULL").select(
         F.col("id").alias("rule_id"), F.lower("question").alias("question"),
         F.col("answer_regexp").alias("pattern"), F.col("threshold").cast("float").alias("threshold"))
-    pairs = explode_side(arts, live)
     if model is not None:
+        pairs = explode_side(arts, live)
         answered = _run_model(pairs, model, "id long, rule_id long, pattern string, threshold float, "
                                             "answers array<struct<text:string,confidence:float>>")
     else:
+        # sentences and their token sets once per article, question tokens once per rule
+        arts = arts.select("id", F.transform(sentences("passage"), lambda s: F.struct(
+            s.alias("text"), F.array_distinct(tokens(s)).alias("toks"))).alias("_sent"))
+        live = live.withColumn("_q", F.array_distinct(tokens("question"))).drop("question")
+        pairs = explode_side(arts, live)
         answered = pairs.select("id", "rule_id", "pattern", "threshold",
-                                default_answers("passage", "question").alias("answers"))
+                                _best_answers(F.col("_sent"), F.col("_q")).alias("answers"))
     best = answered.select("id", "rule_id", "pattern", "threshold", F.get(F.col("answers"), 0).alias("a"))
     kept = best.where(F.col("a").isNotNull() & (F.col("a.confidence") >= F.col("threshold"))
                       & F.rlike(F.col("a.text"), F.col("pattern")))
