@@ -182,11 +182,35 @@ def _decode_other(body: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([one(b, c) for b, c in zip(body, charset)], dtype=object)
 
 
+# Further web charsets the JVM decodes when the session allows
+# Java charsets (``spark.sql.legacy.javaCharsets``).
+JAVA_WEB_CHARSETS = (
+    "WINDOWS-1250", "WINDOWS-1251", "WINDOWS-1252", "WINDOWS-1253", "WINDOWS-1254", "WINDOWS-1255",
+    "WINDOWS-1256", "WINDOWS-1257", "WINDOWS-1258", "ISO-8859-2", "ISO-8859-3", "ISO-8859-4", "ISO-8859-5",
+    "ISO-8859-6", "ISO-8859-7", "ISO-8859-8", "ISO-8859-9", "ISO-8859-13", "ISO-8859-15", "KOI8-R", "KOI8-U",
+    "SHIFT_JIS", "EUC-JP", "ISO-2022-JP", "GBK", "GB2312", "GB18030", "BIG5", "EUC-KR", "IBM866",
+)
+
+
+def _java_charsets_enabled() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() == "true"
+
+
 def decode_charset(body="body", charset="charset") -> Column:
-    """SC-7 with a known charset column: JVM ``decode`` for the charsets Spark
-    knows; only other charsets (windows-1252, koi8-r, ...) reach the
-    Arrow-batched Python decoder, which sees NULL bodies for every other row."""
+    """SC-7 with a known charset column.
+
+    When the session allows Java charsets, every charset in
+    ``NATIVE_CHARSETS`` + ``JAVA_WEB_CHARSETS`` is decoded by the JVM
+    ``decode`` (unknown names fall back to UTF-8) and no Python runs.
+    Otherwise the built-in charsets decode on the JVM and only the other
+    charsets reach the Arrow-batched Python decoder, which sees NULL bodies
+    for every other row."""
     cs = _c(charset)
+    if _java_charsets_enabled():
+        known = cs.isin(*NATIVE_CHARSETS, *JAVA_WEB_CHARSETS)
+        return F.call_function("decode", _c(body), F.when(known, cs).otherwise(F.lit("UTF-8")))
     native = cs.isin(*NATIVE_CHARSETS)
     jvm = F.decode(_c(body), "UTF-8")
     for name in NATIVE_CHARSETS[1:]:

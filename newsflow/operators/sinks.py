@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsflow.operators.common import bounded_broadcast, first_per_key
+from newsflow.operators.common import first_per_key
 
 
 def insert_if_absent(new: DataFrame, table: DataFrame, keys: list[list[str]],
@@ -45,7 +45,8 @@ def assign_ids(df: DataFrame, start: int | DataFrame, order: list[Column | str],
         "_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
     offsets = offsets.withColumn("_base", base.select("_base").scalar())
     w = Window.partitionBy("_pid").orderBy(*order)
-    out = (ranged.join(bounded_broadcast(offsets.select("_pid", "_off", "_base")), "_pid")
+    # one row per partition: the size bound is n, known before running
+    out = (ranged.join(F.broadcast(offsets.select("_pid", "_off", "_base")), "_pid")
            .withColumn(id_col, F.col("_base") + F.col("_off") + F.row_number().over(w)))
     return out.drop("_pid", "_off", "_base")
 

@@ -129,3 +129,15 @@ def test_health_stream_fold(spark):
     run_stream(stream, health_batch(state, 2), ck, {"availableNow": True}).awaitTermination(300)
     h = read_health(spark, state).first()
     assert (h.failures_count, h.enabled, h.last_error, h.attempts) == (3, False, "c", 3)
+
+
+def test_decode_python_fallback(spark):
+    """Without Java charsets the odd charsets go through the Arrow-batched decoder."""
+    from newsflow.functions.text import decode_body
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        df = spark.createDataFrame([(bytearray("café".encode("cp1252")), "text/html; charset=windows-1252")],
+                                   "body binary, content_type string")
+        assert df.select(decode_body().alias("t")).first().t == "café"
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
