@@ -627,7 +627,7 @@ def knn_hits(spark, d):
     """J-11 + SC-10 + SC-8 + F-14 + U-1 + O-4 + W-5: 5 nearest within 0.65 over days d-3..d (blocked, exact)."""
     from newsflow.operators.knn import knn
     q = _vec_queries(spark, d)
-    hits = knn(q, q, 3, 0.65, "COSINE", k=5, block_rows=64, exclude_self=True)
+    hits = knn(q, q, 3, 0.65, "COSINE", k=5, block_rows=1024, exclude_self=True)
     return hits.select("qid", "id", F.round("distance", 4).alias("distance"), "rank")
 
 
@@ -645,7 +645,7 @@ def duplicates(spark, d):
     from newsflow.operators.knn import detect_duplicates
     v = TB.vectors(spark, d)
     checked = v.where("label = 0").select("web_article_id")
-    out = detect_duplicates(TB.vector_articles(spark, d), v, checked, 3, 0.65, block_rows=64)
+    out = detect_duplicates(TB.vector_articles(spark, d), v, checked, 3, 0.65, block_rows=1024)
     return out.withColumn("distance", F.round("distance", 4))
 
 
