@@ -115,6 +115,21 @@ def parse_rfc3339(col) -> Column:
     return F.try_to_timestamp(null_if_empty(col), F.lit(RFC3339))
 
 
+def parse_id(col) -> Column:
+    """SC-15: struct(id, error) of a numeric id written as text.
+
+    Only unsigned decimal digits that fit a signed 64-bit id parse (no sign,
+    no white space, no fraction).  Anything else keeps ``id`` NULL and puts
+    the reason in ``error``, so one bad row is an isolated error instead of a
+    failed job; NULL text is neither an id nor an error.
+    """
+    c = _c(col)
+    digits = c.rlike(r"^[0-9]{1,19}\z")  # \z: Java's $ also matches before a final newline
+    parsed = F.when(digits, c.try_cast("bigint"))
+    err = F.when(c.isNotNull() & parsed.isNull(), F.concat(F.lit("invalid id: "), c))
+    return F.struct(parsed.alias("id"), err.alias("error"))
+
+
 def unescape_html(col) -> Column:
     out = _c(col)
     for entity, char in HTML_ENTITIES:

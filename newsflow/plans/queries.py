@@ -989,3 +989,17 @@ def twitter_sources_by_type(spark, d):
     t = TB.incoming_tweets(spark, d).select("username", "upstream_id")
     j = s.join(t, (s.type == "user") & (t.username == s.text), "left")
     return j.groupBy("type").agg(F.countDistinct("id").alias("n_sources"), F.count("upstream_id").alias("n_tweets"))
+
+
+@register("ids_from_urls", r"""
+WITH t AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/[^/]+/([^?#]*)', 1) AS id_text FROM pages),
+p AS (SELECT page_id, id_text,
+             CASE WHEN regexp_full_match(id_text, '[0-9]{1,19}') THEN TRY_CAST(id_text AS BIGINT) END AS id FROM t)
+SELECT page_id, id_text, id, CASE WHEN id_text IS NOT NULL AND id IS NULL THEN 'invalid id: ' || id_text END AS error
+FROM p""")
+def ids_from_urls(spark, d):
+    """SC-15: the numeric id in the path of every page URL; text that is not an id is an error of its row."""
+    from newsflow.functions.text import parse_id
+    t = TB.raw(spark, d, "pages").select(
+        "page_id", F.regexp_extract("url", r"^[a-z]+://[^/]+/[^/]+/([^?#]*)", 1).alias("id_text"))
+    return t.select("page_id", "id_text", parse_id("id_text").alias("p")).select("page_id", "id_text", "p.id", "p.error")

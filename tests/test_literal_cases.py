@@ -196,3 +196,15 @@ def test_unicode_trim(spark):
     from newsflow.functions.text import go_trim
     df = spark.createDataFrame([("   title 　\n",)], "s string")
     assert df.select(go_trim("s").alias("t")).first()["t"] == "title"
+
+
+def test_parse_id_accepts_only_plain_digits(spark):
+    from newsflow.functions.text import parse_id
+    texts = ["825", "0", "9223372036854775807", "9223372036854775808", "99999999999999999999",
+             "+1", "-1", " 1", "1 ", "12\n", "1.0", "0x1f", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", parse_id("t").alias("p")).orderBy("i").collect()
+    got = [(r.p.id, r.p.error is not None) for r in rows]
+    assert got[:3] == [(825, False), (0, False), (9223372036854775807, False)]
+    assert all(g == (None, True) for g in got[3:-1])
+    assert got[-1] == (None, False)
