@@ -71,12 +71,39 @@ def detect_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
 
     ``id_col`` must be unique in ``df``.  The profile table has at most
     languages x top rows; it is broadcast after a size check.
+
+    One linear plan, no join back to ``df``: a branch-and-rejoin would
+    evaluate ``df`` twice (column pruning gives the branches different
+    projections, so no exchange is reused), and ``df`` is typically the
+    expensive part (decoded, parsed pages).  Instead the explode emits one
+    extra *carrier* element per row holding the row's other columns; the
+    carrier rides through the trigram aggregations as a grouping key
+    (hash aggregation stays possible), and the last per-id step picks the
+    best language and the row together.  When ``df`` arrives partitioned by
+    the id (as after the id joins of the ingest plans), every step is local.
     """
-    ranks = text_trigram_ranks(df, id_col, text, top)
+    rest = [c for c in df.columns if c != id_col]
+    row = F.struct(*[F.col(c) for c in rest])
+    row_type = df.select(row.alias("r")).schema["r"].dataType
+    no_row = F.lit(None).cast(row_type)
+    grams = F.coalesce(trigrams(text), F.array().cast("array<string>"))
+    items = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("t"), row.alias("row"))),
+                     F.transform(grams, lambda g: F.struct(g.alias("t"), no_row.alias("row"))))
+    x = (df.select(F.col(id_col).alias("_id"), F.explode(items).alias("_e"))
+         .select("_id", F.col("_e.t").alias("trigram"), F.col("_e.row").alias("_row")))
+    counts = x.groupBy("_id", "trigram", "_row").agg(F.count(F.lit(1)).alias("n"))
+    # the carrier sorts last, so it never takes a rank from a real trigram
+    w = Window.partitionBy("_id").orderBy(F.col("trigram").isNull(), F.col("n").desc(), F.col("trigram"))
+    ranked = (counts.withColumn("rank", F.row_number().over(w))
+              .where((F.col("rank") <= top) | F.col("trigram").isNull()))
     prof = bounded_broadcast(profiles.select("lang", "trigram", F.col("rank").alias("prank")))
-    scores = (ranks.join(prof, "trigram")
-              .groupBy("_id", "lang")
+    scores = (ranked.join(prof, "trigram", "left")
+              .groupBy("_id", "lang", "_row")
               .agg(F.sum(F.lit(top) - F.abs(F.col("rank") - F.col("prank"))).alias("score")))
+    matched = F.col("lang").isNotNull()
     best = scores.groupBy("_id").agg(
-        F.min_by("lang", F.struct(-F.col("score"), F.col("lang"))).alias(out))
-    return df.join(best.withColumnRenamed("_id", id_col), id_col, "left")
+        F.min_by(F.when(matched, F.col("lang")),
+                 F.when(matched, F.struct(-F.col("score"), F.col("lang")))).alias(out),
+        F.first("_row", ignorenulls=True).alias("_row"))
+    return best.select(F.col("_id").alias(id_col), *[F.col(f"_row.{c}").alias(c) for c in rest], out) \
+               .select(*df.columns, out)
