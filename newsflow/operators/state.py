@@ -53,41 +53,78 @@ def source_health(attempts: DataFrame, max_failures: int | None = None,
     enabled) is the state before this log (a streaming fold): its failure
     count carries into the leading failures, disabled sources ignore their
     attempts, and sources without attempts keep their state.
+
+    Plan: one windowed pass over (source, seq block) pieces numbers each
+    attempt in its block and counts the failures since the last success in
+    the block.  A table with one row per piece carries "failures since the
+    last success" across blocks (a scan over the block table of each source)
+    and marks the block and position of the first disabling attempt; joined
+    back, it completes every row.  The log is read twice (the pass and its
+    block summary) and a source holding a third of all attempts still spreads
+    over many blocks; no join of the log with an aggregate of itself.
     """
-    ok = ~F.col("failed")
+    key, seq = "source_id", "seq"
+    init = None
     if initial is not None:
-        init = initial.select("source_id", F.col("failures_count").alias("_f0"),
+        init = initial.select(key, F.col("failures_count").alias("_f0"),
                               F.col("last_retrieved_at").alias("_lr0"), F.col("enabled").alias("_en0"))
-        attempts = attempts.join(init.where(~F.col("_en0")).select("source_id"), "source_id", "left_anti")
-    r = running_counts(attempts, "source_id", "seq", {"_g": ok.cast("int")}, block_width)
-    if initial is not None:
-        r = r.join(init.select("source_id", "_f0"), "source_id", "left")
+        attempts = attempts.join(init.where(~F.col("_en0")).select(key), key, "left_anti")
+    b = (attempts.withColumn("_blk", F.floor(F.col(seq) / block_width))
+         .withColumn("_ok", (~F.col("failed")).cast("int")))
+    w = Window.partitionBy(key, "_blk").orderBy(seq)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    loc = b.withColumn("_lr", F.row_number().over(w)).withColumn("_lg", F.sum("_ok").over(run))
+    # failures since the last success of the block (since the block start when none yet)
+    loc = loc.withColumn("_tail", F.col("_lr") - F.coalesce(
+        F.max(F.when(F.col("_ok") == 1, F.col("_lr"))).over(run), F.lit(0)))
+    m = max_failures
+    inner = (F.col("_lg") >= 1) & (F.col("_tail") > F.lit(m)) if m is not None else F.lit(False)
+    blocks = loc.groupBy(key, "_blk").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.when(F.col("_ok") == 1, F.col("_lr"))).alias("_first_ok"),
+        F.max(F.when(F.col("_ok") == 1, F.col("_lr"))).alias("_last_ok"),
+        F.min(F.when(inner, F.col("_lr"))).alias("_inner_stop"))
+    before = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_C", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # global position of the last success before the block (positions only grow)
+    blocks = blocks.withColumn("_P", F.max(F.col("_C") + F.col("_last_ok")).over(before))
+    if init is not None:
+        blocks = blocks.join(init.select(key, "_f0"), key, "left")
     else:
-        r = r.withColumn("_f0", F.lit(0))
-    island = r.groupBy("source_id", "_g").agg(F.min("_r").alias("_start"))
-    r = r.join(island, ["source_id", "_g"])
-    # failures since the last success, counting this attempt
-    r = r.withColumn("_fails", F.col("_r") - F.col("_start")
-                     + F.when(F.col("_g") > 0, 0).otherwise(1 + F.coalesce(F.col("_f0"), F.lit(0))))
-    if max_failures is not None:
-        stop = r.where(F.col("_fails") > max_failures).groupBy("source_id").agg(F.min("_r").alias("_stop"))
-        r = r.join(stop, "source_id", "left").where(F.col("_stop").isNull() | (F.col("_r") <= F.col("_stop")))
+        blocks = blocks.withColumn("_f0", F.lit(0))
+    blocks = blocks.withColumn("_carry", F.when(F.col("_P").isNull(), F.col("_C") + F.coalesce("_f0", F.lit(0)))
+                               .otherwise(F.col("_C") - F.col("_P")))
+    if m is not None:
+        # leading failures of the block count on from the carry: the first with lr + carry > m
+        lead = F.coalesce(F.col("_first_ok") - 1, F.col("_n"))
+        cand = F.greatest(F.lit(1).cast("long"), F.lit(m + 1) - F.col("_carry"))
+        blocks = blocks.withColumn("_bstop", F.coalesce(F.when(cand <= lead, cand), F.col("_inner_stop")))
+        blocks = blocks.withColumn("_stopped_before", F.coalesce(
+            F.max(F.col("_bstop").isNotNull().cast("int")).over(before), F.lit(0)) > 0)
     else:
-        r = r.withColumn("_stop", F.lit(None).cast("long"))
-    last = r.groupBy("source_id").agg(
-        F.max_by(F.struct("_fails", "failed", "error", "_stop"), "_r").alias("s"),
+        blocks = (blocks.withColumn("_bstop", F.lit(None).cast("long"))
+                  .withColumn("_stopped_before", F.lit(False)))
+    r = loc.join(blocks.select(key, "_blk", "_C", "_carry", "_bstop", "_stopped_before"), [key, "_blk"])
+    r = r.where(~F.col("_stopped_before") & (F.col("_bstop").isNull() | (F.col("_lr") <= F.col("_bstop"))))
+    r = r.select(key, "failed", "error", "attempted_at",
+                 (F.col("_C") + F.col("_lr")).alias("_r"),
+                 (F.col("_tail") + F.when(F.col("_lg") == 0, F.col("_carry")).otherwise(F.lit(0))).alias("_fails"),
+                 F.coalesce(F.col("_lr") == F.col("_bstop"), F.lit(False)).alias("_is_stop"))
+    last = r.groupBy(key).agg(
+        F.max_by(F.struct("_fails", "failed", "error"), "_r").alias("s"),
         F.max(F.when(~F.col("failed"), F.col("attempted_at"))).alias("last_retrieved_at"),
+        F.max("_is_stop").alias("_stopped"),
         F.count(F.lit(1)).alias("attempts"))
     out = last.select(
-        "source_id", F.col("s._fails").cast("int").alias("failures_count"),
+        key, F.col("s._fails").cast("int").alias("failures_count"),
         F.when(F.col("s.failed"), F.col("s.error")).alias("last_error"),
-        "last_retrieved_at", F.col("s._stop").isNull().alias("enabled"), "attempts")
-    if initial is not None:
-        prev = initial.select("source_id", "failures_count", "last_error", "last_retrieved_at", "enabled",
+        "last_retrieved_at", (~F.col("_stopped")).alias("enabled"), "attempts")
+    if init is not None:
+        prev = initial.select(key, "failures_count", "last_error", "last_retrieved_at", "enabled",
                               F.lit(0).cast("long").alias("attempts"))
-        out = (out.join(init.select("source_id", "_lr0"), "source_id", "left")
+        out = (out.join(init.select(key, "_lr0"), key, "left")
                .withColumn("last_retrieved_at", F.coalesce("last_retrieved_at", "_lr0")).drop("_lr0"))
-        out = out.unionByName(prev.join(out.select("source_id"), "source_id", "left_anti"))
+        out = out.unionByName(prev.join(out.select(key), key, "left_anti"))
     return out
 
 

@@ -120,3 +120,20 @@ def test_blocking_does_not_change_results(spark):
                      for r in detect_duplicates(arts, v, None, 3, 0.7, block_rows=br).collect()}
     x, y = dd(3), dd(10_000)
     assert x == y
+
+
+def test_health_blocks_do_not_change_results(spark):
+    """Tiny seq blocks (the failure runs and the disabling attempt cross block edges) give the
+    same health as one block per source, with and without a carried initial state."""
+    from newsflow.operators.state import source_health
+    from newsflow.plans import testbed as TB
+    att = TB.fetch_attempts(spark, "/root/testdata/sf0.001")
+    init = source_health(att.where("seq % 3 = 0"), 2).select(
+        "source_id", "failures_count", "last_error", "last_retrieved_at", "enabled")
+    def run(width, mx, initial=None):
+        return sorted(tuple(r) for r in source_health(att, mx, block_width=width, initial=initial).collect())
+    for mx in (2, 5, None):
+        ref = run(1 << 20, mx)
+        assert ref and all(run(w, mx) == ref for w in (1, 2, 3, 7))
+    ref = run(1 << 20, 3, init)
+    assert all(run(w, 3, init) == ref for w in (1, 3))
