@@ -137,3 +137,14 @@ def test_health_blocks_do_not_change_results(spark):
         assert ref and all(run(w, mx) == ref for w in (1, 2, 3, 7))
     ref = run(1 << 20, 3, init)
     assert all(run(w, 3, init) == ref for w in (1, 3))
+
+
+def test_detection_keeps_every_row(spark, profiles):
+    """Rows without letters (NULL, empty, digits) come back with a NULL language; other columns are untouched."""
+    from newsflow.operators.lang import detect_language
+    df = spark.createDataFrame([(1, "the cat sat on the mat with the other cats", "a"), (2, None, "b"),
+                                (3, "", "c"), (4, "1234 5678", None)], "id long, title string, extra string")
+    got = {r.id: (r.extra, r.detected_language) for r in detect_language(df, "id", "title", profiles).collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[1][0] == "a" and got[1][1] is not None
+    assert got[2] == ("b", None) and got[3] == ("c", None) and got[4] == (None, None)
