@@ -1,9 +1,9 @@
 """Source health, work order and pending-work recovery (A-3, A-4, O-1, O-2, O-5, F-17, ST-4, ST-5).
 
-Running counts over a per-source attempt log are computed with a
-distributed scan: the log is cut into (source, seq block) pieces, each
-piece is numbered locally, and block offsets come from a table with one
-row per piece.  A source holding a third of all attempts is thus spread
+Source health over a per-source attempt log is a distributed scan: the
+log is cut into (source, seq block) pieces, each piece is numbered
+locally, and what carries across pieces comes from a table with one row
+per piece.  A source holding a third of all attempts is thus spread
 over many tasks instead of one window partition.
 """
 
@@ -20,24 +20,6 @@ from newsflow.operators.sinks import assign_ids
 BLOCK_WIDTH = 1 << 20
 
 
-def running_counts(df: DataFrame, key: str, seq: str, flags: dict[str, Column],
-                   block_width: int = BLOCK_WIDTH) -> DataFrame:
-    """Add inclusive running sums of each 0/1 flag (and ``_r``, the running row
-    count) per ``key`` in ``seq`` order."""
-    sums = {"_r": F.lit(1), **flags}
-    b = df.withColumn("_blk", F.floor(F.col(seq) / block_width)) \
-          .select("*", *[c.cast("long").alias(f"_f{n}") for n, c in sums.items()])
-    w_in = Window.partitionBy(key, "_blk").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.select("*", *[F.sum(f"_f{n}").over(w_in).alias(f"_l{n}") for n in sums])
-    per_block = b.groupBy(key, "_blk").agg(*[F.sum(f"_f{n}").alias(f"_t{n}") for n in sums])
-    w_blk = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(key, "_blk", *[F.coalesce(F.sum(f"_t{n}").over(w_blk), F.lit(0)).alias(f"_o{n}")
-                                              for n in sums])
-    out = local.join(offsets, [key, "_blk"])
-    out = out.select(*df.columns, *[(F.col(f"_l{n}") + F.col(f"_o{n}")).alias(n) for n in sums])
-    return out
-
-
 def source_health(attempts: DataFrame, max_failures: int | None = None,
                   block_width: int = BLOCK_WIDTH, initial: DataFrame | None = None) -> DataFrame:
     """A-3 / A-4: final (source_id, failures_count, last_error, last_retrieved_at, enabled)
