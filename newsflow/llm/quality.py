@@ -25,9 +25,10 @@ from newsflow.llm.common import SPACES, written
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("x0", "x1", "x2", "x3")
 #: Smallest scale of each feature: a feature that most documents share exactly has no spread of its own.
-FLOORS = (0.03, 0.05, 0.05, 0.05)
+#: Repeats get a wide one, so that up to the base rule's 30 % they weigh little alone.
+FLOORS = (0.03, 0.05, 0.1, 0.05)
 HELD, LEAST, STEPS, FINE = 0.75, 200, 3, 16
-CUTOFF = 60.0
+CUTOFF = 150.0
 WINDOW = 8
 
 
@@ -72,8 +73,7 @@ def features(d: DataFrame) -> DataFrame:
     return d.withColumns({
         "x0": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n),
         "x1": F.asinh(20 * F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
-        "x2": F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)))
-        + F.sqrt(F.col("n_repeat_words") / n),
+        "x2": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)) + F.col("n_repeat_words") / n,
         "x3": F.log(F.greatest(F.col("n_distinct"), F.lit(1)) + 1) / F.log(n + 1),
         "base_failed": failed})
 
