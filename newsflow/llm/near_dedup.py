@@ -10,9 +10,11 @@ At a Jaccard similarity of 0.85 a pair is farther apart with a chance of some
 
 No bucket is expanded into its pairs.  Texts with one shingle set are one class.
 In a bucket each class is paired with the smallest class only; confirmed links
-are joined into components; then only classes of one bucket that are still in
-different components are paired.  What is left untested is inside one component
-or beyond the distance.  Every link is confirmed on the full shingle sets.
+are joined into components; classes still apart are paired with the one that has
+the fewest shingles of its own; then only classes of one bucket that are still in
+different components, and can reach the similarity by the shingles they do not
+have alone, are paired.  What is left untested is inside one component, beyond
+the distance or below the bound.  Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -118,6 +120,33 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, label) of the buckets whose classes are not all in one component yet."""
+    group = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    some = group.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
+    return written(group.join(some.select("key"), "key", "left_semi"), "open")
+
+
+def single_shingles(sets: DataFrame, group: DataFrame) -> DataFrame:
+    """(node, n, u): the size of each class's set and how many of its shingles no other class of ``group`` has.
+
+    Two sets share at most min(n - u) shingles, which bounds their similarity without comparing them.
+    """
+    def spread(batches):
+        for b in batches:
+            for node, hashes in zip(b["node"].to_pylist(), b["hashes"].to_pylist()):
+                h = np.frombuffer(hashes, "<i8")
+                yield pa.record_batch([pa.array(h), pa.array([node] * len(h), pa.binary())], names=["h", "node"])
+
+    here = sets.join(group.select("node").distinct(), "node", "left_semi")
+    alone = here.mapInArrow(spread, "h long, node binary").groupBy("h").agg(
+        F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(
+        F.count(F.lit(1)).alias("u"))
+    sizes = here.select("node", (F.length("hashes") / 8).cast("long").alias("n"))
+    return written(sizes.join(alone, "node", "left").select("node", "n", F.coalesce("u", F.lit(0).cast("long")).alias("u")),
+                   "single")
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, set) for the classes of the documents in ``wanted`` (doc_id)."""
     def build(batches):
@@ -158,12 +187,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     edges = written(confirmed(star, sets, percent), "links")
     labels = components(edges)
 
-    group = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_keys = group.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
-    group = written(group.join(open_keys.select("key"), "key", "left_semi"), "open")
-    left, right = group.toDF("key", "a", "la"), group.toDF("key", "b", "lb")
-    rest = left.join(right, "key").where("la < lb").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    group = open_buckets(shared, labels)
+    own = single_shingles(sets, group)
+    # the class with the fewest shingles of its own stands in the middle of its bucket
+    middle = group.join(own, "node").groupBy("key").agg(
+        F.min(F.struct(F.col("u") / F.col("n"), "node", "label")).alias("mid"))
+    second = group.join(middle.select("key", F.col("mid.node").alias("mid"), F.col("mid.label").alias("theirs")), "key")
+    second = second.where("label != theirs").select(F.least("node", "mid").alias("a"), F.greatest("node", "mid").alias("b"))
+    second = written(second.distinct().join(star, ["a", "b"], "left_anti"), "second")
+    edges = written(edges.union(confirmed(close_pairs(second, classes, limit), sets, percent)), "links")
+    labels = components(edges)
+
+    able = own.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
+    group = open_buckets(shared.join(able.select("node"), "node", "left_semi"), labels).join(able, "node")
+    left, right = (group.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "u")))
+                   for side in "ab")
+    common = F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b"))
+    rest = left.join(right, (left["key"] == right["key"]) & (F.col("label_a") < F.col("label_b"))
+                     & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)))
+    rest = rest.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    rest = rest.join(star.union(second), ["a", "b"], "left_anti")
     more = written(confirmed(close_pairs(rest, classes, limit), sets, percent), "links")
     if not more.isEmpty():
         labels = components(edges.union(more))
