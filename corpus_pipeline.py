@@ -10,8 +10,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsflow.llm import mixing, near_dedup, packing, quality
+from newsflow.llm import mixing, near_dedup, packing, pii, quality
 from newsflow.llm.queries import tokenizer_file
 from newsflow.session import ensure_checkpoint_dir
 
@@ -26,6 +27,12 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return near_dedup.one_of_each(docs, percent=80)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with personal data redacted; n_chars follows the text."""
+    clean = pii.without_personal_data(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out by the mix, in training order."""
     return mixing.mixed_documents(docs)
@@ -37,7 +44,7 @@ def curve_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [("quality_rules", quality_rules), ("minhash_near_dedup", minhash_near_dedup),
-          ("source_mix", source_mix), ("curve_packing", curve_packing)]
+          ("personal_data", personal_data), ("source_mix", source_mix), ("curve_packing", curve_packing)]
 
 #: Near-duplicate groups, robust estimates and tokens are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

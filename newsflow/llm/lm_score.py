@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import byte_slices, small_batches, texts_of
-from newsflow.llm.shingles import word_hashes
+from newsflow.llm.common import small_batches, texts_of, written
 
 BASE, WIDTH, REACH = 32, 16, 2
 CODES = BASE * BASE
@@ -30,8 +29,16 @@ SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 SLOT, STEP_WORDS, RATE = 1024, 8192, 0.1
 
 
-def codes_of(text: bytes | memoryview) -> np.ndarray:
-    return (word_hashes(text) >> np.uint64(32)).astype(np.int64) % CODES
+def coded(docs: DataFrame) -> DataFrame:
+    """(doc_id, codes) of (doc_id, text): the hash codes of the lower-cased words, in order."""
+    words = F.array_remove(F.split(F.translate(F.lower("text"), "\t\n\x0b\x0c\r", "     "), " "), "")
+    return docs.select("doc_id", F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(CODES)).cast("short")).alias("codes"))
+
+
+def code_lists(column: pa.Array) -> list[np.ndarray]:
+    """The codes of each row of a list column."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b].astype(np.int64) for a, b in zip(ends, ends[1:])]
 
 
 def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -64,7 +71,7 @@ def padded(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=1, keepdims=True))
+    z = np.exp(np.maximum(z - z.max(), -80))
     return z / z.sum(axis=1, keepdims=True)
 
 
@@ -108,29 +115,30 @@ def train_step(net, past, row, at) -> None:
         net[name] -= RATE * g / np.sqrt(past[name] + 1e-6)
 
 
-def code_counts(docs: DataFrame) -> np.ndarray:
+def code_counts(codes: DataFrame) -> np.ndarray:
     """Count of each code over all documents."""
     def count(batches):
         total = np.zeros(CODES, np.int64)
         for b in batches:
-            for t in byte_slices(b["text"]):
-                total += np.bincount(codes_of(t), minlength=CODES)
+            for c in code_lists(b["codes"]):
+                total += np.bincount(c, minlength=CODES)
         yield pa.record_batch([np.arange(CODES), total], names=["code", "n"])
     out = np.zeros(CODES, np.int64)
-    for r in docs.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
+    for r in codes.select("codes").mapInArrow(count, "code long, n long").groupBy("code").agg(
+            F.sum("n").alias("n")).collect():
         out[r["code"]] = r["n"]
     return out
 
 
-def fit(docs: DataFrame) -> np.ndarray:
-    """Parameters fitted to all documents of (doc_id, text)."""
-    begin = start(code_counts(docs))
+def fit(codes: DataFrame) -> np.ndarray:
+    """Parameters fitted to all documents of (doc_id, codes)."""
+    begin = start(code_counts(codes))
 
     def local(batches):
         flat, past, words = begin.copy(), np.zeros(SIZE, np.float32), 0
         net, sums = unpacked(flat), unpacked(past)
         for b in batches:
-            row, at = padded([codes_of(t) for t in byte_slices(b["text"])])
+            row, at = padded(code_lists(b["codes"]))
             for lo in range(0, len(at), STEP_WORDS):
                 train_step(net, sums, row, at[lo:lo + STEP_WORDS])
             words += len(at)
@@ -155,7 +163,7 @@ def fit(docs: DataFrame) -> np.ndarray:
                                pa.array([d[1].astype("<f4").tobytes() for d in done], pa.binary())],
                               names=["slot", "part"])
 
-    parts = docs.mapInArrow(local, "slot long, words long, part binary")
+    parts = codes.select("codes").mapInArrow(local, "slot long, words long, part binary")
     averaged = parts.repartition("slot").sortWithinPartitions("slot", "words", "part").mapInArrow(
         mean, "slot long, part binary")
     flat = begin.copy()
@@ -172,13 +180,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows.  Columns beside doc_id and text are not read.
     """
     small_batches(docs.sparkSession)
-    base = texts_of(docs)
-    flat = fit(base)
+    codes = written(coded(texts_of(docs)), "codes")
+    flat = fit(codes)
 
     def score(batches):
         net = unpacked(flat)
         for b in batches:
-            documents = [codes_of(t) for t in byte_slices(b["text"])]
+            documents = code_lists(b["codes"])
             row, at = padded(documents)
             sizes = np.array([len(d) for d in documents])
             ends = np.cumsum(sizes)
@@ -187,4 +195,4 @@ def score_documents(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(sums),
                                    pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)],
                                   names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
-    return base.mapInArrow(score, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    return codes.mapInArrow(score, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")

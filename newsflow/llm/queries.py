@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsflow.llm import mixing, near_dedup, packing, quality, token_output
+from newsflow.llm import (lm_score, mixing, near_dedup, packing, pii, quality, secret_scan, suffix_dedup, token_output,
+                          topk)
 from newsflow.llm.common import read_table
 
 
@@ -19,10 +20,22 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op3_masked_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op4_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -37,11 +50,20 @@ def op7_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digest(spark, path)
 
 
+def op8_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op9_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
+def op10_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_curve_packing, op5_minhash_near_dedup, op6_curriculum_mix, op7_huffman_tokens, op9_mcd_quality)}
+    op1_segment_topk, op2_curve_packing, op3_masked_lm_scores, op4_run_length_dedup, op5_minhash_near_dedup,
+    op6_curriculum_mix, op7_huffman_tokens, op8_forest_secrets, op9_mcd_quality, op10_crf_personal_data)}
 
 ORACLE: dict[str, str] = {}
