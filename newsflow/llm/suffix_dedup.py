@@ -30,6 +30,7 @@ LENGTH, SEED = 100, 32
 WINDOWS = LENGTH - SEED + 1
 CHUNK_BYTES = 1 << 20
 HELD_ANCHORS = 1 << 20
+GROUP_BYTES = 1 << 17
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _ODD = mix64(np.arange(1000, 1010, dtype=np.uint64)) | np.uint64(1)
 ROWS = "kind int, key long, ctx long, doc long, lo long, hi long"
@@ -46,10 +47,15 @@ def seed_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchor_runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, context hash, first, last window start) of each run of windows with one anchor."""
+def anchor_runs(data: np.ndarray, ends: np.ndarray):
+    """(anchor hash, context hash, text number, first, last window start) of the runs of windows with one anchor.
+
+    ``data`` holds texts end to end, ``ends`` their ends; windows stay inside a text and are counted from its start.
+    """
     h = seed_hashes(data)
     n = len(data) - LENGTH + 1
+    text = np.searchsorted(ends, np.arange(n), "right")
+    inside = np.flatnonzero(np.arange(n) + LENGTH <= ends[text])
     value, place, width = h, np.arange(len(h), dtype=np.int32), 1
     while 2 * width <= WINDOWS:
         left = value[:-width] <= value[width:]
@@ -58,14 +64,18 @@ def anchor_runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         width *= 2
     gap = WINDOWS - width
     a, b = (value[:n], value[gap:gap + n]) if gap else (value[:n], value[:n])
-    place = np.where(a <= b, place[:n], place[gap:gap + n])
-    lo = np.flatnonzero(np.diff(place, prepend=-1))
-    hi = np.append(lo[1:] - 1, n - 1)
+    place = np.where(a <= b, place[:n], place[gap:gap + n])[inside]
+    text = text[inside]
+    new = np.ones(len(inside), bool)
+    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    lo, hi = inside[first], inside[np.append(first[1:], len(inside)) - 1]
     # the context's hash from running sums of its bytes' powers, scaled to its own start
     power = _powers(len(data) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * power[0][:len(data)])])
     ctx = mix64((sums[hi + LENGTH] - sums[lo]) * power[1][lo] + (hi - lo).astype(np.uint64))
-    return mix64(h[place[lo]]).view(np.int64), ctx.view(np.int64), lo, hi
+    begin = np.concatenate([[0], ends])[text[first]]
+    return mix64(h[place[first]]).view(np.int64), ctx.view(np.int64), text[first], lo - begin, hi - begin
 
 
 _POWERS: list = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -96,6 +106,21 @@ def split_first(key, ctx, doc, lo, hi):
     return new, again
 
 
+def text_groups(batch: pa.RecordBatch):
+    """The texts of a batch that have a window, some ``GROUP_BYTES`` together."""
+    docs, texts, size = [], [], 0
+    for doc, text in zip(batch["doc"].to_pylist(), byte_slices(batch["text"])):
+        if len(text) >= LENGTH:
+            docs.append(doc)
+            texts.append(text)
+            size += len(text)
+            if size >= GROUP_BYTES:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def local_anchors(batches):
     """Anchors of each text (kind 0), one per context and task; the task's other occurrences are marks (kind 1)."""
     held: list[tuple] = []
@@ -109,15 +134,14 @@ def local_anchors(batches):
         yield rows(0, *(x[new] for x in (key, ctx, doc, lo, hi)))
         yield rows(1, mix64(doc[again]).view(np.int64), lo[again], *(x[again] for x in (doc, lo, hi)))
     for b in batches:
-        docs = b["doc"].to_pylist()
-        for doc, text in zip(docs, byte_slices(b["text"])):
-            if len(text) >= LENGTH:
-                runs = anchor_runs(np.frombuffer(text, np.uint8))
-                held.append((*runs, np.full(len(runs[0]), doc, np.int64)))
-                count += len(runs[0])
-                if count >= HELD_ANCHORS:
-                    yield from flush()
-                    held, count = [], 0
+        for docs, texts in text_groups(b):
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            key, ctx, text, lo, hi = anchor_runs(data, np.cumsum([len(t) for t in texts]))
+            held.append((key, ctx, lo, hi, np.array(docs, np.int64)[text]))
+            count += len(key)
+            if count >= HELD_ANCHORS:
+                yield from flush()
+                held, count = [], 0
     if held:
         yield from flush()
 
@@ -179,7 +203,7 @@ class RunLengthIndex:
             rank = np.unique(pair(rank, width), return_inverse=True)[1]
             width *= 2
         shorter = pair(rank, length - 1 - width)  # order by all symbols but the last
-        order = np.argsort(pair(rank, length - width), kind="stable")
+        order = np.argsort(pair(rank, length - width))
         same = shorter[order]
         self.groups = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
         self.group_ends = np.append(self.groups[1:], n)
@@ -336,24 +360,33 @@ def repeat_digest(docs: DataFrame) -> DataFrame:
     columns beside doc_id and text are not read.
     """
     marks, base = repeated_spans(docs)
-    per_doc = marks.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # a mark reaches over less than 128 window starts, so start and reach go into one number
+    per_doc = marks.groupBy("doc").agg(F.collect_list(F.col("lo") * 128 + F.col("hi") - F.col("lo")).alias("spans"))
 
     def digest(batches):
         import zstandard
         grow = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
-            for z, spans in zip(b["z"].to_pylist(), b["spans"].to_pylist()):
+            marks = b["spans"]
+            values, places = marks.values.to_numpy(), marks.offsets.to_numpy()
+            for z, a, e in zip(b["z"].to_pylist(), places, places[1:]):
                 text = grow.decompress(z) if z else b""
-                edge = np.zeros(len(text) + 1, np.int32)
-                for s in spans or ():
-                    a, e = min(s["lo"], len(text)), min(s["hi"] + LENGTH, len(text))
-                    edge[a] += 1
-                    edge[e] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
-                starts = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                out.append((int(gone.sum()), starts, hashlib.sha256(kept).hexdigest()))
+                if a == e:
+                    out.append((0, 0, hashlib.sha256(text).hexdigest()))
+                    continue
+                lo = np.minimum(values[a:e] >> 7, len(text))
+                hi = np.minimum((values[a:e] >> 7) + (values[a:e] & 127) + LENGTH, len(text))
+                order = np.argsort(lo)
+                lo, hi = lo[order], np.maximum.accumulate(hi[order])
+                opens = np.flatnonzero(np.append(True, lo[1:] > hi[:-1]))
+                starts, stops = lo[opens], hi[np.append(opens[1:], len(lo)) - 1]
+                digest, done = hashlib.sha256(), 0
+                for x, y in zip(starts.tolist(), stops.tolist()):
+                    digest.update(text[done:x])
+                    done = y
+                digest.update(text[done:])
+                out.append((int((stops - starts).sum()), int((stops > starts).sum()), digest.hexdigest()))
             removed, spans, sha = zip(*out) if out else ((), (), ())
             yield pa.record_batch([b["doc_id"], b["n_bytes"], pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                                    pa.array(sha, pa.string())],
