@@ -25,7 +25,7 @@ from newsflow.llm.common import byte_slices, shuffle_width, small_batches, texts
 from newsflow.llm.tokenise import encoder
 from newsflow.session import ensure_checkpoint_dir
 
-MAX_BITS, STEP, BLOCK_IDS, ID_SPACE = 18, 256, 1 << 16, 1 << 16
+MAX_BITS, STEP, BLOCK_IDS, ID_SPACE = 18, 256, 1 << 18, 1 << 16
 MAGIC = 0x4E464831  # "NFH1"
 NULL_ID = -(1 << 63)
 
@@ -228,8 +228,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     starts.write.parquet(f"{path}/starts")
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (bucket, number, position, doc_id, n_tokens, ids) decoded from the files, ids as uint32 bytes."""
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Rows (bucket, number, before, doc_id, n_tokens, ids_crc32, ids) decoded from the files.
+
+    ``ids`` are little-endian uint32 bytes, null where ``with_ids`` is false;
+    ``ids_crc32`` is the checksum of those bytes.
+    """
     small_batches(spark)
     lengths = np.zeros(ID_SPACE, np.uint8)
     for r in spark.read.parquet(f"{path}/lengths").collect():
@@ -244,21 +248,24 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(sizes)
                 wide = ids.astype("<u4")
                 n = len(own)
+                cuts = [(4 * int(e - s), 4 * int(e)) for e, s in zip(ends, sizes)]
+                raw = memoryview(wide.tobytes())
                 yield pa.record_batch(
                     [pa.array(np.full(n, bucket)), pa.array(np.full(n, number)), pa.array(ends - sizes),
                      pa.array(own, mask=own == NULL_ID), pa.array(sizes),
-                     pa.array([wide[e - s:e].tobytes() for e, s in zip(ends, sizes)], pa.binary())],
-                    names=["bucket", "number", "before", "doc_id", "n_tokens", "ids"])
+                     pa.array([zlib.crc32(raw[a:e]) for a, e in cuts], pa.int64()),
+                     pa.array([raw[a:e].tobytes() if with_ids else None for a, e in cuts], pa.binary())],
+                    names=["bucket", "number", "before", "doc_id", "n_tokens", "ids_crc32", "ids"])
 
     return spark.read.parquet(f"{path}/blocks").mapInArrow(
-        decode, "bucket long, number long, before long, doc_id long, n_tokens long, ids binary")
+        decode, "bucket long, number long, before long, doc_id long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
-    ids = read_token_files(spark, path)
+    ids = read_token_files(spark, path, with_ids=False)
     starts = spark.read.parquet(f"{path}/starts")
-    return ids.select("*", F.crc32("ids").alias("ids_crc32")).drop("ids").join(starts, ["bucket", "number"]).select(
+    return ids.drop("ids").join(starts, ["bucket", "number"]).select(
         "doc_id", (F.col("first_id") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -16,8 +16,8 @@ from array import array
 
 import numpy as np
 
-CACHE_UNITS = 500_000
-CACHE_WORDS = 800_000
+CACHE_UNITS = 1_000_000
+CACHE_WORDS = 1_500_000
 
 # ASCII punctuation; an apostrophe can join the letters after it, so it is left out.
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
