@@ -31,6 +31,7 @@ from newsflow.llm.common import byte_slices, small_batches, texts_of, written
 from newsflow.llm.shingles import shingle_set, signature
 
 SYMBOLS, CHUNKS = 128, 8
+EDGES_A_TASK = 100_000
 
 
 def class_id(hashes: np.ndarray) -> bytes:
@@ -105,16 +106,17 @@ def components(edges: DataFrame) -> DataFrame:
     of that label, so rounds grow with the logarithm of the longest path.
     """
     both = written(edges.union(edges.select("b", "a")).distinct().toDF("node", "other"), "edges")
+    wide = 1 + both.count() // EDGES_A_TASK  # tasks in proportion to the edges: a small graph takes few
     labels = written(both.groupBy("node").agg(F.min("other").alias("m"))
-                     .select("node", F.least("node", "m").alias("label")), "labels")
+                     .select("node", F.least("node", "m").alias("label")).coalesce(wide), "labels")
     while True:
         near = both.join(labels.toDF("other", "theirs"), "other").groupBy("node").agg(F.min("theirs").alias("theirs"))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"),
                                                 F.least("label", "theirs").alias("label"))
-        step = written(step, "labels")
+        step = written(step.coalesce(wide), "labels")
         jump = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
         step = written(step.join(jump, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+            "node", "old", F.least("label", F.coalesce("further", "label")).alias("label")).coalesce(wide), "labels")
         labels = step.select("node", "label")
         if step.where(F.col("old") != F.col("label")).isEmpty():
             return labels
