@@ -119,7 +119,8 @@ def openings() -> np.ndarray:
 
     A name is capitalised and follows a title or an introduction; an
     address begins with a number; an identity number follows an introducing
-    word.  A line without such a pair has no span, whatever the weights.
+    word.  A span ends with a word that ends in punctuation.  A line without a
+    pair that may begin a span has none, whatever the weights.
     """
     of = lambda *kinds, closed=(0, 1): [2 * KINDS.index(k) + c for k in kinds for c in closed]
     ok = np.zeros((CLASSES, CLASSES, len(LABELS)), bool)
@@ -127,7 +128,8 @@ def openings() -> np.ndarray:
     ok[np.ix_(of("title", "introduction"), of("cap", "initial"), [LABELS.index("B-name")])] = True
     ok[:, of("short number", closed=(0,)), LABELS.index("B-address")] = True
     ok[np.ix_(of("introduction", "id word", "link"), of("dashed number"), [LABELS.index("B-id")])] = True
-    ok[:, :, [i for i, x in enumerate(LABELS) if x[0] == "I"]] = True
+    further = [i for i, x in enumerate(LABELS) if x[0] == "I"]
+    ok[np.ix_(range(0, CLASSES - 1, 2), range(CLASSES), further)] = True
     return ok
 
 
