@@ -72,7 +72,7 @@ def geo_parse(articles: DataFrame, gazetteer: DataFrame, max_ngram: int = 3) ->
             F.count(F.lit(1)).cast("double").alias("score"), F.min("pos").alias("first_pos"))
         scores = scores.withColumn("kind_rank", kind_rank)
         return scores.groupBy("id").agg(F.min_by("country_code", F.struct(
-            -F.col("score"), F.col("kind_rank"), F.col("first_pos"))).alias("country_code"))
+            -F.col("score"), F.col("kind_rank"), F.col("first_pos"), F.col("country_code"))).alias("country_code"))
 
     p1 = best(hits.where(~F.col("demonym")))
     p2 = best(hits.where(F.col("demonym")).join(p1.select("id"), "id", "left_anti"))

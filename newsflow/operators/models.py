@@ -139,8 +139,9 @@ def zero_shot_classify(articles: DataFrame, templates: DataFrame, labels: DataFr
         scored = pairs.select("id", "template_id", "label_id", "multi_class",
                               F.size(F.array_intersect("_tri", "_ltri")).cast("double").alias("logit"))
     w = Window.partitionBy("id", "template_id")
+    shifted = F.exp(F.col("logit") - F.max("logit").over(w))  # no overflow, whatever the hook's logits
     conf = F.when(F.col("multi_class"), 1.0 / (1.0 + F.exp(-F.col("logit")))) \
-            .otherwise(F.exp("logit") / F.sum(F.exp("logit")).over(w))
+            .otherwise(shifted / F.sum(shifted).over(w))
     scored = scored.withColumn("confidence", conf.cast("float"))
     rank = Window.partitionBy("id", "template_id").orderBy(F.col("confidence").desc(), F.col("label_id"))
     return scored.select(

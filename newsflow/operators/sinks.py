@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsflow.operators.common import first_per_key
+from newsflow.session import cut_lineage
 
 
 def insert_if_absent(new: DataFrame, table: DataFrame, keys: list[list[str]],
@@ -33,13 +34,15 @@ def assign_ids(df: DataFrame, start: int | DataFrame, order: list[Column | str],
     Distributed: range-partition by the order, count rows per partition
     (a table with one row per partition), turn counts into offsets, number
     rows within each partition.  No single-partition window over the data.
+    Range bounds are sampled anew by every run of the exchange, so its result
+    is checkpointed once; counts and numbers then belong to the same ranges.
     """
     if isinstance(start, DataFrame):
         base = start.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("_base"))
     else:
         base = df.sparkSession.range(1).select(F.lit(int(start)).cast("long").alias("_base"))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
@@ -64,7 +67,10 @@ def versioned_update(target: DataFrame, updates: DataFrame, key: str = "id",
     value_cols = [c for c in updates.columns if c not in (key, base_version) and c in target.columns
                   and c not in ("version", "created_at")]
     u = updates.select(key, base_version, *[F.col(c).alias(f"_u_{c}") for c in value_cols])
-    joined = target.join(u, key, "left")
+    # several updates of one id: one is tried (the newest read version, then by value), the others are stale
+    turn = Window.partitionBy(key).orderBy(F.desc(base_version), *[f"_u_{c}" for c in value_cols])
+    u = u.withColumn("_turn", F.row_number().over(turn))
+    joined = target.join(u.where("_turn = 1").drop("_turn"), key, "left")
     hit = F.col(base_version).isNotNull() & (F.col("version") == F.col(base_version))
     cols = []
     for c in target.columns:
@@ -80,6 +86,6 @@ def versioned_update(target: DataFrame, updates: DataFrame, key: str = "id",
     snapshot = marked.drop("_applied", "_touched")
     applied = marked.where("_applied").drop("_applied", "_touched")
     stale = (u.join(target.select(key, "version"), key, "left")
-             .where(F.col("version").isNull() | (F.col("version") != F.col(base_version)))
+             .where(F.col("version").isNull() | (F.col("version") != F.col(base_version)) | (F.col("_turn") > 1))
              .select(key, base_version, F.col("version").alias("stored_version")))
     return snapshot, applied, stale

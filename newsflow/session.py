@@ -38,9 +38,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("NEWSFLOW_DRIVER_MEMORY", "16g"))
-    # a session built here is a local one (tests, bench): give it a scratch
-    # checkpoint folder of its own; cluster sessions bring a shared one.
-    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="newsflow-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -67,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(value)
         return value
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     value = tempfile.mkdtemp(prefix="newsflow-ckpt-")
     spark.sparkContext.setCheckpointDir(value)
     return value

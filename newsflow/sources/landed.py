@@ -130,7 +130,7 @@ def read_gdelt_events(spark: SparkSession, path: str, stream: bool = False) -> D
     order key (a stated decision; see README)."""
     reader = spark.readStream if stream else spark.read
     raw = (reader.format("csv").option("sep", "\t").option("header", "false")
-           .option("mode", "PERMISSIVE").schema(GDELT_SCHEMA).load(path))
+           .option("quote", "").option("mode", "PERMISSIVE").schema(GDELT_SCHEMA).load(path))
     return events_from_export(raw)
 
 
