@@ -288,11 +288,18 @@ def test_random_field_finds_new_names():
     assert [text[a:b] for _, a, b in spans] == ["Ingrid Larsen", "81 Harbour Avenue"]
 
 
-def test_pipeline_keeps_columns(spark, docs):  # noqa: F811
+def test_pipeline_keeps_columns(spark, docs, monkeypatch):  # noqa: F811
     import corpus_pipeline
-    frame = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        frame = stage(spark, frame, SF_SMALL)
-        assert frame.columns == docs.columns, name
+    seen = []
+
+    def watched(name, stage):
+        def call(session, frame, sf_dir):
+            seen.append((name, frame.columns, frame.count()))
+            return stage(session, frame, sf_dir)
+        return name, call
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*s) for s in corpus_pipeline.STAGES])
     pieces = rows(corpus_pipeline.run(spark, SF_SMALL))
     assert pieces and all(p["offset"] + p["length"] <= 2048 for p in pieces)
+    assert [n for n, *_ in seen] == ["quality_rules", "minhash_near_dedup", "personal_data", "source_mix", "curve_packing"]
+    assert all(set(columns) == set(docs.columns) for _, columns, _ in seen)
+    assert seen[0][2] > seen[1][2] > seen[2][2] == seen[3][2]
