@@ -12,9 +12,12 @@ No bucket is expanded into its pairs.  Texts with one shingle set are one class.
 In a bucket each class is paired with the smallest class only; confirmed links
 are joined into components; classes still apart are paired with the one that has
 the fewest shingles of its own; then only classes of one bucket that are still in
-different components, and can reach the similarity by the shingles they do not
-have alone, are paired.  What is left untested is inside one component, beyond
-the distance or below the bound.  Every link is confirmed on the full sets.
+different components, can reach the similarity by the shingles they do not have
+alone, and are within the distance by four bits of every place, are paired: the
+join itself counts the differing places, so that a bucket of classes that share a
+passage and nothing else yields no rows.  What is left untested is inside one
+component, beyond the distance or below the bound.  Every link is confirmed on
+the full sets.
 """
 
 from __future__ import annotations
@@ -24,13 +27,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.common import byte_slices, small_batches, texts_of, written
 from newsflow.llm.shingles import shingle_set, signature
 
 SYMBOLS, CHUNKS = 128, 8
+PLANES = 4  # bits of each place that the last join compares: 15 of 16 differing places show
 EDGES_A_TASK = 100_000
 
 
@@ -84,6 +88,33 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     return both.mapInArrow(near, "a binary, b binary")
 
 
+def bit_planes(classes: DataFrame) -> DataFrame:
+    """(node, planes): the low bits of each place of a signature, 64 places to a long, plane after plane."""
+    def pack(batches):
+        for b in batches:
+            sigs = np.array([np.frombuffer(s, "<u2") for s in b["sig"].to_pylist()]).reshape(-1, SYMBOLS)
+            bits = np.stack([sigs >> k & 1 for k in range(PLANES)], axis=1).astype(np.uint8)
+            longs = np.packbits(bits.reshape(len(sigs), -1), axis=1).view(">i8").astype(np.int64)
+            names = [f"p{k}" for k in range(longs.shape[1])]
+            yield pa.record_batch([b["node"], *(pa.array(longs[:, k]) for k in range(longs.shape[1]))],
+                                  names=["node", *names])
+
+    columns = [f"p{k}" for k in range(PLANES * SYMBOLS // 64)]
+    return classes.select("node", "sig").mapInArrow(pack, "node binary, " + ", ".join(f"{c} long" for c in columns))
+
+
+def places_apart() -> Column:
+    """Places in which the planes of sides a and b differ: never more than the signatures differ in."""
+    words = SYMBOLS // 64
+    apart = F.lit(0)
+    for w in range(words):
+        seen = F.lit(0).cast("long")
+        for k in range(w, PLANES * words, words):
+            seen = seen.bitwiseOR(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b")))
+        apart = apart + F.bit_count(seen)
+    return apart
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on the full sets."""
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
@@ -122,6 +153,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, label) after the links ``more`` are added: only components that they join are labelled anew."""
+    ends = more.select("a").union(more.select("b")).distinct().toDF("node")
+    known = written(labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))),
+                    "labels")
+    links = more.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
+    links = links.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    top = components(links).toDF("label", "smallest")
+    return written(known.join(top, "label", "left").select("node", F.coalesce("smallest", "label").alias("label")), "labels")
+
+
 def open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, node, label) of the buckets whose classes are not all in one component yet."""
     group = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -197,21 +239,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     second = group.join(middle.select("key", F.col("mid.node").alias("mid"), F.col("mid.label").alias("theirs")), "key")
     second = second.where("label != theirs").select(F.least("node", "mid").alias("a"), F.greatest("node", "mid").alias("b"))
     second = written(second.distinct().join(star, ["a", "b"], "left_anti"), "second")
-    edges = written(edges.union(confirmed(close_pairs(second, classes, limit), sets, percent)), "links")
-    labels = components(edges)
+    more = written(confirmed(close_pairs(second, classes, limit), sets, percent), "links")
+    if not more.isEmpty():
+        labels = merged(labels, more)
 
     able = own.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
-    group = open_buckets(shared.join(able.select("node"), "node", "left_semi"), labels).join(able, "node")
-    left, right = (group.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "u")))
+    group = open_buckets(shared.join(able.select("node"), "node", "left_semi"), labels)
+    planes = bit_planes(classes.join(able.select("node"), "node", "left_semi"))
+    group = group.join(able, "node").join(planes, "node")
+    left, right = (group.select("key", *(F.col(c).alias(f"{c}_{side}") for c in group.columns if c != "key"))
                    for side in "ab")
     common = F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b"))
     rest = left.join(right, (left["key"] == right["key"]) & (F.col("label_a") < F.col("label_b"))
-                     & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)))
+                     & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)) & (places_apart() <= limit))
     rest = rest.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
     rest = rest.join(star.union(second), ["a", "b"], "left_anti")
     more = written(confirmed(close_pairs(rest, classes, limit), sets, percent), "links")
     if not more.isEmpty():
-        labels = components(edges.union(more))
+        labels = merged(labels, more)
 
     named = classes.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component"))
