@@ -54,14 +54,16 @@ def shingle_set(text: bytes | memoryview) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray, size: int) -> np.ndarray:
-    """``size`` MinHash values of 16 bits each; ``hashes`` must not be empty."""
-    seeds = mix64(np.arange(size, dtype=np.uint64) + np.uint64(7)) | np.uint64(1)
-    low = np.full(size, np.uint64(2 ** 64 - 1))
-    for at in range(0, len(hashes), 4096):
-        part = hashes[at:at + 4096]
+    """``size`` MinHash values of 16 bits each; ``hashes`` must not be empty.
+
+    The hashes are well mixed, so an odd multiplier each, modulo 2 ** 32, deals them out anew.
+    """
+    places = np.arange(size, dtype=np.uint64)
+    seeds = (mix64(places + np.uint64(7)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(size, np.uint32(2 ** 32 - 1))
+    for at in range(0, len(upper), 4096):
+        part = upper[at:at + 4096]
         for i in range(0, size, 16):
-            s = seeds[i:i + 16, None]
-            rolled = (part[None, :] ^ (s >> np.uint64(7))) * s
-            rolled ^= rolled >> np.uint64(32)
-            low[i:i + 16] = np.minimum(low[i:i + 16], (rolled * _STEP).min(axis=1))
-    return (mix64(low) & np.uint64(0xFFFF)).astype(np.uint16)
+            low[i:i + 16] = np.minimum(low[i:i + 16], (part[None, :] * seeds[i:i + 16, None]).min(axis=1))
+    return (mix64(low + (places << np.uint64(32))) & np.uint64(0xFFFF)).astype(np.uint16)
