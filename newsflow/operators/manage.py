@@ -12,7 +12,7 @@ import re
 import warnings
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,15 +68,25 @@ def apply_creates(target: DataFrame, creates: DataFrame, keys: list[list[str]],
     return target.unionByName(created), created
 
 
+def _live(target: DataFrame) -> Column:
+    """Rows that management can see: not soft-deleted (tables without ``deleted_at`` have no others)."""
+    return F.col("deleted_at").isNull() if "deleted_at" in target.columns else F.lit(True)
+
+
 def apply_updates(target: DataFrame, updates: DataFrame, now: _dt.datetime) -> tuple[DataFrame, DataFrame]:
     """C-3: full-row overwrite of the given fields by id (empty ``last_error`` -> NULL).
 
     Rows of ``updates`` without a live target row are returned as not found.
+    Of several updates of one id the one with the smallest values applies.
     Returns (snapshot, not_found).
     """
     fields = [c for c in updates.columns if c != "id" and c in target.columns]
+    live = target.where(_live(target)).select("id")
+    not_found = updates.join(live, "id", "left_anti")
+    updates = updates.groupBy("id").agg(F.min(F.struct(*fields)).alias("_f")).select("id", "_f.*") if fields \
+        else updates.select("id").distinct()
     u = updates.select("id", *[F.col(c).alias(f"_u_{c}") for c in fields], F.lit(True).alias("_hit"))
-    j = target.join(u, "id", "left")
+    j = target.join(u, "id", "left").withColumn("_hit", F.col("_hit") & _live(target))
     cols = []
     for f in target.schema.fields:
         c = f.name
@@ -91,15 +101,14 @@ def apply_updates(target: DataFrame, updates: DataFrame, now: _dt.datetime) -> t
             cols.append(F.when(F.col("_hit"), F.col(c) + 1).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
-    not_found = updates.join(target.select("id"), "id", "left_anti")
     return j.select(*cols), not_found
 
 
 def apply_deletes(target: DataFrame, deletes: DataFrame, children: list[tuple[DataFrame, str]],
                   now: _dt.datetime) -> tuple[DataFrame, DataFrame]:
     """C-4 + J-14 + A-2: delete by id; physical when no child row refers to it,
-    else soft (``deleted_at = now``).  Returns (snapshot, report(id, kind))."""
-    ids = deletes.select("id").distinct().join(target.select("id"), "id", "left_semi")
+    else soft (``deleted_at = now``).  Rows already soft-deleted are not found.  Returns (snapshot, report(id, kind))."""
+    ids = deletes.select("id").distinct().join(target.where(_live(target)).select("id"), "id", "left_semi")
     referenced = None
     for child, fk in children:
         r = child.select(F.col(fk).alias("id")).distinct()

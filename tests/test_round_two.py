@@ -1,7 +1,10 @@
-"""Dense ids at size, duplicate updates, unquoted exports."""
+"""Dense ids at size, duplicate updates, unquoted exports, soft-deleted rows."""
+
+import datetime as dt
 
 from pyspark.sql import functions as F
 
+from newsflow.operators.manage import apply_deletes, apply_updates
 from newsflow.operators.sinks import assign_ids, versioned_update
 from newsflow.sources.landed import GDELT_SCHEMA, read_gdelt_events
 from tests.conftest import SF_MID
@@ -35,3 +38,16 @@ def test_export_fields_keep_lone_quotes(spark, tmp_path):
     events = read_gdelt_events(spark, str(tmp_path)).collect()
     assert len(events) == 1 and "http://x.org/a" in [v for v in events[0] if isinstance(v, str)]
     assert 'Place "of' in [v for v in events[0] if isinstance(v, str)]
+
+
+def test_soft_deleted_rows_are_not_found(spark):
+    now = dt.datetime(2024, 3, 1)
+    target = spark.createDataFrame([(1, 1, "a", None), (2, 1, "b", now), (3, 1, "c", None)],
+                                   "id long, version int, title string, deleted_at timestamp")
+    updates = spark.createDataFrame([(1, "y"), (1, "x"), (2, "z"), (9, "z")], "id long, title string")
+    snapshot, not_found = apply_updates(target, updates, now)
+    assert sorted((r.id, r.version, r.title) for r in snapshot.collect()) == [(1, 2, "x"), (2, 1, "b"), (3, 1, "c")]
+    assert sorted(r.id for r in not_found.collect()) == [2, 9]
+    children = spark.createDataFrame([(3,)], "feed_id long")
+    _, report = apply_deletes(target, target.select("id"), [(children, "feed_id")], now)
+    assert sorted(tuple(r) for r in report.collect()) == [(1, "hard"), (3, "soft")]
