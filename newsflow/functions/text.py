@@ -223,11 +223,13 @@ def decode_charset(body="body", charset="charset") -> Column:
     charsets reach the Arrow-batched Python decoder, which sees NULL bodies
     for every other row."""
     cs = _c(charset)
+    valid = F.make_valid_utf8(_c(body).cast("string"))  # a malformed byte is replaced; ``decode`` would end the job
     if _java_charsets_enabled():
-        known = cs.isin(*NATIVE_CHARSETS, *JAVA_WEB_CHARSETS)
-        return F.call_function("decode", _c(body), F.when(known, cs).otherwise(F.lit("UTF-8")))
+        other = cs.isin(*NATIVE_CHARSETS[1:], *JAVA_WEB_CHARSETS)
+        return F.when(other, F.call_function("decode", _c(body), cs)) \
+            .otherwise(valid)
     native = cs.isin(*NATIVE_CHARSETS)
-    jvm = F.decode(_c(body), "UTF-8")
+    jvm = valid
     for name in NATIVE_CHARSETS[1:]:
         jvm = F.when(cs == name, F.decode(_c(body), name)).otherwise(jvm)
     python = _decode_other(F.when(~native, _c(body)), cs)

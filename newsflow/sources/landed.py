@@ -61,7 +61,8 @@ def read_feed_items(spark: SparkSession, path: str, stream: bool = False) -> Dat
 
     ``source_file`` names the landed file (the feed it came from);
     ``item_seq`` is the position in document order within the file's split,
-    used only to pick the first item of a repeated link.
+    used only to pick the first item of a repeated link.  A stream has no
+    positions: there it is a hash of the item, so different items differ.
     """
     rss = _xml(spark, path, "item", _RSS_ITEM, stream).select(
         F.col("_metadata.file_path").alias("source_file"),
@@ -78,7 +79,7 @@ def read_feed_items(spark: SparkSession, path: str, stream: bool = False) -> Dat
     if not stream:
         out = out.withColumn("item_seq", F.monotonically_increasing_id())
     else:
-        out = out.withColumn("item_seq", F.lit(0).cast("long"))
+        out = out.withColumn("item_seq", F.xxhash64("source_file", "link", "title", "description", "content", "published_at"))
     return out.select(*FEED_ITEM_COLUMNS)
 
 

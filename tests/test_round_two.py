@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from newsflow.functions.text import decode_charset
 from newsflow.operators.manage import apply_deletes, apply_updates
 from newsflow.operators.sinks import assign_ids, versioned_update
 from newsflow.sources.landed import GDELT_SCHEMA, read_gdelt_events
@@ -51,3 +52,10 @@ def test_soft_deleted_rows_are_not_found(spark):
     children = spark.createDataFrame([(3,)], "feed_id long")
     _, report = apply_deletes(target, target.select("id"), [(children, "feed_id")], now)
     assert sorted(tuple(r) for r in report.collect()) == [(1, "hard"), (3, "soft")]
+
+
+def test_malformed_utf8_is_replaced(spark):
+    rows = spark.createDataFrame([(1, bytearray(b"caf\xe9 x"), "UTF-8"), (2, bytearray("caf\u00e9".encode()), "UTF-8"),
+                                  (3, None, "UTF-8")], "id int, body binary, charset string")
+    got = {r.id: r.t for r in rows.select("id", decode_charset().alias("t")).collect()}
+    assert got == {1: "caf\ufffd x", 2: "caf\u00e9", 3: None}
