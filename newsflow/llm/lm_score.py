@@ -1,15 +1,22 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-A word is one of ``CODES`` codes by its hash, written as two digits of base
-``BASE``.  The network sees the two codes on either side of a masked word and
-gives the probability of its first digit, then of its second given the first, so
-their product is a distribution over all codes.  A document's score is the sum
-over its words of the conditional log-probability.
-
-Training is data parallel over all documents: code counts of the whole corpus
-start the biases; every partition then fits its own words once (Adagrad), and
-the partitions' parameters, weighted by their words, are averaged by a shuffle
-of parameter slots.  Only the model itself, of a fixed size, reaches the driver.
+The vocabulary is every distinct lower-cased word of the corpus, with its count.
+A word belongs to one of ``CODES`` classes by its hash, written as two digits of
+base ``BASE``.  The network sees the classes of the two words on either side of
+a masked word and gives the probability of its class (first digit, then second);
+the word's share of its class, from the counts, completes a distribution over
+the vocabulary.  A document's score is the sum over its words of the conditional
+log-probability.
+
+Words of a share of at least 1 / ``COMMON`` (so at most ``COMMON`` words) get
+their counts by a broadcast, all others by a join on the word.
+
+Training is data parallel over all documents: class counts of the whole corpus
+start the biases; documents are dealt by a hash into shards of about
+``SHARD_WORDS`` words, whatever the partitions of the input; each shard fits its
+words once (Adagrad), and the shards' parameters, weighted by their words, are
+averaged by a shuffle of parameter slots.  Only the network, of a fixed size,
+reaches the driver; the vocabulary is a written table.
 """
 
 from __future__ import annotations
@@ -27,12 +34,17 @@ SHAPES = {"side": (2 * REACH, CODES + 1, WIDTH), "first": (WIDTH, BASE), "first_
           "turn": (BASE, WIDTH), "second": (WIDTH, BASE), "second_bias": (BASE, BASE)}
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 SLOT, STEP_WORDS, RATE = 1024, 8192, 0.1
+SHARD_WORDS = 1 << 21
+COMMON = 1 << 18
+#: Logarithms are summed as whole numbers of this part, so that their order does not matter.
+PART = 1 << 32
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """(doc_id, codes) of (doc_id, text): the hash codes of the lower-cased words, in order."""
+    """(doc_id, words, codes) of (doc_id, text): the lower-cased words and their classes, in order."""
     words = F.array_remove(F.split(F.translate(F.lower("text"), "\t\n\x0b\x0c\r", "     "), " "), "")
-    return docs.select("doc_id", F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(CODES)).cast("short")).alias("codes"))
+    return docs.select("doc_id", words.alias("words")).withColumn(
+        "codes", F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(CODES)).cast("short")))
 
 
 def code_lists(column: pa.Array) -> list[np.ndarray]:
@@ -130,22 +142,44 @@ def code_counts(codes: DataFrame) -> np.ndarray:
     return out
 
 
-def fit(codes: DataFrame) -> np.ndarray:
-    """Parameters fitted to all documents of (doc_id, codes)."""
-    begin = start(code_counts(codes))
+def fit(codes: DataFrame, counts: np.ndarray | None = None) -> np.ndarray:
+    """Parameters fitted to all documents of (doc_id, codes); the same however the rows are partitioned."""
+    counts = code_counts(codes) if counts is None else counts
+    begin = start(counts)
+    shards = max(1, -(-int(counts.sum()) // SHARD_WORDS))
 
     def local(batches):
-        flat, past, words = begin.copy(), np.zeros(SIZE, np.float32), 0
-        net, sums = unpacked(flat), unpacked(past)
-        for b in batches:
-            row, at = padded(code_lists(b["codes"]))
+        shard, held, size = None, [], 0
+        flat = past = net = sums = words = None
+
+        def learn():
+            row, at = padded(held)
             for lo in range(0, len(at), STEP_WORDS):
                 train_step(net, sums, row, at[lo:lo + STEP_WORDS])
-            words += len(at)
-        if words:
+            return len(at)
+
+        def fitted():
             parts = [flat[i:i + SLOT].astype("<f4").tobytes() for i in range(0, SIZE, SLOT)]
-            yield pa.record_batch([pa.array(range(len(parts)), pa.int64()), pa.array([words] * len(parts), pa.int64()),
-                                   pa.array(parts, pa.binary())], names=["slot", "words", "part"])
+            return pa.record_batch([pa.array(range(len(parts)), pa.int64()), pa.array([words] * len(parts), pa.int64()),
+                                    pa.array(parts, pa.binary())], names=["slot", "words", "part"])
+
+        for b in batches:
+            for s, document in zip(b["shard"].to_pylist(), code_lists(b["codes"])):
+                if s != shard:
+                    if shard is not None:
+                        words += learn()
+                        yield fitted()
+                    shard, held, size, words = s, [], 0, 0
+                    flat, past = begin.copy(), np.zeros(SIZE, np.float32)
+                    net, sums = unpacked(flat), unpacked(past)
+                held.append(document)
+                size += len(document)
+                if size >= 4 * STEP_WORDS:
+                    words += learn()
+                    held, size = [], 0
+        if shard is not None:
+            words += learn()
+            yield fitted()
 
     def mean(batches):
         slot, total, weight = None, None, 0
@@ -163,7 +197,11 @@ def fit(codes: DataFrame) -> np.ndarray:
                                pa.array([d[1].astype("<f4").tobytes() for d in done], pa.binary())],
                               names=["slot", "part"])
 
-    parts = codes.select("codes").mapInArrow(local, "slot long, words long, part binary")
+    key = F.xxhash64("doc_id", "codes")
+    dealt = codes.where(F.size("codes") > 0).select(
+        F.pmod(key, F.lit(shards)).alias("shard"), key.alias("key"), "doc_id", "codes").repartition(
+        shards, "shard").sortWithinPartitions("shard", "key", "doc_id", "codes")
+    parts = dealt.select("shard", "codes").mapInArrow(local, "slot long, words long, part binary")
     averaged = parts.repartition("slot").sortWithinPartitions("slot", "words", "part").mapInArrow(
         mean, "slot long, part binary")
     flat = begin.copy()
@@ -172,6 +210,19 @@ def fit(codes: DataFrame) -> np.ndarray:
     return flat
 
 
+def word_parts(codes: DataFrame, total: int) -> DataFrame:
+    """(row, part): sums of log count over the words of each row of (row, words), in one or more parts."""
+    vocabulary = written(codes.select(F.explode("words").alias("word")).groupBy("word").agg(
+        F.count("*").alias("n")), "vocabulary")
+    log_count = F.round(F.log("n") * PART).cast("long")
+    common = F.col("n") >= total / COMMON
+    pairs = codes.select("row", F.explode("words").alias("word"))
+    often = F.broadcast(vocabulary.where(common).select("word", log_count.alias("part")))
+    parts = pairs.join(often, "word").groupBy("row").agg(F.sum("part").alias("part"))
+    rare = vocabulary.where(~common).select("word", log_count.alias("part"))
+    return parts.union(pairs.join(often, "word", "left_anti").join(rare, "word").select("row", "part"))
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob) of every document, the model fitted to all of them.
 
@@ -180,8 +231,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows.  Columns beside doc_id and text are not read.
     """
     small_batches(docs.sparkSession)
-    codes = written(coded(texts_of(docs)), "codes")
-    flat = fit(codes)
+    codes = written(coded(texts_of(docs)).withColumn("row", F.monotonically_increasing_id()), "codes")
+    counts = code_counts(codes)
+    flat = fit(codes, counts)
+    log_class = np.log(np.maximum(counts, 1))
 
     def score(batches):
         net = unpacked(flat)
@@ -192,7 +245,15 @@ def score_documents(docs: DataFrame) -> DataFrame:
             ends = np.cumsum(sizes)
             sums = np.diff(np.concatenate([[0.0], np.cumsum(log_probabilities(net, row, at))])[
                 np.concatenate([[0], ends])])
-            yield pa.record_batch([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(sums),
-                                   pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)],
-                                  names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
-    return codes.mapInArrow(score, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+            sums -= np.diff(np.concatenate([[0.0], np.cumsum(log_class[row[at]])])[np.concatenate([[0], ends])])
+            yield pa.record_batch([b["row"], b["doc_id"], pa.array(sizes, pa.int64()),
+                                   pa.array(np.rint(sums * PART).astype(np.int64))],
+                                  names=["row", "doc_id", "n_tokens", "part"])
+    classes = codes.select("row", "doc_id", "codes").mapInArrow(score, "row long, doc_id long, n_tokens long, part long")
+    words = word_parts(codes, int(counts.sum())).select(
+        "row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), "part")
+    log_prob = F.sum("part") / F.lit(float(PART))
+    return classes.union(words).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), log_prob.alias("log_prob")).select(
+        "doc_id", "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+        .alias("mean_log_prob"))

@@ -303,3 +303,39 @@ def test_pipeline_keeps_columns(spark, docs, monkeypatch):  # noqa: F811
     assert [n for n, *_ in seen] == ["quality_rules", "minhash_near_dedup", "personal_data", "source_mix", "curve_packing"]
     assert all(set(columns) == set(docs.columns) for _, columns, _ in seen)
     assert seen[0][2] > seen[1][2] > seen[2][2] == seen[3][2]
+
+
+def test_masked_scores_tell_words_of_one_class_apart(spark):  # noqa: F811
+    common = [f"word{i}" for i in range(12)]
+    code = lambda words: [r[0] for r in lm_score.coded(spark.createDataFrame(
+        [(0, " ".join(words))], "doc_id long, text string")).select(F.explode("codes")).collect()]
+    strange = [f"zq{i}x" for i in range(40_000)]
+    of_code = dict(zip(code(strange), strange))
+    clean = [" ".join(np.random.default_rng(i).permutation(common)) for i in range(200)]
+    twin = " ".join(of_code[c] for c in code(clean[0].split()))
+    table = spark.createDataFrame([*enumerate(clean), (1000, twin)], "doc_id long, text string").cache()
+    out = {r["doc_id"]: r for r in lm_score.score_documents(table).collect()}
+    assert out[0]["n_tokens"] == out[1000]["n_tokens"] == 12
+    assert out[0]["mean_log_prob"] - out[1000]["mean_log_prob"] > 4
+    codes = lm_score.coded(table)
+    counts = lm_score.code_counts(codes)
+    net = lm_score.unpacked(lm_score.fit(codes))
+    n = {}
+    for r in codes.collect():
+        for w in r["words"]:
+            n[w] = n.get(w, 0) + 1
+    for r in codes.where("doc_id in (0, 7, 1000)").collect():
+        row, at = lm_score.padded([np.array(r["codes"])])
+        want = lm_score.log_probabilities(net, row, at).sum() + sum(
+            np.log(n[w] / counts[c]) for w, c in zip(r["words"], r["codes"]))
+        assert abs(out[r["doc_id"]]["log_prob"] - want) < 1e-3
+
+
+def test_masked_scores_do_not_follow_partitions(docs, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_WORDS", 5000)
+    monkeypatch.setattr(lm_score, "COMMON", 300)  # most words by the join
+    table = docs.where("doc_id < 120")
+    one, many = ({r["doc_id"]: r["log_prob"] for r in lm_score.score_documents(t).collect()}
+                 for t in (table.coalesce(1), table.repartition(7)))
+    assert one.keys() == many.keys()
+    assert all(abs(one[i] - many[i]) < 1e-4 * max(1, abs(one[i])) for i in one)
