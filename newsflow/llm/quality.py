@@ -5,7 +5,8 @@ each text.  The counts, transformed, form a vector; per language and source the
 minimum-covariance-determinant estimate of its mean and covariance is found by
 C-steps: keep the ``HELD`` share of rows nearest by Mahalanobis distance, take
 their mean and covariance, and again.  A document is rejected when the base
-rules fail or its distance is above ``CUTOFF``.
+rules fail or its squared distance is above ``CUTOFF``, the chi-square quantile of
+``INSIDE``.
 
 Distances are ranked in ``FINE`` steps per e-fold, so a C-step is a count per
 group and step and a sum per group, both with map-side combining; no group is
@@ -24,11 +25,12 @@ from newsflow.llm.common import SPACES, written
 
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("x0", "x1", "x2", "x3")
-#: Smallest scale of each feature: a feature that most documents share exactly has no spread of its own.
-#: Repeats get a wide one, so that up to the base rule's 30 % they weigh little alone.
-FLOORS = (0.03, 0.05, 0.1, 0.05)
+#: Added scale of each feature, against zero variance.  Most documents have no symbols (x1) and no repeats (x2), so the
+#: nearest ``HELD`` share has no spread there and the scale is this one; word length and vocabulary have their own.
+FLOORS = (0.005, 0.05, 0.1, 0.005)
 HELD, LEAST, STEPS, FINE = 0.75, 200, 3, 16
-CUTOFF = 150.0
+#: Share of a normal group that lies within the cutoff.
+INSIDE = 0.999
 WINDOW = 8
 
 
@@ -108,14 +110,23 @@ def squared_distance() -> Column:
     return sum((y * y for y in solved[1:]), solved[0] * solved[0])
 
 
-def consistency(held: float) -> float:
-    """Factor that makes the covariance of the nearest ``held`` share of a 4-variate normal the whole one."""
+def chi_square_quantile(share: float) -> float:
+    """Squared distance below which ``share`` of a 4-variate normal lies."""
     tail = lambda q: math.exp(-q / 2) * (1 + q / 2)
     low, high = 0.0, 100.0
     for _ in range(100):
         mid = (low + high) / 2
-        low, high = (mid, high) if 1 - tail(mid) < held else (low, mid)
-    return held / (1 - math.exp(-low / 2) * (1 + low / 2 + low * low / 8))
+        low, high = (mid, high) if 1 - tail(mid) < share else (low, mid)
+    return low
+
+
+CUTOFF = chi_square_quantile(INSIDE)
+
+
+def consistency(held: float) -> float:
+    """Factor that makes the covariance of the nearest ``held`` share of a 4-variate normal the whole one."""
+    q = chi_square_quantile(held)
+    return held / (1 - math.exp(-q / 2) * (1 + q / 2 + q * q / 8))
 
 
 def nearest(d: DataFrame, fit: DataFrame) -> DataFrame:

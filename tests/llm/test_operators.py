@@ -339,3 +339,21 @@ def test_masked_scores_do_not_follow_partitions(docs, monkeypatch):
                  for t in (table.coalesce(1), table.repartition(7)))
     assert one.keys() == many.keys()
     assert all(abs(one[i] - many[i]) < 1e-4 * max(1, abs(one[i])) for i in one)
+
+
+def test_quality_rejects_planted_outliers(spark):  # noqa: F811
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    word = lambda least=2, most=9: "".join(rng.choice(letters, rng.integers(least, most + 1)))
+    vocabulary = [word() for _ in range(3000)]
+    prose = lambda n, words=vocabulary: " ".join(rng.choice(words, n))
+    clean = [prose(int(rng.integers(150, 400))) for _ in range(400)]
+    planted = [prose(1000, vocabulary[:30]),                                      # few words, no window twice
+               prose(300, [word(6, 13) for _ in range(3000)]),                    # words some 70 % longer
+               "\n".join(f"ab cd ef\n{prose(12)}" for _ in range(30))]            # every other line the same
+    table = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(clean + planted)],
+                                  "doc_id long, text string, lang string, source string")
+    out = {r["doc_id"]: r for r in quality.quality_verdicts(table).collect()}
+    assert abs(quality.CUTOFF - 18.467) < 1e-2
+    assert not any(out[400 + i]["base_failed"] or out[400 + i]["kept"] for i in range(3))
+    assert np.mean([out[i]["kept"] for i in range(400)]) > 0.98
