@@ -19,54 +19,90 @@ from pyspark.sql import DataFrame
 
 from newsflow.llm.common import byte_slices, small_batches, texts_of
 
-LEAST, TREES, DEPTH = 12, 40, 8
+LEAST, TREES, DEPTH = 8, 40, 10
 _RUN = re.compile(r"[A-Za-z0-9+/_.-]{%d,}+={0,2}" % LEAST)
-_DIGIT = re.compile("[0-9]")
 _BEFORE = re.compile(r"[A-Za-z]+")
 # fixed values: words that announce a secret, and ones that announce something else
 ASKING = {"password", "passwd", "pwd", "secret", "token", "key", "apikey", "api", "auth", "credential", "bearer",
           "access", "private"}
+#: A value given to an asking word, in any characters, and the header of a private key.
+_VALUE = re.compile(r"(?i:passw(?:or)?d|passphrase|pwd|secret|token|key|auth|credentials?|bearer|private)"
+                    r"[\"']?[ \t]*[:=][ \t]*[\"']?([^\s\"']{%d,})" % LEAST)
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 OTHER = {"commit", "sha", "md", "checksum", "digest", "uuid", "id", "version", "file", "path", "isbn", "order",
          "invoice", "phone", "card", "number", "href", "src", "build", "revision"}
 WORDS = ("the and for with this that from have not you are was file data test user name main home local lib usr src "
          "index image page report version config module value example final draft copy list item total sample").split()
-FEATURES = 14
+FEATURES = 19
+#: Votes kept in memory by a task.
+SEEN = 300_000
 
 
 def kind_of(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def features(text: str, start: int, end: int) -> list[float]:
-    """The statistic vector of the candidate ``text[start:end]``."""
-    s = text[start:end]
+class Kinds(dict):
+    """Table for ``str.translate`` that fills itself from ``of``."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, code: int) -> str:
+        out = self[code] = self.of(chr(code))
+        return out
+
+
+_KINDS = Kinds(lambda c: str(kind_of(c)))
+_SOUNDS = Kinds(lambda c: "." if not c.isalpha() else "v" if c in "aeiou" or not c.isascii() else
+                "r" if c in "jkqvwxyz" else "c")
+_SAME = re.compile("0+|1+|2+|3+")
+_PAIR, _HARSH = re.compile("(?=[vrc][vrc])"), re.compile("(?=[rc][rc]|rv|vr)")
+
+
+def setting(text: str, start: int) -> tuple[bool, bool, bool]:
+    """Whether an asking word, another announcing word and = or : stand before the candidate."""
+    before = text[max(0, start - 40):start]
+    names = {w.lower() for w in _BEFORE.findall(before)[-3:]}
+    return bool(names & ASKING), bool(names & OTHER), before.rstrip("\"' ")[-1:] in ("=", ":")
+
+
+def statistics(s: str, asked: bool, other: bool, given: bool) -> list[float]:
+    """The statistic vector of candidate ``s`` in its setting."""
     n = len(s)
-    kinds = [kind_of(c) for c in s]
-    turns = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    share = [kinds.count(k) / n for k in range(4)]
+    kinds = s.translate(_KINDS)
     counts = [s.count(c) for c in set(s)]
     entropy = -sum(c / n * math.log2(c / n) for c in counts)
     low = s.lower()
-    covered = sum(len(w) * low.count(w) for w in WORDS)
-    before = text[max(0, start - 40):start]
-    names = {w.lower() for w in _BEFORE.findall(before)[-3:]}
-    return [n, turns / n, *share, entropy, len(counts) / n, covered / n, s.count("/") + s.count("."),
-            float(all(c in "0123456789abcdefABCDEF" for c in s)), float(bool(names & ASKING)),
-            float(bool(names & OTHER)), float(before.rstrip("\"' ")[-1:] in ("=", ":"))]
+    covered = sum(len(w) * low.count(w) for w in WORDS if w in low)
+    sounds = low.translate(_SOUNDS)
+    return [n, (len(_SAME.findall(kinds)) - 1) / n, *(kinds.count(k) / n for k in "0123"), entropy, len(counts) / n,
+            covered / n, s.count("/") + s.count("."), float(not s.strip("0123456789abcdefABCDEF")), float(asked),
+            float(other), float(given), sum(not c.isalnum() and c not in "/._-+" for c in s) / n if "3" in kinds else 0.0,
+            len(_HARSH.findall(sounds)) / max(1, len(_PAIR.findall(sounds))), float(s.startswith("-----BEGIN")),
+            s.count("-") + s.count("_"), float(s[:1].isupper() and s[1:].islower())]
+
+
+def features(text: str, start: int, end: int) -> list[float]:
+    """The statistic vector of the candidate ``text[start:end]``."""
+    return statistics(text[start:end], *setting(text, start))
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of the candidates; the part after ``key=`` or ``key:`` stands alone."""
-    out, at = [], 0
-    for word in text.split():
-        if len(word) >= LEAST and _DIGIT.search(word):
-            place = text.find(word, at)
-            at = place + len(word)
-            for m in _RUN.finditer(word):
-                s = m[0].rstrip(".")
-                if len(s) >= LEAST and _DIGIT.search(s):
-                    out.append((place + m.start(), place + m.start() + len(s)))
-    return out
+    """Spans of the candidates, in order and without overlap: key headers, values asked for, then runs outside these."""
+    taken = [m.span() for m in _PEM.finditer(text)] if "-----BEGIN" in text else []
+    if "=" in text or ":" in text:
+        for m in _VALUE.finditer(text):
+            end = m.start(1) + len(m[1].rstrip(".,;:!?)]}"))
+            if end - m.start(1) >= LEAST and all(end <= a or b <= m.start(1) for a, b in taken):
+                taken.append((m.start(1), end))
+    out = list(taken)
+    for m in _RUN.finditer(text):
+        end = m.start() + len(m[0].rstrip("."))
+        if end - m.start() >= LEAST and all(end <= a or b <= m.start() for a, b in taken):
+            out.append((m.start(), end))
+    return sorted(out)
 
 
 def labelled_findings(per_kind: int = 40, seed: int = 5) -> list[tuple[str, int, int, bool]]:
@@ -76,6 +112,8 @@ def labelled_findings(per_kind: int = 40, seed: int = 5) -> list[tuple[str, int,
     digits, hexa, low = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
     base = low.upper() + low + digits
     word = lambda: str(rng.choice(WORDS))
+    spoken = lambda n: "".join(draw("bcdfghlmnprst", 1) + draw("aeiou", 1) + draw(["", "n", "r", "s", "t"], 1)
+                               for _ in range(n)).ljust(LEAST, "n")
     prose = lambda: " ".join(word() for _ in range(4))
     asks = ["password=", "token = \"", "secret: ", "api_key=", "access key ", "auth token: "]
     others = ["commit ", "sha256:", "id=", "file ", "order number ", "digest: "]
@@ -85,7 +123,19 @@ def labelled_findings(per_kind: int = 40, seed: int = 5) -> list[tuple[str, int,
         (True, lambda: (asks[rng.integers(6)], draw(hexa, int(rng.integers(16, 41))))),
         (True, lambda: (asks[rng.integers(6)], draw(base, int(rng.integers(20, 44))))),
         (True, lambda: ("", "sk_live_" + draw(base, 24))),
+        (True, lambda: (asks[rng.integers(6)], draw(low.upper() + low, int(rng.integers(14, 33))))),
+        (True, lambda: (asks[rng.integers(6)], draw(base + "!@#$%^&*?", int(rng.integers(8, 25))))),
+        (True, lambda: (asks[rng.integers(4)], "-".join(word() for _ in range(int(rng.integers(3, 5)))))),
+        (True, lambda: (asks[rng.integers(4)], draw(base, int(rng.integers(8, 14))))),
+        (True, lambda: ("", draw(low.upper() + low, int(rng.integers(18, 33))))),
+        (True, lambda: ("", f"-----BEGIN {['', 'RSA ', 'EC ', 'OPENSSH '][rng.integers(4)]}PRIVATE KEY-----")),
         (False, lambda: (others[rng.integers(6)], draw(hexa, 40))),
+        (False, lambda: ("", spoken(3 + rng.integers(4)))),
+        (False, lambda: ("", spoken(3 + rng.integers(4)).capitalize())),
+        (False, lambda: ("", spoken(3 + rng.integers(4)).upper())),
+        (False, lambda: ("", draw(low.upper(), 2) + spoken(3 + rng.integers(2)))),
+        (False, lambda: ("", "-".join(word() for _ in range(3)))),
+        (False, lambda: ("the key ", spoken(3 + rng.integers(3)))),
         (False, lambda: ("", "-".join(draw(hexa, k) for k in (8, 4, 4, 4, 12)))),
         (False, lambda: ("", "/".join([word(), word(), word() + draw(digits, 2) + ".txt"]))),
         (False, lambda: ("", draw(digits, int(rng.integers(12, 20))))),
@@ -150,15 +200,18 @@ def trained_forest(seed: int = 5) -> tuple:
     return tuple(trees)
 
 
-def judged(texts: list[str], forest: tuple) -> list[list[tuple[int, int, float]]]:
-    """(start, end, share of votes) of the candidates of each text."""
-    found = [candidates(t) for t in texts]
-    rows = [features(t, a, b) for t, spans in zip(texts, found) for a, b in spans]
-    if not rows:
-        return [[] for _ in texts]
-    x = np.array(rows)
-    votes = iter(np.mean([tree_vote(t, x) for t in forest], axis=0).tolist())
-    return [[(a, b, next(votes)) for a, b in spans] for spans in found]
+def judged(texts: list[str], forest: tuple, seen: dict | None = None) -> list[list[tuple[int, int, float]]]:
+    """(start, end, share of votes) of the candidates of each text; ``seen`` holds the votes on earlier candidates."""
+    seen = {} if seen is None else seen
+    found = [[(a, b, (t[a:b], *setting(t, a))) for a, b in candidates(t)] for t in texts]
+    new = list({key: None for spans in found for *_, key in spans if key not in seen})
+    if len(seen) > SEEN:
+        seen.clear()
+        new = list({key: None for spans in found for *_, key in spans})
+    if new:
+        x = np.array([statistics(*key) for key in new])
+        seen.update(zip(new, np.mean([tree_vote(t, x) for t in forest], axis=0).tolist()))
+    return [[(a, b, seen[key]) for a, b, key in spans] for spans in found]
 
 
 def scan_secrets(docs: DataFrame, least: float = 0.5) -> DataFrame:
@@ -172,8 +225,9 @@ def scan_secrets(docs: DataFrame, least: float = 0.5) -> DataFrame:
     forest = trained_forest()
 
     def scan(batches):
+        seen: dict = {}
         for b in batches:
-            found = judged([str(t, "utf-8") for t in byte_slices(b["text"])], forest)
+            found = judged([str(t, "utf-8") for t in byte_slices(b["text"])], forest, seen)
             kept = [[s for s in spans if s[2] >= least] for spans in found]
             yield pa.record_batch([b["doc_id"], pa.array([len(s) for s in found], pa.int64()),
                                    pa.array([len(s) for s in kept], pa.int64()),

@@ -357,3 +357,17 @@ def test_quality_rejects_planted_outliers(spark):  # noqa: F811
     assert abs(quality.CUTOFF - 18.467) < 1e-2
     assert not any(out[400 + i]["base_failed"] or out[400 + i]["kept"] for i in range(3))
     assert np.mean([out[i]["kept"] for i in range(400)]) > 0.98
+
+
+def test_forest_sees_letter_only_and_symbol_secrets():
+    cases = {"db password=correct-horse-battery is set": "correct-horse-battery",
+             "password: hR!7p#xQ and more": "hR!7p#xQ",
+             "token = \"qWdkRzXbTnMvLpGhJcYs\" was here": "qWdkRzXbTnMvLpGhJcYs",
+             "pwd=k7Tq9ZxW of the box": "k7Tq9ZxW",
+             "see -----BEGIN RSA PRIVATE KEY----- below": "-----BEGIN RSA PRIVATE KEY-----"}
+    found = secret_scan.judged(list(cases), secret_scan.trained_forest())
+    for (text, secret), spans in zip(cases.items(), found):
+        assert secret in [text[a:b] for a, b, vote in spans if vote >= 0.5], text
+    plain = "Internationally recognised organisations published comprehensive documentation yesterday afternoon."
+    (spans,) = secret_scan.judged([plain], secret_scan.trained_forest())
+    assert len(spans) >= 7 and not [s for s in spans if s[2] >= 0.5]
