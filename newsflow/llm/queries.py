@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsflow.llm import (lm_score, mixing, near_dedup, packing, pii, quality, secret_scan, suffix_dedup, token_output,
-                          topk)
+from newsflow.llm import (alignment, lm_score, mixing, near_dedup, packing, pii, quality, repair, secret_scan, suffix_dedup,
+                          token_output, topk, vector_packing)
 from newsflow.llm.common import read_table
 
 
@@ -62,8 +62,23 @@ def op10_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                      tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digest(repair.damaged(read_table(spark, sf_dir, "conversations")),
+                                read_table(spark, sf_dir, "conversations"))
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_packing.pack_vectors(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_segment_topk, op2_curve_packing, op3_masked_lm_scores, op4_run_length_dedup, op5_minhash_near_dedup,
-    op6_curriculum_mix, op7_huffman_tokens, op8_forest_secrets, op9_mcd_quality, op10_crf_personal_data)}
+    op6_curriculum_mix, op7_huffman_tokens, op8_forest_secrets, op9_mcd_quality, op10_crf_personal_data,
+    op11_token_alignment, op12_conversation_repair, op13_vector_packing)}
 
 ORACLE: dict[str, str] = {}
