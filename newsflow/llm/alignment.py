@@ -16,9 +16,7 @@ id pair is the number of its links in the whole corpus.
    to the run's records, which add up to the documents.  Records never leave their
    run, so no pair, frequent or not, is gathered anywhere.
 
-Both vocabularies part texts at single spaces between characters that are no white
-space, so the alignment of a text is that of its units, and each distinct unit is
-aligned once per worker.  Other texts are encoded whole by the two libraries.
+Texts are encoded whole, side A by units that it parts anyway (``tokenise.py``).
 """
 
 from __future__ import annotations
@@ -39,7 +37,7 @@ from newsflow.llm.tokenise import UnitEncoder, byte_letters
 RUN_LINKS = 2_000_000  # links gathered in a task before they are spilled as a run
 FAN_IN = 64            # streams one merge reads side by side
 CHUNK = 1 << 14        # entries of a compressed frame
-CACHE_UNITS = 400_000
+ID_SPACE = 1 << 16
 
 
 def token_bytes_a(path: str) -> dict[int, bytes]:
@@ -54,15 +52,6 @@ def token_bytes_b(model) -> dict[int, bytes]:
             else model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())}
 
 
-class Aligned:
-    """Alignment of a stretch of text: token counts, groups and links (B id << 16 | A id, one a link)."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "links", "groups")
-
-    def __init__(self, n_a, n_b, n_groups, links, groups):
-        self.n_a, self.n_b, self.n_groups, self.links, self.groups = n_a, n_b, n_groups, links, groups
-
-
 class Aligner:
     """Encodes and aligns texts; one per Python worker and pair of vocabularies."""
 
@@ -71,77 +60,62 @@ class Aligner:
         self.side_a = UnitEncoder(path_a, True)
         self.side_a.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
         self.side_b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        if self.side_b.get_piece_size() > 1 << 16:
+        if self.side_b.get_piece_size() > ID_SPACE:
             raise ValueError("ids do not fit 16 bits")
         self.bytes_a, self.bytes_b = token_bytes_a(path_a), token_bytes_b(self.side_b)
-        # units stand alone on side B only if no piece joins a space to what comes before it
-        spaced = any(" " in t.lstrip(b" ").decode("latin-1") for t in self.bytes_b.values())
-        self.by_units = not spaced
-        self.units: dict[str, Aligned | None] = {}
-
-    def align(self, ids_a: list[int], ids_b: list[int]) -> Aligned:
-        """Walk both token lists along the bytes; both cover the same bytes."""
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        links, groups, own_a, own_b = [], [], [], []
-        i = j = -1
-        end_a = end_b = 0
-        n_a, n_b = len(ids_a), len(ids_b)
-        while True:
-            if end_a == end_b:
-                if own_a:
-                    groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-                    own_a, own_b = [], []
-                if i + 1 == n_a:
-                    break
-                new_a = new_b = True
-            else:
-                new_a, new_b = end_a < end_b, end_b < end_a
-            if new_a:
-                i += 1
-                end_a += len(bytes_a[ids_a[i]])
-                own_a.append(ids_a[i])
-            if new_b:
-                j += 1
-                end_b += len(bytes_b[ids_b[j]])
-                own_b.append(ids_b[j])
-            links.append(ids_b[j] << 16 | ids_a[i])
-        return Aligned(n_a, n_b, len(groups), np.array(links, "<u4").tobytes(), ";".join(groups))
-
-    def checked(self, data: bytes, ids_a: list[int], ids_b: list[int]) -> Aligned | None:
-        """The alignment, or None if a side's tokens are not the text's bytes."""
-        if b"".join([self.bytes_a[x] for x in ids_a]) != data or b"".join([self.bytes_b[x] for x in ids_b]) != data:
-            return None
-        return self.align(ids_a, ids_b)
-
-    def whole(self, text: str) -> Aligned | None:
-        ids_a = self.side_a.tokenizer.encode(" " + text, add_special_tokens=False).ids
-        return self.checked((" " + text).encode(), ids_a, self.side_b.encode(text))
-
-    def learn(self, units: list[str]) -> None:
-        """Align new units; None marks one that cannot stand alone or whose bytes change."""
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
-        alone = [u for u in units if u and not (u[0].isspace() or u[-1].isspace()) and "▁" not in u]
-        self.units.update(dict.fromkeys(units))
-        for u, ids_b in zip(alone, self.side_b.encode(alone) if alone else []):
-            ids_a = self.side_a.unit(u, " ")
-            if ids_a is not None:
-                self.units[u] = self.checked((" " + u).encode(), np.frombuffer(ids_a, "<u2").tolist(), ids_b)
-
-    def text(self, text: str) -> list[Aligned]:
-        """Alignments of a text's stretches in order; none for a text without tokens."""
-        if not text:
-            return []
-        if self.by_units:
-            parts = text.split(" ")
-            new = [u for u in set(parts) if u not in self.units]
-            if new:
-                self.learn(new)
-            found = [self.units[u] for u in parts]
-            if None not in found:
-                return found
-        one = self.whole(text)
-        return [one] if one else []
+        self.size_a, self.size_b = (np.array([len(t.get(i, b"")) for i in range(ID_SPACE)]) for t in (self.bytes_a, self.bytes_b))
+        #: an id in decimal and the mark that follows it, by ``mark * ID_SPACE + id``
+        self.words = [f"{i}{mark}" for mark in ",|;" for i in range(ID_SPACE)]
+
+    def tokens_a(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.side_a.encode_after_space(text), "<u2").astype(np.int64)
+
+    def reproduces(self, data: bytes, ids_a: np.ndarray, ids_b: np.ndarray) -> bool:
+        """Whether the tokens of both sides, joined, are the text's bytes."""
+        return all(b"".join(map(table.__getitem__, ids.tolist())) == data
+                   for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
+
+    def align(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, int, str]:
+        """(links as B id << 16 | A id, number of groups, the groups) of token lists over the same bytes.
+
+        Between two neighbouring ends of either side lies one A and one B token, a link;
+        no two such stretches have the same tokens, as one of them ends in between.
+        """
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        total = int(ends_a[-1])
+        is_a, is_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        is_a[ends_a], is_b[ends_b] = True, True
+        stops = np.flatnonzero(is_a | is_b)
+        own_a, own_b = is_a[stops], is_b[stops]
+        links = ids_b[np.cumsum(own_b) - own_b] << 16 | ids_a[np.cumsum(own_a) - own_a]
+        both = own_a & own_b
+        # tokens in group order, A before B: an A token follows the B tokens of the groups before its own
+        group = np.cumsum(both) - both
+        group_a, group_b = group[own_a], group[own_b]
+        n_groups = int(both.sum())
+        until_a, until_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
+        sum_a, sum_b = np.cumsum(until_a), np.cumsum(until_b)
+        place_a = np.arange(len(ids_a)) + (sum_b - until_b)[group_a]
+        place_b = np.arange(len(ids_b)) + sum_a[group_b]
+        marked = np.empty(len(ids_a) + len(ids_b), np.int64)
+        marked[place_a], marked[place_b] = ids_a, ids_b
+        marked[place_a[sum_a - 1]] += ID_SPACE
+        marked[place_b[sum_b - 1]] += 2 * ID_SPACE
+        return links, n_groups, "".join(map(self.words.__getitem__, marked.tolist()))[:-1]
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, np.ndarray, str]]:
+        """(A tokens, B tokens, groups, links, groups hash) of each text."""
+        none = 0, 0, 0, np.empty(0, np.int64), ""
+        for text, ids_b in zip(texts, self.side_b.encode(texts, num_threads=1) if texts else []):
+            if not text:
+                yield none
+                continue
+            ids_a, ids_b = self.tokens_a(text), np.array(ids_b, np.int64)
+            if not self.reproduces((" " + text).encode(), ids_a, ids_b):
+                yield none
+                continue
+            links, n_groups, groups = self.align(ids_a, ids_b)
+            yield len(ids_a), len(ids_b), n_groups, links, hashlib.sha256(groups.encode()).hexdigest()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -332,15 +306,11 @@ def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, run_links: int =
         base = TaskContext.get().partitionId() << 32
         rows, links, held = [], [], 0
         for b in batches:
-            for doc_id, text in zip(b["doc_id"].to_pylist(), byte_slices(b["text"])):
-                stretches = own.text(str(text, "utf-8"))
-                found = np.frombuffer(b"".join([s.links for s in stretches]), "<u4")
-                groups = ";".join([s.groups for s in stretches])
-                rows.append({"doc_id": doc_id, "n_a": sum(s.n_a for s in stretches),
-                             "n_b": sum(s.n_b for s in stretches), "n_groups": sum(s.n_groups for s in stretches),
-                             "n_links": len(found),
-                             "groups_sha256": hashlib.sha256(groups.encode()).hexdigest() if stretches else ""})
-                links.append(found)
+            texts = own.texts([str(t, "utf-8") for t in byte_slices(b["text"])])
+            for doc_id, (n_a, n_b, n_groups, found, groups) in zip(b["doc_id"].to_pylist(), texts):
+                rows.append({"doc_id": doc_id, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": len(found),
+                             "groups_sha256": groups})
+                links.append(found.astype("<u4"))
                 held += len(found) + 64
                 if held >= run_links:
                     yield from spilled(base + number, rows, links, parts)

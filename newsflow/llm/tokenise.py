@@ -98,6 +98,20 @@ class UnitEncoder:
             return self.unit(left, prefix) + self.mark("\n") + self.unit(right, "")
         return self.whole(prefix + u)
 
+    def encode_after_space(self, text: str) -> bytes:
+        """Ids of a space and ``text``, for a tokenizer that keeps white space."""
+        units, known = text.split(" "), self.units
+        for _ in range(2):
+            try:
+                return b"".join(map(known.__getitem__, units))
+            except KeyError:
+                if len(known) > CACHE_UNITS:
+                    known.clear()
+                known.update((u, self.unit(u, self.prefix)) for u in set(units) if u not in known)
+            except TypeError:
+                break
+        return self.whole(" " + text)
+
     def encode(self, text: str) -> bytes:
         first = b""
         units = text.split(" ")
