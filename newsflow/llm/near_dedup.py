@@ -10,14 +10,20 @@ At a Jaccard similarity of 0.85 a pair is farther apart with a chance of some
 
 No bucket is expanded into its pairs.  Texts with one shingle set are one class.
 In a bucket each class is paired with the smallest class only; confirmed links
-are joined into components; classes still apart are paired with the one that has
-the fewest shingles of its own; then only classes of one bucket that are still in
-different components, can reach the similarity by the shingles they do not have
-alone, and are within the distance by four bits of every place, are paired: the
-join itself counts the differing places, so that a bucket of classes that share a
-passage and nothing else yields no rows.  What is left untested is inside one
-component, beyond the distance or below the bound.  Every link is confirmed on
-the full sets.
+are joined into components.  Classes with too many shingles that no other open
+class has cannot link and leave.  Each bucket still open then takes its class with
+the fewest shingles of its own as reference R, and every class x of it is known by
+its difference x' = x ^ R: |x ^ y| = |x' ^ y'|, so with
+
+    W(x) = (100 + p) |x'| - (100 - p) |x|
+
+x and y are linked exactly when x' and y' share (W(x) + W(y)) / 2 (100 + p) shingles
+or more.  A family of near copies differs from R in few shingles, and what all of it
+shares is no longer there.  Pairs that need nothing in common are as connected as
+the star around the class of least W.  All others share, in the order of rising
+frequency, one of the first shingles of both differences (prefix filter), and enough
+is left behind it (position filter); only such pairs with different components are
+paired.  Every link is confirmed on the full sets or follows from the sum above.
 """
 
 from __future__ import annotations
@@ -27,14 +33,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.llm.common import byte_slices, small_batches, texts_of, written
 from newsflow.llm.shingles import shingle_set, signature
 
 SYMBOLS, CHUNKS = 128, 8
-PLANES = 4  # bits of each place that the last join compares: 15 of 16 differing places show
 EDGES_A_TASK = 100_000
 
 
@@ -43,7 +48,7 @@ def class_id(hashes: np.ndarray) -> bytes:
 
 
 def sketch(batches):
-    """(doc_id, n_shingles, node, signature) of each text; node is null without words."""
+    """(doc_id, text_key, n_shingles, node, signature) of each text; node is null without words."""
     for b in batches:
         counts, nodes, sigs = [], [], []
         for text in byte_slices(b["text"]):
@@ -51,8 +56,8 @@ def sketch(batches):
             counts.append(len(hashes))
             nodes.append(class_id(hashes) if len(hashes) else None)
             sigs.append(signature(hashes, SYMBOLS).tobytes() if len(hashes) else None)
-        yield pa.record_batch([b["doc_id"], pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
-                               pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "node", "sig"])
+        yield pa.record_batch([b["doc_id"], b["text_key"], pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
+                               pa.array(sigs, pa.binary())], names=["doc_id", "text_key", "n_shingles", "node", "sig"])
 
 
 def chunk_keys(batches):
@@ -88,33 +93,6 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     return both.mapInArrow(near, "a binary, b binary")
 
 
-def bit_planes(classes: DataFrame) -> DataFrame:
-    """(node, planes): the low bits of each place of a signature, 64 places to a long, plane after plane."""
-    def pack(batches):
-        for b in batches:
-            sigs = np.array([np.frombuffer(s, "<u2") for s in b["sig"].to_pylist()]).reshape(-1, SYMBOLS)
-            bits = np.stack([sigs >> k & 1 for k in range(PLANES)], axis=1).astype(np.uint8)
-            longs = np.packbits(bits.reshape(len(sigs), -1), axis=1).view(">i8").astype(np.int64)
-            names = [f"p{k}" for k in range(longs.shape[1])]
-            yield pa.record_batch([b["node"], *(pa.array(longs[:, k]) for k in range(longs.shape[1]))],
-                                  names=["node", *names])
-
-    columns = [f"p{k}" for k in range(PLANES * SYMBOLS // 64)]
-    return classes.select("node", "sig").mapInArrow(pack, "node binary, " + ", ".join(f"{c} long" for c in columns))
-
-
-def places_apart() -> Column:
-    """Places in which the planes of sides a and b differ: never more than the signatures differ in."""
-    words = SYMBOLS // 64
-    apart = F.lit(0)
-    for w in range(words):
-        seen = F.lit(0).cast("long")
-        for k in range(w, PLANES * words, words):
-            seen = seen.bitwiseOR(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b")))
-        apart = apart + F.bit_count(seen)
-    return apart
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on the full sets."""
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
@@ -203,18 +181,72 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return own.where("node is not null")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document.
+def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(ref, node, n, linked, diff): size of the class, whether it is linked with its reference, and what parts the two."""
+    both = members.join(sets.toDF("ref", "set_ref"), "ref").join(sets.toDF("node", "set_node"), "node")
 
-    Documents are linked when 100 * intersection >= ``percent`` * union of their
-    shingle sets.  A null, empty or wordless text has an empty set and is its own
-    component.  Rows that repeat a doc_id are one document per text and share the
-    id; rows without a doc_id link nothing, have a null component and are kept.
-    An empty table gives no rows.  Columns beside doc_id and text are not read.
+    def part(batches):
+        for b in batches:
+            sizes, linked, diffs = [], [], []
+            for x, y in zip(b["set_ref"].to_pylist(), b["set_node"].to_pylist()):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                diff = np.setxor1d(x, y, assume_unique=True)
+                sizes.append(len(y))
+                linked.append((100 + percent) * len(diff) <= (100 - percent) * (len(x) + len(y)))
+                diffs.append(diff.tobytes())
+            yield pa.record_batch([b["ref"], b["node"], pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()),
+                                   pa.array(diffs, pa.binary())], names=["ref", "node", "n", "linked", "diff"])
+    return both.mapInArrow(part, "ref binary, node binary, n long, linked boolean, diff binary")
+
+
+def prefix_pairs(diffs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of one reference in different components that can still be linked (see the module)."""
+    def spread(batches):
+        for b in batches:
+            for ref, node, weight, diff in zip(*(b[c].to_pylist() for c in ("ref", "node", "w", "diff"))):
+                h = np.frombuffer(diff, "<i8")
+                n = len(h)
+                yield pa.record_batch([pa.array([ref] * n, pa.binary()), pa.array([node] * n, pa.binary()), pa.array(h),
+                                       pa.array([n] * n, pa.int64()), pa.array([weight] * n, pa.int64())],
+                                      names=["ref", "node", "h", "size", "w"])
+
+    named = diffs.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = named.groupBy("ref").agg(F.min("w").alias("low"), F.min("label").alias("x"), F.max("label").alias("y"))
+    least = least.where("x != y").select("ref", "low")
+    features = written(diffs.join(least, "ref", "left_semi").mapInArrow(
+        spread, "ref binary, node binary, h long, size long, w long"), "features")
+    seen = features.groupBy("ref", "h").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
+    # a shingle of one difference alone comes first in the order and is no key
+    ranked = features.join(seen, ["ref", "h"], "left").withColumn("place", F.row_number().over(
+        Window.partitionBy("ref", "node").orderBy(F.asc_nulls_first("seen"), "h")) - 1)
+    scale = 100 + percent
+    common = [F.greatest(F.lit(1), F.ceil(c)) for c in (F.col("w") / scale, (F.col("w") + F.col("low")) / (2 * scale))]
+    ranked = ranked.where("seen is not null").join(least, "ref")
+    ranked = ranked.where(F.col("place") <= F.col("size") - common[1]).withColumn(
+        "small", F.col("place") <= F.col("size") - common[0])
+    ranked = ranked.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    ranked = written(ranked.select("ref", "h", "node", "label", "w", "small", (F.col("size") - F.col("place")).alias("left")),
+                     "prefixes")
+    open_keys = ranked.groupBy("ref", "h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
+    ranked = ranked.join(open_keys.select("ref", "h"), ["ref", "h"], "left_semi")
+    small = ranked.where("small").drop("small").toDF("ref", "h", "a", "label_a", "w_a", "left_a")
+    large = ranked.drop("small").toDF("ref", "h", "b", "label_b", "w_b", "left_b")
+    pairs = small.join(large, ["ref", "h"]).where(
+        (F.col("label_a") != F.col("label_b")) & (F.struct("w_a", "a") < F.struct(F.col("w_b").alias("w_a"), F.col("b").alias("a")))
+        & (2 * scale * F.least("left_a", "left_b") >= F.col("w_a") + F.col("w_b")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def labelled(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, node, component, first) of every row.
+
+    ``component`` is the smallest doc_id of the class's component and ``first`` the
+    smallest of its classes that carry that id; both are null without words or id.
     """
     small_batches(docs.sparkSession)
     base = texts_of(docs)
-    rows = written(base.mapInArrow(sketch, "doc_id long, n_shingles long, node binary, sig binary"), "sketch")
+    rows = written(base.withColumn("text_key", F.md5("text")).mapInArrow(
+        sketch, "doc_id long, text_key string, n_shingles long, node binary, sig binary"), "sketch")
     with_id = rows.where("node is not null and doc_id is not null")
     classes = written(with_id.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
 
@@ -232,43 +264,64 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     labels = components(edges)
 
     group = open_buckets(shared, labels)
-    own = single_shingles(sets, group)
-    # the class with the fewest shingles of its own stands in the middle of its bucket
-    middle = group.join(own, "node").groupBy("key").agg(
-        F.min(F.struct(F.col("u") / F.col("n"), "node", "label")).alias("mid"))
-    second = group.join(middle.select("key", F.col("mid.node").alias("mid"), F.col("mid.label").alias("theirs")), "key")
-    second = second.where("label != theirs").select(F.least("node", "mid").alias("a"), F.greatest("node", "mid").alias("b"))
-    second = written(second.distinct().join(star, ["a", "b"], "left_anti"), "second")
-    more = written(confirmed(close_pairs(second, classes, limit), sets, percent), "links")
+    able = single_shingles(sets, group).where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
+    group = open_buckets(shared.join(able.select("node"), "node", "left_semi"), labels)
+    middle = group.join(able, "node").groupBy("key").agg(F.min(F.struct(F.col("u") / F.col("n"), "node")).alias("mid"))
+    second = group.join(middle.select("key", F.col("mid.node").alias("ref")), "key").where("node != ref")
+    diffs = differences(second.select("ref", "node").distinct(), sets, percent)
+    diffs = written(diffs.withColumn("w", (100 + percent) * F.length("diff") / 8 - (100 - percent) * F.col("n"))
+                    .withColumn("w", F.col("w").cast("long")), "differences")
+    centre = diffs.groupBy("ref").agg(F.min(F.struct("w", "node")).alias("c")).select("ref", "c.w", "c.node").toDF("ref", "cw", "c")
+    around = diffs.join(centre, "ref").where("node != c and w + cw <= 0").select(
+        F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
+    near = diffs.where("linked").select(F.least("ref", "node").alias("a"), F.greatest("ref", "node").alias("b"))
+    more = written(near.union(around).distinct(), "links")
     if not more.isEmpty():
         labels = merged(labels, more)
 
-    able = own.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
-    group = open_buckets(shared.join(able.select("node"), "node", "left_semi"), labels)
-    planes = bit_planes(classes.join(able.select("node"), "node", "left_semi"))
-    group = group.join(able, "node").join(planes, "node")
-    left, right = (group.select("key", *(F.col(c).alias(f"{c}_{side}") for c in group.columns if c != "key"))
-                   for side in "ab")
-    common = F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b"))
-    rest = left.join(right, (left["key"] == right["key"]) & (F.col("label_a") < F.col("label_b"))
-                     & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)) & (places_apart() <= limit))
-    rest = rest.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    rest = rest.join(star.union(second), ["a", "b"], "left_anti")
+    rest = prefix_pairs(diffs, labels, percent).join(star, ["a", "b"], "left_anti")
     more = written(confirmed(close_pairs(rest, classes, limit), sets, percent), "links")
     if not more.isEmpty():
         labels = merged(labels, more)
 
     named = classes.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = named.groupBy("label").agg(F.min("rep").alias("component"))
-    component = named.join(smallest, "label").select("node", "component")
-    out = rows.select("doc_id", "n_shingles", "node").join(component, "node", "left")
-    # an id that stands on several texts is one document: the smallest component it has
-    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
+    smallest = named.groupBy("label").agg(F.min(F.struct("rep", "node")).alias("s"))
+    component = named.join(smallest, "label").select("node", F.col("s.rep").alias("component"), F.col("s.node").alias("first"))
+    return rows.drop("sig").join(component, "node", "left").withColumn(
+        "component", F.when(F.col("doc_id").isNotNull(), F.col("component")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document.
+
+    Documents are linked when 100 * intersection >= ``percent`` * union of their
+    shingle sets.  A null, empty or wordless text has an empty set and is its own
+    component.  Rows that repeat a doc_id are one document per text and share the
+    id; rows without a doc_id link nothing, have a null component and are kept.
+    An empty table gives no rows.  Columns beside doc_id and text are not read.
+    """
+    out = labelled(docs, percent).withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The documents kept, with the columns of ``docs``; rows without a doc_id stay."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate component, with the columns of ``docs``.
+
+    Decided by each row's own text: of a component the row of its smallest doc_id
+    stays (of several texts of that id the smallest class), once if it is repeated.
+    Rows without words or without a doc_id are linked with nothing and all stay.
+    """
+    rows = labelled(docs, percent)
+    linked = rows.where("component is not null").groupBy("doc_id", "text_key").agg(
+        F.min((F.col("doc_id") == F.col("component")) & (F.col("node") == F.col("first"))).alias("stays"),
+        F.count(F.lit(1)).alias("times")).where("not stays or times > 1")
+    linked = written(linked, "decisions")
+    keyed = docs.withColumn("__doc_key", F.col("doc_id").cast("long")).withColumn(
+        "__text_key", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    key = ["__doc_key", "__text_key"]
+    decided = linked.withColumnsRenamed({"doc_id": key[0], "text_key": key[1]})
+    out = keyed.join(decided, key, "left_anti")
+    if not linked.where("stays").isEmpty():  # rows that are repeated as they are
+        out = out.unionByName(keyed.join(decided.where("stays"), key, "left_semi").dropDuplicates(key))
+    return out.select(*docs.columns)

@@ -309,3 +309,61 @@ def test_best_fit_is_the_best_of_all_open_sequences(fit):
         if best is not None:
             plain.remove(best)
         plain.append(tuple(r - x for r, x in zip(best or caps, item)))
+
+
+# ---------------------------------------------------------------- near duplicates
+
+def shingle_sets(texts):
+    out = {}
+    for i, text in texts:
+        w = text.lower().split()
+        out[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    return out
+
+
+def brute_components(texts, percent):
+    sets, parent = shingle_sets(texts), {i: i for i, _ in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1:]:
+            x, y = len(sets[i]), len(sets[j])
+            if x and y and 100 * min(x, y) >= percent * max(x, y):
+                common = len(sets[i] & sets[j])
+                if 100 * common >= percent * (x + y - common):
+                    a, b = sorted((root(i), root(j)))
+                    parent[b] = a
+    return {i: root(i) for i in ids}
+
+
+@pytest.mark.parametrize("percent, words, edits", [(85, 150, (1, 2, 3)), (80, 60, (1, 2)), (85, 40, (1,))])
+def test_family_of_copies_just_below_the_threshold(spark, percent, words, edits):  # noqa: F811
+    """One text, edited in a few places of a small part: many pairs just under and just over the threshold."""
+    rng = random.Random(percent + words)
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    texts = []
+    for i in range(300):
+        own = list(base)
+        for _ in range(rng.choice(edits)):
+            own[rng.randrange(words // 3)] = f"e{rng.randrange(40) if rng.random() < .5 else i + 1000}"
+        texts.append((i, " ".join(own[rng.choice([0, 0, 0, 2]):])))
+    from newsflow.llm import near_dedup
+    got = rows(near_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), percent))
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(texts, percent)
+
+
+def test_one_of_each_decides_by_the_text_of_a_row(spark):  # noqa: F811
+    from newsflow.llm import near_dedup
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    table = spark.createDataFrame(
+        [(1, a, "k"), (2, a, "l"), (2, b, "m"), (3, c, "n"), (3, c, "n"), (4, c + " more", "o"), (None, a, "p"), (5, None, "q"),
+         (5, "", "q"), (6, " \n", "r"), (6, " \n", "r")], "doc_id long, text string, node string")
+    for percent in (80, 85):
+        kept = near_dedup.one_of_each(table, percent)
+        assert kept.columns == table.columns
+        assert sorted(r["node"] for r in kept.collect()) == ["k", "m", "n", "p", "q", "q", "r", "r"]
+    assert near_dedup.one_of_each(table.where("false")).count() == 0
