@@ -158,43 +158,42 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     bounds = np.array(base.agg(F.percentile_approx("doc_id", shares, 20 * ranges)).first()[0] or [], np.int64)
 
     def encode(batches):
-        import zstandard
-        enc, squeeze = encoder(tokenizer, False), zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], "<u2").tobytes()
+        enc, end = encoder(tokenizer, False), np.array([end_id], "<u2").tobytes()
         for b in batches:
             place = np.searchsorted(bounds, np.array(b["doc_id"].fill_null(NULL_ID)), "left")
-            ids = [squeeze.compress(enc.encode(str(t, "utf-8")) + end) for t in byte_slices(b["text"])]
+            ids = [enc.encode(str(t, "utf-8")) + end for t in byte_slices(b["text"])]
             yield pa.record_batch([place.astype(np.int64), b["doc_id"], pa.array(ids, pa.binary())],
                                   names=["bucket", "doc_id", "ids"])
 
     def block_rows(batches):
-        import zstandard
-        grow, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        rows = ((x, y, grow.decompress(z)) for b in batches
-                for x, y, z in zip(*(b[c].to_pylist() for c in ("bucket", "doc_id", "ids"))))
+        """Blocks, and after them one row (bucket null) with the counts of all ids of the task."""
+        names = ["bucket", "number", "n_ids", "doc_ids", "sizes", "ids"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+        total = np.zeros(ID_SPACE, np.int64)
+        rows = (row for b in batches for row in zip(*(b[c].to_pylist() for c in ("bucket", "doc_id", "ids"))))
         for bucket, number, own, parts in gathered(rows, BLOCK_IDS):
-            sizes = [len(p) // 2 for p in parts]
-            yield pa.record_batch(
-                [pa.array([x]) for x in (bucket, number, sum(sizes))]
-                + [pa.array([own], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                   pa.array([squeeze.compress(b"".join(parts))], pa.binary())],
-                names=["bucket", "number", "n_ids", "doc_ids", "sizes", "ids"])
+            sizes, ids = [len(p) // 2 for p in parts], b"".join(parts)
+            total += np.bincount(np.frombuffer(ids, "<u2"), minlength=ID_SPACE)
+            row = bucket, number, len(ids) // 2, own, sizes, ids
+            yield pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
+        row = None, None, None, None, None, total.astype("<i8").tobytes()
+        yield pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
     coded = base.mapInArrow(encode, "bucket long, doc_id long, ids binary")
     ordered = coded.repartition(ranges, "bucket").sortWithinPartitions("bucket", "doc_id", "ids")
-    raw = written(ordered.mapInArrow(
+    gathered_rows = written(ordered.mapInArrow(
         block_rows, "bucket long, number long, n_ids long, doc_ids array<long>, sizes array<long>, ids binary"), "ids")
+    raw = gathered_rows.where("bucket is not null")
 
     def count(batches):
-        import zstandard
-        grow, total = zstandard.ZstdDecompressor(), np.zeros(ID_SPACE, np.int64)
+        total = np.zeros(ID_SPACE, np.int64)
         for b in batches:
-            for ids in b["ids"].to_pylist():
-                total += np.bincount(np.frombuffer(grow.decompress(ids), "<u2"), minlength=ID_SPACE)
+            for counts in byte_slices(b["ids"]):
+                total += np.frombuffer(counts, "<i8")
         seen = np.flatnonzero(total)
         yield pa.record_batch([seen.astype(np.int64), total[seen]], names=["id", "n"])
 
-    counts = raw.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = gathered_rows.where("bucket is null").select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     table = np.zeros(ID_SPACE, np.int64)  # at most 65,536 rows, whatever the corpus
     for r in counts.collect():
         table[r["id"]] = r["n"]
@@ -213,13 +212,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     starts = at.select("bucket", "number", (F.col("base") + F.col("inside")).alias("first_id"))
 
     def squeeze_blocks(batches):
-        import zstandard
-        grow, codes = zstandard.ZstdDecompressor(), canonical_codes(lengths)
+        codes = canonical_codes(lengths)
         for b in batches:
             for bucket, number, own, sizes, ids in zip(*(b[c].to_pylist() for c in
                                                          ("bucket", "number", "doc_ids", "sizes", "ids"))):
-                data = np.frombuffer(grow.decompress(ids), "<u2")
-                block = encode_block(data, np.array(own, np.int64), np.array(sizes, np.int64), lengths, codes)
+                block = encode_block(np.frombuffer(ids, "<u2"), np.array(own, np.int64), np.array(sizes, np.int64), lengths, codes)
                 yield pa.record_batch([pa.array([bucket]), pa.array([number]), pa.array([block], pa.binary())],
                                       names=["bucket", "number", "block"])
 

@@ -54,25 +54,27 @@ class UnitEncoder:
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
-    def normal(self, word: str) -> str:
-        """The tokenizer's normal form; plain lower case where its rules come to that."""
-        if self.normaliser is None:
-            return word
-        if word.isascii() or max(word) < "\u0130":  # Latin letters without marks of their own code point: composed already
-            return word.lower()
-        return self.normaliser.normalize_str(word)
-
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def word(self, word: str) -> bytes:
-        """Ids of a run of letters, a space before it counted in."""
-        found = self.words.get(word)
-        if found is None:
+    def word(self, word: str) -> bytes | None:
+        """Ids of a run of letters, a space before it counted in.
+
+        None if its normal form is not letters alone (a letter taken apart into letter
+        and mark): the pre-tokenizer parts it again, and joins the mark with what follows.
+        """
+        found = self.words.get(word, b"")
+        if found == b"":
             if len(self.words) >= CACHE_WORDS:
                 self.words.clear()
-            text = self.normal(word)
-            text = text.translate(self.letters) if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+            if word.isascii():
+                text = word.lower() if self.normaliser else word.replace(" ", self.letters[32])
+            else:
+                text = self.normaliser.normalize_str(word) if self.normaliser else word
+                if self.normaliser and not text.isalpha():
+                    self.words[word] = None
+                    return None
+                text = text.encode().decode("latin-1").translate(self.letters)
             found = self.words[word] = array("H", [t.id for t in self.model.tokenize(text)]).tobytes()
         return found
 
@@ -88,11 +90,12 @@ class UnitEncoder:
         """Ids of a unit; None if it cannot stand alone."""
         if self.keeps_space and (not u or u[0].isspace() or u[-1].isspace()):
             return None
-        if u.isalpha():
-            return self.word(prefix + u)
-        letters = u.rstrip(MARKS)
+        letters = u if u.isalpha() else u.rstrip(MARKS)
         if letters.isalpha():
-            return self.word(prefix + letters) + self.mark(u[len(letters):])
+            ids = self.word(prefix + letters)
+            if ids is None:
+                return self.whole(prefix + u)
+            return ids if letters is u else ids + self.mark(u[len(letters):])
         left, cut, right = u.partition("\n")
         if cut and left and right and not (left[-1].isspace() or right[0].isspace()):
             return self.unit(left, prefix) + self.mark("\n") + self.unit(right, "")

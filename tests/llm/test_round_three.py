@@ -367,3 +367,20 @@ def test_one_of_each_decides_by_the_text_of_a_row(spark):  # noqa: F811
         assert kept.columns == table.columns
         assert sorted(r["node"] for r in kept.collect()) == ["k", "m", "n", "p", "q", "q", "r", "r"]
     assert near_dedup.one_of_each(table.where("false")).count() == 0
+
+
+# ---------------------------------------------------------------- unit encoder
+
+@pytest.mark.parametrize("name, keeps_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_every_code_point_is_encoded_like_the_library(name, keeps_space):
+    """Alone, inside a word, between words and before punctuation; letters that normal forms take apart included."""
+    from newsflow.llm.tokenise import UnitEncoder
+    own = UnitEncoder(queries.tokenizer_file(name), keeps_space)
+    texts = [make.replace("{}", chr(c)) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000
+             for make in ("{}", "a{}b xy", "xy {}a", "Q {}, x")]
+    texts += ["İstanbul is large", "क़लम ड़ ढ़", "য় া", "ﬁn ſo K Å Ǆ"]
+    for at in range(0, len(texts), 8192):
+        part = texts[at:at + 8192]
+        want = own.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+        for text, ids in zip(part, want):
+            assert np.frombuffer(own.encode(text), "<u2").tolist() == ids.ids, ascii(text)
