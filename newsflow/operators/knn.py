@@ -4,20 +4,21 @@ M-9, F-11, F-12, F-14, F-16, ST-7, K-4).
 
 Day-range KNN at scale
 ----------------------
-A query vector published on day ``d`` is compared with every stored vector
-of the days ``d - N .. d`` (whole UTC days, both ends included).  Catalyst
-will not turn that range condition into an equi-join, and an equi-join on
-the day alone would put a whole (possibly hot) day into one task and emit
-every pair of it.  Instead both sides are cut into *blocks* of at most
-``block_rows`` vectors per day (a hash of the id picks the block; the
-number of blocks of a day follows from its row count, so a day holding a
-third of all rows simply gets more blocks).  Each query block is paired
-with each candidate block of the days in its range through an equi-join
-key ``(q_day, q_block, c_day, c_block)``; a cogrouped pandas function
-computes the block's distance matrix with one NumPy matrix product and
-emits only hits within the threshold (and, for duplicate detection, only
-the best hit per query and block).  Results are exact: every pair in range
-is scored once; nothing is sampled or capped.
+A query vector published on day ``d`` is compared with the stored vectors of the
+days ``d - N .. d`` (whole UTC days, both ends included).  The distances are
+metrics in disguise: a cosine distance of ``t`` is a distance of ``sqrt(2 t)``
+between normalised vectors, L2 is squared.  So the stored vectors are parted into
+cells around ``pivots`` vectors, and a cell's members lie between two distances
+from its pivot.  By the triangle inequality a query meets a cell only if its own
+distance from the pivot is within the threshold of that range; cells of a day that
+are out of reach are skipped.  (IP is no metric: every cell is met.)
+
+A cell of a day is cut into blocks of at most ``block_rows`` vectors, so a day or a
+cell that holds a third of all rows only gets more blocks.  Each stored vector is
+shuffled once, each query once for each block it meets; a task holds one block and
+streams its queries past it, one matrix product an Arrow batch.  Where ``k`` hits are
+asked for, or the best alone, no block gives a query more.  Results are exact: no pair
+in reach is left out, nothing is sampled or capped but the choice of the pivots.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ import datetime as _dt
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsflow.operators.common import bounded_broadcast
+from newsflow import schemas
+from newsflow.operators.common import bounded_broadcast, first_per_key
 
 SPACES = ("L2", "IP", "COSINE")
 DAY_FORMAT = "yyyy-MM-dd"
@@ -71,7 +73,7 @@ def distance(a, b, space: str = "COSINE") -> Column:
     else:
         na = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
         nb = F.sqrt(F.aggregate(b, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-        d = 1.0 - dot / (na * nb)
+        d = 1.0 - F.try_divide(dot, na * nb)  # NULL for the zero vector, which has no direction
     return d.cast("float")
 
 
@@ -105,78 +107,138 @@ def _distances(q: np.ndarray, c: np.ndarray, space: str) -> np.ndarray:
         return 1.0 - dot / (nq * nc)
 
 
-def _block_fn(space: str, threshold: float, mode: str):
-    t32 = np.float32(threshold)
-
-    def fn(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "id": pd.Series([], dtype="int64"),
-                              "distance": pd.Series([], dtype="float32")})
-        if qpdf.empty or cpdf.empty:
-            return empty
-        q = np.stack(qpdf["data"].to_numpy()).astype(np.float64)
-        c = np.stack(cpdf["data"].to_numpy()).astype(np.float64)
-        d = _distances(q, c, space).astype(np.float32)
-        qid = qpdf["id"].to_numpy(dtype=np.int64)
-        cid = cpdf["id"].to_numpy(dtype=np.int64)
-        ok = d <= t32
-        if mode == "smaller":
-            ok &= cid[None, :] < qid[:, None]
-        elif mode == "others":
-            ok &= cid[None, :] != qid[:, None]
-        ok &= ~np.isnan(d)
-        qi, ci = np.nonzero(ok)
-        if qi.size == 0:
-            return empty
-        out = pd.DataFrame({"qid": qid[qi], "id": cid[ci], "distance": d[qi, ci]})
-        if mode == "smaller":
-            # pre-aggregate: only the best (distance, id) per query leaves the block
-            out = out.sort_values(["qid", "distance", "id"]).drop_duplicates("qid", keep="first")
-        return out
-    return fn
-
-
-def _blocks(df: DataFrame, block_rows: int, prefix: str) -> DataFrame:
-    """(day, n_blocks) per day; bounded by the number of distinct days."""
-    return df.groupBy("day").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block_rows))).cast("int").alias(f"{prefix}nb"))
+PIVOTS_MAX = 256  # the pivots are held by every task: 256 vectors
+
+
+def _unit(x: np.ndarray, space: str) -> np.ndarray:
+    """Vectors whose Euclidean distances give those of ``space``; the zero vector stays."""
+    if space != "COSINE":
+        return x
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(norm > 0, norm, 1.0)
+
+
+def _reach(threshold: float, space: str) -> float:
+    """Euclidean distance within which every hit lies, rounding allowed for."""
+    if space == "IP":
+        return np.inf
+    wide = max(0.0, threshold) * (1 + 1e-6) + 1e-6
+    return float(np.sqrt(2 * wide if space == "COSINE" else wide)) + 1e-6
+
+
+def _vectors_of(column: pa.Array) -> np.ndarray:
+    """Rows of a list column as a matrix; every list has the length of the first."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.array(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+
+
+def _pivots(vectors: DataFrame, block_rows: int, space: str) -> np.ndarray:
+    """The vectors of the least id hashes, one for each block of rows, ``PIVOTS_MAX`` at most."""
+    n = min(PIVOTS_MAX, max(1, vectors.count() // block_rows))
+    rows = vectors.where("data IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(n).select("data").collect()
+    return _unit(np.array([r["data"] for r in rows], dtype=np.float64), space) if rows else np.empty((0, 0))
+
+
+def _cells(df: DataFrame, pivots: np.ndarray, space: str, every: bool) -> DataFrame:
+    """``df`` with its distances from the pivots: of all (``pivot_distances``), or its cell and that cell's."""
+    def measure(batches):
+        for b in batches:
+            x = _unit(_vectors_of(b["data"]), space)
+            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
+            own = [b[c] for c in ("id", "day", "data")]
+            if every:
+                more = [pa.ListArray.from_arrays(np.arange(0, d.size + 1, d.shape[1], dtype=np.int32), pa.array(d.reshape(-1)))]
+                names = ["pivot_distances"]
+            else:
+                cell = d.argmin(1)
+                more, names = [pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])], ["cell", "apart"]
+            yield pa.record_batch([*own, *more], names=["id", "day", "data", *names])
+    extra = "pivot_distances array<double>" if every else "cell int, apart double"
+    return df.where("data IS NOT NULL").mapInArrow(measure, f"id long, day date, data array<float>, {extra}")
+
+
+def _best_rows(d: np.ndarray, ok: np.ndarray, ids: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (query, candidate) of the hits, the first ``k`` in (distance, id) of each query."""
+    qi, ci = np.nonzero(ok)
+    if k is None or not len(qi):
+        return qi, ci
+    order = np.lexsort((ids[ci], d[qi, ci], qi))
+    qi, ci = qi[order], ci[order]
+    first = np.flatnonzero(np.diff(qi, prepend=-1))
+    rank = np.arange(len(qi)) - np.repeat(first, np.diff(np.append(first, len(qi))))
+    return qi[rank < k], ci[rank < k]
 
 
 def knn_pairs(queries: DataFrame, vectors: DataFrame, timeframe_days: int, threshold: float,
               space: str = "COSINE", block_rows: int = 4096, smaller_only: bool = False,
-              exclude_self: bool = False) -> DataFrame:
+              exclude_self: bool = False, k: int | None = None) -> DataFrame:
     """Hits (qid, id, distance) of every query against stored vectors of days
     ``day - N .. day`` with ``distance <= threshold`` (float32 comparison).
 
     ``queries`` and ``vectors`` have columns (id, day, data).  With
     ``smaller_only`` only candidates with a smaller id count, and each block
-    emits at most the best hit per query.
+    emits at most the best hit per query; with ``k`` at most its ``k`` best.
     """
     check_space(space)
-    # fresh attributes on both sides: queries and vectors may be the same table
-    q = queries.select(*[F.col(x).alias(x) for x in ("id", "day", "data")])
-    c = vectors.select(*[F.col(x).alias(x) for x in ("id", "day", "data")])
-    qb = bounded_broadcast(_blocks(q, block_rows, "q_"))
-    cb = bounded_broadcast(_blocks(c, block_rows, "c_"))
-
-    # candidate side: its own block; replicated to each query day in range and each block of that day
-    cside = (c.join(cb, "day")
-             .withColumn("c_block", F.pmod(F.xxhash64("id"), F.col("c_nb")).cast("int"))
-             .withColumn("q_day", F.explode(F.sequence(F.col("day"), F.date_add("day", timeframe_days),
-                                                       F.expr("INTERVAL 1 DAY"))))
-             .join(qb.withColumnRenamed("day", "q_day"), "q_day")
-             .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_nb") - 1)))
-             .select("q_day", "q_block", F.col("day").alias("c_day"), "c_block", "id", "data"))
-    # query side: its own block; replicated to each candidate day in range and each block of it
-    qside = (q.join(qb, "day")
-             .withColumn("q_block", F.pmod(F.xxhash64("id"), F.col("q_nb")).cast("int"))
-             .withColumn("c_day", F.explode(day_range("day", timeframe_days)))
-             .join(cb.withColumnRenamed("day", "c_day"), "c_day")
-             .withColumn("c_block", F.explode(F.sequence(F.lit(0), F.col("c_nb") - 1)))
-             .select(F.col("day").alias("q_day"), "q_block", "c_day", "c_block", "id", "data"))
-    keys = ["q_day", "q_block", "c_day", "c_block"]
-    fn = _block_fn(space, threshold, "smaller" if smaller_only else ("others" if exclude_self else "all"))
-    return (qside.groupBy(*keys).cogroup(cside.groupBy(*keys))
-            .applyInPandas(fn, "qid long, id long, distance float"))
+    spark = vectors.sparkSession
+    q, c = (df.select(*[F.col(x).alias(x) for x in ("id", "day", "data")]) for df in (queries, vectors))
+    q, c = (df.withColumn("data", F.col("data").cast("array<float>")).where("day IS NOT NULL") for df in (q, c))
+    pivots = _pivots(c, block_rows, space)
+    if not len(pivots):
+        return spark.createDataFrame([], "qid long, id long, distance float")
+    reach, limit, top = _reach(threshold, space), np.float32(threshold), 1 if smaller_only else k
+    key = ["c_day", "cell", "block"]
+
+    placed = _cells(c, pivots, space, every=False)
+    # one row a day and cell: how many blocks, and between which distances from the pivot its members lie
+    cells = placed.groupBy("day", "cell").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("nb"), F.min("apart").alias("lo"),
+        F.max("apart").alias("hi"))
+    cells = bounded_broadcast(cells.withColumnRenamed("day", "c_day"))
+    stored = (placed.withColumnRenamed("day", "c_day").join(cells.select("c_day", "cell", "nb"), ["c_day", "cell"])
+              .select("c_day", "cell", F.pmod(F.xxhash64("id"), "nb").cast("int").alias("block"), F.lit(0).alias("side"),
+                      "id", "data"))
+    asked = (_cells(q, pivots, space, every=True)
+             .withColumn("c_day", F.explode(day_range("day", timeframe_days))).join(cells, "c_day")
+             .withColumn("_d", F.get("pivot_distances", "cell"))
+             .where((F.col("_d") - reach <= F.col("hi")) & (F.col("_d") + reach >= F.col("lo")))
+             .select("c_day", "cell", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"),
+                     F.lit(1).alias("side"), "id", "data"))
+
+    def search(batches):
+        block, ids, x = None, None, None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for b in batches:
+            keys = list(zip(*(b[n].to_pylist() for n in key)))
+            side = np.array(b["side"])
+            # runs of one block and side
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1] or side[i] != side[i - 1]), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                part = b.slice(lo, hi - lo)
+                own, data = np.array(part["id"]), _vectors_of(part["data"])
+                if keys[lo] != block:
+                    block, held, x = keys[lo], [], None
+                if side[lo] == 0:
+                    held.append((own, data))
+                    continue
+                if not held:
+                    continue
+                if x is None:
+                    ids, x = np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held])
+                for at in range(0, len(own), 512):
+                    qid = own[at:at + 512]
+                    d = _distances(data[at:at + 512], x, space).astype(np.float32)
+                    ok = d <= limit  # a distance that is no number is no hit
+                    if smaller_only:
+                        ok &= ids[None, :] < qid[:, None]
+                    elif exclude_self:
+                        ok &= ids[None, :] != qid[:, None]
+                    qi, ci = _best_rows(d, ok, ids, top)
+                    yield pa.record_batch([pa.array(qid[qi]), pa.array(ids[ci]), pa.array(d[qi, ci])],
+                                          names=["qid", "id", "distance"])
+
+    return (stored.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "side")
+            .mapInArrow(search, "qid long, id long, distance float"))
 
 
 def knn(queries: DataFrame, vectors: DataFrame, timeframe_days: int, threshold: float,
@@ -185,7 +247,7 @@ def knn(queries: DataFrame, vectors: DataFrame, timeframe_days: int, threshold:
     """J-11 + U-1 + O-4 + W-5 + F-14: hits (qid, id, distance, rank) sorted by
     (distance, id) per query; ``k`` keeps the first k (K nearest), ``None``
     keeps every hit within the threshold."""
-    hits = knn_pairs(queries, vectors, timeframe_days, threshold, space, block_rows, exclude_self=exclude_self)
+    hits = knn_pairs(queries, vectors, timeframe_days, threshold, space, block_rows, exclude_self=exclude_self, k=k)
     w = Window.partitionBy("qid").orderBy("distance", "id")
     hits = hits.withColumn("rank", F.row_number().over(w))
     if k is not None:
@@ -268,7 +330,39 @@ def purge_vectors(spark, path: str, now: _dt.datetime, days: int) -> list[str]:
     return removed
 
 
-def write_vectors(vectors: DataFrame, path: str) -> None:
-    """K-4: append into the partition of each vector's UTC publish day (created on demand)."""
-    (vectors.select("web_article_id", "data", "publish_day")
-     .write.mode("append").partitionBy("publish_day").parquet(path))
+def write_vectors(vectors: DataFrame, path: str, replace: bool = False) -> None:
+    """K-4: store vectors in the partition of their UTC publish day, one row for each article.
+
+    A vector that its day holds already is left out, so a replayed batch adds
+    nothing; only the id column of the batch's own days is read.  The append is one
+    job and is committed as a whole.  With ``replace`` the batch's vectors take the
+    place of the stored ones: the days touched are merged on ``web_article_id`` and
+    rewritten by a dynamic partition overwrite, the other days are not opened.
+    """
+    from newsflow.session import cut_lineage
+    spark = vectors.sparkSession
+    new = vectors.select("web_article_id", "data", "publish_day")
+    if replace or _stored(spark, path):
+        # the days of a batch are few; they prune the partitions that are read
+        days = [r["publish_day"] for r in new.select("publish_day").distinct().collect()]
+    new = first_per_key(new, ["publish_day", "web_article_id"], ["data"])
+    if _stored(spark, path):
+        old = spark.read.schema(schemas.SCHEMAS["vectors"]).parquet(path).where(F.col("publish_day").isin(days))
+        key = ["publish_day", "web_article_id"]
+        if replace:
+            kept = old.select("web_article_id", "data", "publish_day").join(new.select(*key), key, "left_anti")
+            # read before the days are overwritten
+            cut_lineage(kept.unionByName(new)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("publish_day").parquet(path)
+            return
+        new = new.join(old.select(*key), key, "left_anti")
+    new.write.mode("append").partitionBy("publish_day").parquet(path)
+
+
+def read_vectors(spark, path: str) -> DataFrame:
+    return spark.read.schema(schemas.SCHEMAS["vectors"]).parquet(path).select("web_article_id", "data", "publish_day")
+
+
+def _stored(spark, path: str) -> bool:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)

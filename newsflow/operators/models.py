@@ -57,15 +57,16 @@ def translate(articles: DataFrame, langs: list[str], target: str = "en",
     """M-1: set ``translated_title`` and ``translation_language``.
 
     Already translated articles (both fields set) and blank titles are
-    skipped; articles whose language is not white-listed (or already the
-    target) pass through unchanged with ``outcome='pass'``.  The default model
+    skipped; articles whose language is not white-listed pass through unchanged
+    with ``outcome='pass'``; a white-listed one is translated even if its language
+    is the target's.  The default model
     replaces each token found in ``lexicon(lang, source, target)``.
     Returns all input rows with an ``outcome`` column: skip / pass / translated.
     """
     done = F.col("translated_title").isNotNull() & F.col("translation_language").isNotNull()
     blank = ~has_text(go_trim("title"))
     route = (F.when(done, F.lit("skip")).when(blank, F.lit("skip"))
-             .when(~language_allowed("language", langs) | (F.col("language") == target), F.lit("pass"))
+             .when(~language_allowed("language", langs), F.lit("pass"))
              .otherwise(F.lit("translate")))
     staged = articles.withColumn("outcome", route)
     todo = staged.where("outcome = 'translate'")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from newsflow import schemas
 from newsflow.operators.common import first_per_key
 from newsflow.session import cut_lineage
 
@@ -26,6 +28,35 @@ def insert_if_absent(new: DataFrame, table: DataFrame, keys: list[list[str]],
     return out
 
 
+def append_results(rows: DataFrame, name: str, path: str, epoch: int) -> None:
+    """K-3: append a stage's result rows to the stored table ``name``, keyed and replayable.
+
+    A batch is one ``epoch``, a partition of the table.  Rows whose unique key
+    (``schemas.UNIQUE_KEYS``) an other epoch holds are left out, and of equal keys in
+    the batch the first by its values stays.  A replayed epoch overwrites its own
+    partition, with the same rows; the other epochs are only read, by their key columns.
+    """
+    spark = rows.sparkSession
+    new = schemas.conform(rows, name)
+    keys = schemas.UNIQUE_KEYS[name]
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
+        stored = spark.read.schema(_with_epoch(name)).parquet(path).where(F.col("epoch") != epoch)
+    else:
+        stored = schemas.empty(spark, name)
+    rest = [c for c in new.columns if c not in {k for key in keys for k in key}]
+    insert_if_absent(new, stored, keys, rest).write.mode("overwrite").parquet(f"{path}/epoch={int(epoch)}")
+
+
+def read_results(spark, name: str, path: str) -> DataFrame:
+    """The rows of all epochs of a table written by ``append_results``."""
+    return spark.read.schema(_with_epoch(name)).parquet(path).drop("epoch")
+
+
+def _with_epoch(name: str) -> T.StructType:
+    return T.StructType([*schemas.SCHEMAS[name].fields, T.StructField("epoch", T.LongType())])
+
+
 def assign_ids(df: DataFrame, start: int | DataFrame, order: list[Column | str],
                id_col: str = "id", num_partitions: int | None = None) -> DataFrame:
     """K-5: dense ids ``start + 1, start + 2, ...`` in ``order`` (give a total order).

@@ -21,14 +21,9 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def first_line(col) -> F.Column:
-    """``split_part(text, newline, 1)`` without splitting the whole text."""
-    return F.regexp_extract(col, r"^([^\n]*)", 1)
-
-
-def second_line(col) -> F.Column:
-    """``split_part(text, newline, 2)`` ('' when there is no second line)."""
-    return F.regexp_extract(col, r"^[^\n]*\n([^\n]*)", 1)
+def one_line(col, gap: str = " ") -> F.Column:
+    """The whole text, its line breaks turned into ``gap``."""
+    return F.replace(F.col(col) if isinstance(col, str) else col, F.lit("\n"), F.lit(gap))
 
 
 def _day(n) -> F.Column:
@@ -43,7 +38,7 @@ def incoming_feed_items(spark, d) -> DataFrame:
         F.col("doc_id").alias("item_seq"),
         F.substring("source", 4, 100).cast("long").alias("feed_id"),
         F.concat(F.lit("https://n.example/"), (F.col("doc_id") % 700).cast("string")).alias("url"),
-        first_line(F.col("text")).alias("title"),
+        one_line("text").alias("title"),
         F.lit("").alias("description"), F.col("text").alias("content"),
         F.col("lang").alias("language"),
         F.when(F.col("doc_id") % 11 == 0, F.lit(None).cast("timestamp"))
@@ -53,7 +48,7 @@ def incoming_feed_items(spark, d) -> DataFrame:
 SQL_INCOMING_FEED_ITEMS = """
 SELECT doc_id AS item_seq, CAST(substr(source, 4) AS BIGINT) AS feed_id,
        'https://n.example/' || CAST(doc_id % 700 AS VARCHAR) AS url,
-       split_part(text, chr(10), 1) AS title, '' AS description, text AS content, lang AS language,
+       replace(text, chr(10), ' ') AS title, '' AS description, text AS content, lang AS language,
        CASE WHEN doc_id % 11 = 0 THEN NULL
             ELSE CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS TIMESTAMP) END AS published_at
 FROM documents"""
@@ -260,22 +255,20 @@ def vector_articles(spark, d) -> DataFrame:
 # ---------------------------------------------------------------- articles
 
 def doc_articles(spark, d) -> DataFrame:
-    """web_articles of the documents: first line as title, some translated."""
+    """web_articles of the documents: the whole text as title, and as translation of those that are not English."""
     doc = raw(spark, d, "documents")
-    title = first_line(F.col("text"))
-    second = second_line(F.col("text"))
     return doc.select(
-        F.col("doc_id").alias("id"), F.col("doc_id").alias("web_resource_id"), title.alias("title"),
+        F.col("doc_id").alias("id"), F.col("doc_id").alias("web_resource_id"), one_line("text").alias("title"),
         F.col("lang").alias("language"),
         _day(F.col("doc_id") % 30).cast("timestamp").alias("publish_date"),
-        F.when(F.col("lang") != "en", second).alias("translated_title"),
+        F.when(F.col("lang") != "en", one_line("text", " / ")).alias("translated_title"),
         F.when(F.col("lang") != "en", F.lit("en")).alias("translation_language"))
 
 
 SQL_DOC_ARTICLES = """
-SELECT doc_id AS id, doc_id AS web_resource_id, split_part(text, chr(10), 1) AS title, lang AS language,
+SELECT doc_id AS id, doc_id AS web_resource_id, replace(text, chr(10), ' ') AS title, lang AS language,
        CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS TIMESTAMP) AS publish_date,
-       CASE WHEN lang <> 'en' THEN split_part(text, chr(10), 2) END AS translated_title,
+       CASE WHEN lang <> 'en' THEN replace(text, chr(10), ' / ') END AS translated_title,
        CASE WHEN lang <> 'en' THEN 'en' END AS translation_language
 FROM documents"""
 

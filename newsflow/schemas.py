@@ -97,6 +97,7 @@ UNIQUE_KEYS: dict[str, list[list[str]]] = {
     "tweets": [["web_resource_id"], ["upstream_id"]],
     "pending_jobs": [["id"]],
     "zero_shot_classes": [["web_article_id", "zero_shot_hypothesis_label_id"]],
+    "text_classes": [["web_article_id", "type", "label"]],
     "vectors": [["web_article_id"]],
     "similarity_infos": [["web_article_id"]],
     "extracted_infos": [["web_article_id", "info_extraction_rule_id"]],
