@@ -76,11 +76,16 @@ def geo_text(title="title", language="language", translated="translated_title",
                                      lang_code(translation_language).alias("lang"))))
 
 
+def utc_literal(ts: _dt.datetime) -> Column:
+    """A timestamp literal; a datetime without zone is UTC, whatever the zone of the driver's machine."""
+    return F.lit(ts if ts.tzinfo else ts.replace(tzinfo=_dt.timezone.utc))
+
+
 def not_older_than(col, cutoff: _dt.datetime | None) -> Column:
     """F-2: keep unless a cut-off is set AND the date is known AND it is strictly older."""
     if cutoff is None:
         return F.lit(True)
-    return ~F.coalesce(_c(col) < F.lit(cutoff), F.lit(False))
+    return ~F.coalesce(_c(col) < utc_literal(cutoff), F.lit(False))
 
 
 def language_allowed(col, langs: Iterable[str]) -> Column:
@@ -207,33 +212,36 @@ JAVA_WEB_CHARSETS = (
 )
 
 
-def _java_charsets_enabled() -> bool:
+# Web rule: the labels of ASCII and Latin-1 mean windows-1252.  Its 0x80-0x9F, where defined; the rest stays as it is.
+LATIN = ("US-ASCII", "ISO-8859-1", "WINDOWS-1252")
+_C1 = [chr(b) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+_C1_MEANT = [c.encode("latin-1").decode("cp1252") for c in _C1]
+
+
+def _java_replaces() -> bool:
+    """Whether the session's ``decode`` knows the web charsets and replaces malformed bytes instead of ending the job."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    return spark is not None and spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() == "true"
+    return spark is not None and all(spark.conf.get(f"spark.sql.legacy.{k}", "false").lower() == "true"
+                                     for k in ("javaCharsets", "codingErrorAction"))
 
 
 def decode_charset(body="body", charset="charset") -> Column:
-    """SC-7 with a known charset column.
-
-    When the session allows Java charsets, every charset in
-    ``NATIVE_CHARSETS`` + ``JAVA_WEB_CHARSETS`` is decoded by the JVM
-    ``decode`` (unknown names fall back to UTF-8) and no Python runs.
-    Otherwise the built-in charsets decode on the JVM and only the other
-    charsets reach the Arrow-batched Python decoder, which sees NULL bodies
-    for every other row."""
+    """SC-7 with a known charset column; a malformed byte is replaced in every charset.
+
+    UTF-8 and the Latin labels are decoded on the JVM in any session.  The others are
+    too where the session allows Java charsets and their error replacement (unknown
+    names are read as UTF-8); elsewhere they go to the Arrow-batched Python decoder,
+    which sees NULL bodies for every other row."""
     cs = _c(charset)
-    valid = F.make_valid_utf8(_c(body).cast("string"))  # a malformed byte is replaced; ``decode`` would end the job
-    if _java_charsets_enabled():
-        other = cs.isin(*NATIVE_CHARSETS[1:], *JAVA_WEB_CHARSETS)
-        return F.when(other, F.call_function("decode", _c(body), cs)) \
-            .otherwise(valid)
-    native = cs.isin(*NATIVE_CHARSETS)
-    jvm = valid
-    for name in NATIVE_CHARSETS[1:]:
-        jvm = F.when(cs == name, F.decode(_c(body), name)).otherwise(jvm)
-    python = _decode_other(F.when(~native, _c(body)), cs)
-    return F.when(native, jvm).otherwise(python)
+    latin = F.translate(F.decode(_c(body), "ISO-8859-1"), "".join(_C1), "".join(_C1_MEANT))
+    known = F.when(cs.isin(*LATIN), latin)
+    valid = F.make_valid_utf8(_c(body).cast("string"))
+    others = [c for c in (*NATIVE_CHARSETS, *JAVA_WEB_CHARSETS) if c not in LATIN and c != "UTF-8"]
+    if _java_replaces():
+        return known.when(cs.isin(*others), F.call_function("decode", _c(body), cs)).otherwise(valid)
+    jvm = cs.isin(*LATIN, "UTF-8")
+    return known.when(jvm, valid).otherwise(_decode_other(F.when(~jvm, _c(body)), cs))
 
 
 def decode_body(body="body", content_type="content_type") -> Column:

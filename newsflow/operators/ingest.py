@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -110,18 +110,43 @@ def normalize_gdelt_events(events: DataFrame, resources: DataFrame, stored_event
 
 # --------------------------------------------------------------------- P-3 / S-3
 
+def _grams(text) -> Column:
+    """Distinct trigrams of a lower-cased text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("(?s)(?=(.{3}))"), 1))
+
+
+def rarest_grams(tweets: DataFrame, searches: DataFrame) -> DataFrame:
+    """``searches`` of three characters or more with ``_gram``, the trigram of each that fewest tweets have.
+
+    A term with a trigram that no tweet has is left out: it matches nothing.
+    """
+    terms = searches.select("*", F.explode(_grams("term")).alias("_gram"))
+    wanted = bounded_broadcast(terms.select("_gram").distinct())
+    seen = tweets.select(F.explode(_grams("text")).alias("_gram")).join(wanted, "_gram", "left_semi") \
+        .groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))  # counted before the shuffle
+    ranked = terms.join(seen, "_gram", "left").groupBy(*searches.columns).agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_g"))
+    return ranked.where("_g.n > 0").select(*searches.columns, F.col("_g._gram").alias("_gram"))
+
+
 def tweets_of_sources(tweets: DataFrame, sources: DataFrame) -> DataFrame:
     """S-3: landed tweets per enabled live source; ``user`` sources match the
     user name exactly, ``search`` sources match a case-insensitive substring.
+    A search term of three characters or more is looked up by its rarest trigram among
+    those of the tweets, an equi-join, and then compared as a whole; only shorter terms
+    are compared with every tweet.
     Sources of any other type yield one ``error`` row each (recorded on the
     source by ``source_health``)."""
     live = sources.where("enabled AND deleted_at IS NULL")
     src = bounded_broadcast(live.select(F.col("id").alias("twitter_source_id"), "type",
                                         F.col("text").alias("term")))
     users = tweets.join(src.where("type = 'user'"), tweets.username == F.col("term"))
-    search = tweets.join(src.where("type = 'search'"),
-                         F.lower(tweets.text).contains(F.lower(F.col("term"))))
-    ok = users.unionByName(search).withColumn("outcome", F.lit("ok"))
+    searches = live.where("type = 'search'").select(F.col("id").alias("twitter_source_id"), "type", F.col("text").alias("term"))
+    found = F.lower(F.col("text")).contains(F.lower(F.col("term")))
+    short = tweets.join(bounded_broadcast(searches.where(F.length(F.lower("term")) < 3)), found)
+    long = (tweets.withColumn("_gram", F.explode(_grams("text")))
+            .join(bounded_broadcast(rarest_grams(tweets, searches)), "_gram").where(found).drop("_gram"))
+    ok = users.unionByName(short).unionByName(long).withColumn("outcome", F.lit("ok"))
     bad = (src.where("type NOT IN ('user', 'search')")
            .select("twitter_source_id", "type", "term",
                    F.concat(F.lit("unexpected source type "), F.col("type")).alias("error"),

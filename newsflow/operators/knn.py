@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsflow import schemas
+from newsflow.functions.text import utc_literal
 from newsflow.operators.common import bounded_broadcast, first_per_key
 
 SPACES = ("L2", "IP", "COSINE")
@@ -291,7 +292,7 @@ def detect_duplicates(articles: DataFrame, vectors: DataFrame, similarity_infos:
 def retain(vectors: DataFrame, now: _dt.datetime, days: int) -> tuple[DataFrame, DataFrame]:
     """F-16 + ST-7: split into (kept, expired) by UTC day; a day strictly before
     ``day(now - days)`` is expired.  Partition filters prune at the scan."""
-    cutoff = F.to_date(F.lit(now) - F.make_dt_interval(F.lit(days)))
+    cutoff = F.to_date(utc_literal(now) - F.make_dt_interval(F.lit(days)))
     return vectors.where(F.col("publish_day") >= cutoff), vectors.where(F.col("publish_day") < cutoff)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsflow.functions.text import utc_literal
 from newsflow.operators.sinks import assign_ids, insert_if_absent
 
 
@@ -59,7 +60,7 @@ def apply_creates(target: DataFrame, creates: DataFrame, keys: list[list[str]],
         c = c.withColumn(col, F.lit(value))
     c = insert_if_absent(c, target, keys, order or [k for key in keys for k in key])
     c = assign_ids(c, target, order or [k for key in keys for k in key])
-    ts = F.lit(now).cast("timestamp")
+    ts = utc_literal(now)
     c = c.withColumn("created_at", ts).withColumn("updated_at", ts).withColumn("version", F.lit(0).cast("long"))
     cols = []
     for f in target.schema.fields:
@@ -73,19 +74,24 @@ def _live(target: DataFrame) -> Column:
     return F.col("deleted_at").isNull() if "deleted_at" in target.columns else F.lit(True)
 
 
-def apply_updates(target: DataFrame, updates: DataFrame, now: _dt.datetime) -> tuple[DataFrame, DataFrame]:
+def apply_updates(target: DataFrame, updates: DataFrame, now: _dt.datetime,
+                  order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """C-3: full-row overwrite of the given fields by id (empty ``last_error`` -> NULL).
 
     Rows of ``updates`` without a live target row are returned as not found.
-    Of several updates of one id the one with the smallest values applies.
+    Several updates of one id are applied in turn by the columns ``order`` of
+    ``updates`` (ties by value): the last one's values stand, and the version counts
+    each.  Without ``order`` they are one request, of which the smallest values apply.
     Returns (snapshot, not_found).
     """
-    fields = [c for c in updates.columns if c != "id" and c in target.columns]
+    fields = [c for c in updates.columns if c != "id" and c in target.columns and c not in (order or [])]
     live = target.where(_live(target)).select("id")
     not_found = updates.join(live, "id", "left_anti")
-    updates = updates.groupBy("id").agg(F.min(F.struct(*fields)).alias("_f")).select("id", "_f.*") if fields \
-        else updates.select("id").distinct()
-    u = updates.select("id", *[F.col(c).alias(f"_u_{c}") for c in fields], F.lit(True).alias("_hit"))
+    values = F.struct(*[F.col(c) for c in fields], F.lit(0).alias("_"))
+    chosen = F.max_by(values, F.struct(*order, values)) if order else F.min(values)
+    times = F.count(F.lit(1)) if order else F.lit(1)
+    updates = updates.groupBy("id").agg(chosen.alias("_f"), times.alias("_times")).select("id", "_f.*", "_times")
+    u = updates.select("id", *[F.col(c).alias(f"_u_{c}") for c in fields], "_times", F.lit(True).alias("_hit"))
     j = target.join(u, "id", "left").withColumn("_hit", F.col("_hit") & _live(target))
     cols = []
     for f in target.schema.fields:
@@ -96,9 +102,9 @@ def apply_updates(target: DataFrame, updates: DataFrame, now: _dt.datetime) -> t
                 v = F.nullif(v, F.lit(""))
             cols.append(F.when(F.col("_hit"), v.cast(f.dataType)).otherwise(F.col(c)).alias(c))
         elif c == "updated_at":
-            cols.append(F.when(F.col("_hit"), F.lit(now).cast("timestamp")).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(F.col("_hit"), utc_literal(now)).otherwise(F.col(c)).alias(c))
         elif c == "version":
-            cols.append(F.when(F.col("_hit"), F.col(c) + 1).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(F.col("_hit"), F.col(c) + F.col("_times")).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
     return j.select(*cols), not_found
@@ -122,7 +128,7 @@ def apply_deletes(target: DataFrame, deletes: DataFrame, children: list[tuple[Da
     kept = target.join(hard, "id", "left_anti")
     flag = soft.withColumn("_soft", F.lit(True))
     kept = kept.join(flag, "id", "left")
-    cols = [F.when(F.col("_soft"), F.lit(now).cast("timestamp")).otherwise(F.col(c)).alias(c)
+    cols = [F.when(F.col("_soft"), utc_literal(now)).otherwise(F.col(c)).alias(c)
             if c == "deleted_at" else F.col(c) for c in target.columns]
     return kept.select(*cols), report
 

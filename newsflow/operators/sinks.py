@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from newsflow import schemas
+from newsflow.functions.text import utc_literal
 from newsflow.operators.common import first_per_key
 from newsflow.session import cut_lineage
 
@@ -110,7 +111,7 @@ def versioned_update(target: DataFrame, updates: DataFrame, key: str = "id",
         elif c == "version":
             cols.append(F.when(hit, F.col("version") + 1).otherwise(F.col("version")).alias(c))
         elif c == "updated_at" and now is not None:
-            cols.append(F.when(hit, F.lit(now).cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(hit, utc_literal(now).cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
     marked = joined.select(*cols, hit.alias("_applied"), F.col(base_version).isNotNull().alias("_touched"))

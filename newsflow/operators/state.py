@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from newsflow.functions.text import utc_literal
 from newsflow.operators.sinks import assign_ids
 
 BLOCK_WIDTH = 1 << 20
@@ -146,6 +147,6 @@ def pending_work(inputs: DataFrame, outcomes: DataFrame, key: str = "id",
 def stale_pending(pending: DataFrame, now: _dt.datetime, leeway: _dt.timedelta) -> DataFrame:
     """ST-5 + F-17 + O-5: pending records created strictly before ``now - leeway``,
     numbered oldest first (id breaks ties)."""
-    cut = F.lit(now - leeway).cast("timestamp")
+    cut = utc_literal(now - leeway)
     old = pending.where(F.col("created_at") < cut)
     return assign_ids(old, 0, [F.col("created_at"), F.col("id")], id_col="position")

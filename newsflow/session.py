@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # page bodies in windows-125x, koi8, Shift_JIS, ... decode on the JVM
     "spark.sql.legacy.javaCharsets": "true",
+    # ... and a malformed byte there is replaced instead of ending the job
+    "spark.sql.legacy.codingErrorAction": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

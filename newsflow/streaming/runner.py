@@ -84,7 +84,7 @@ def feed_items_batch(tables: str, langs: list[str], cutoff: _dt.datetime | None
         if profiles is None and "language" not in items.columns:
             raise ValueError("feed items need a language column or language profiles")
         out = normalize_feed_items(items, resources, stored, langs=langs, cutoff=cutoff, profiles=profiles)
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        now = _dt.datetime.now(_dt.timezone.utc)
         new = out.where("outcome = 'new'")
         new = insert_if_absent(new, resources, [["url"]], ["item_seq"])
         new = assign_ids(new, resources, ["url"], id_col="resource_id")

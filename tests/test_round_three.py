@@ -118,3 +118,61 @@ def test_nearest_smaller_id_is_the_parent(spark):
     assert got == {i: (i % 3 if i >= 3 else None) for i in range(60)}
     none = vec.where("false")
     assert detect_duplicates(arts, none, None, 1, 0.1).count() == 0
+
+
+def test_search_terms_by_their_rarest_trigram(spark):
+    from newsflow.operators.ingest import tweets_of_sources
+    texts = ["The cat", "THE DOG and the cat", "a.b (c) d", "ça été là", "x", None, "aaaa", "\nthe\n end"]
+    tweets = spark.createDataFrame([(i, f"u{i}", t) for i, t in enumerate(texts)], "upstream_id long, username string, text string")
+    terms = ["the", "THE C", "b (", "été", "x", "aa", "aaa", "zzz", "the\n e", "A", "dog and", ""]
+    sources = spark.createDataFrame([(k, "search", t, True, None) for k, t in enumerate(terms)],
+                                    "id long, type string, text string, enabled boolean, deleted_at timestamp")
+    got = sorted((r["twitter_source_id"], r["upstream_id"]) for r in tweets_of_sources(tweets, sources).collect())
+    assert got == sorted((k, i) for k, q in enumerate(terms) for i, t in enumerate(texts) if t is not None and q.lower() in t.lower())
+
+
+def test_malformed_bodies_are_isolated_in_every_charset(spark):
+    from newsflow.functions.text import decode_charset
+    rows = [(b"caf\xe9 \x80 \x81", "US-ASCII", "caf\xe9 € \x81"), (b"caf\xe9 \x93x\x94", "ISO-8859-1", "caf\xe9 “x”"),
+            (b"abc\xff", "UTF-8", "abc�"), (b"\x00\x00\x00a\x00", "UTF-32", None), (b"\x83\x65\x81", "SHIFT_JIS", None),
+            (b"a\x00b", "UTF-16LE", None), ("дом".encode("cp1251"), "WINDOWS-1251", "дом")]
+    df = spark.createDataFrame([(b, c) for b, c, _ in rows], "body binary, charset string")
+    for on in ("true", "false"):
+        was = spark.conf.get("spark.sql.legacy.codingErrorAction")
+        try:
+            spark.conf.set("spark.sql.legacy.codingErrorAction", on)
+            got = {r["charset"]: r["t"] for r in df.select("charset", decode_charset().alias("t")).collect()}
+        finally:
+            spark.conf.set("spark.sql.legacy.codingErrorAction", was)
+        assert {c: got[c] for _, c, t in rows if t is not None} == {c: t for _, c, t in rows if t is not None}
+        assert all(t is not None for t in got.values())
+
+
+def test_times_without_zone_are_utc_on_any_machine(spark):
+    import os
+    import time
+    from newsflow.functions.text import not_older_than
+    from newsflow.operators.state import stale_pending
+    was = os.environ.get("TZ")
+    df = spark.sql("SELECT 1L AS id, TIMESTAMP '2024-01-10 00:00:00' AS created_at "
+                   "UNION ALL SELECT 2L, TIMESTAMP '2024-01-09 23:59:59'")
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+            os.environ["TZ"] = zone
+            time.tzset()
+            for at in (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 2, tzinfo=dt.timezone(dt.timedelta(hours=2)))):
+                kept = df.where(not_older_than("created_at", at)).select("id").collect()
+                assert [r["id"] for r in kept] == [1]
+        assert [r["id"] for r in stale_pending(df, dt.datetime(2024, 1, 10, 1), dt.timedelta(hours=1)).collect()] == [2]
+    finally:
+        os.environ.pop("TZ", None) if was is None else os.environ.update(TZ=was)
+        time.tzset()
+
+
+def test_updates_of_one_id_are_applied_in_turn(spark):
+    from newsflow.operators.manage import apply_updates
+    target = spark.createDataFrame([(1, "a", 3), (2, "b", 0)], "id long, url string, version long")
+    updates = spark.createDataFrame([(1, "z", 1), (1, "m", 3), (1, "x", 2), (9, "q", 1)], "id long, url string, seq long")
+    snapshot, missing = apply_updates(target, updates, dt.datetime(2024, 1, 1), order=["seq"])
+    assert sorted(tuple(r) for r in snapshot.collect()) == [(1, "m", 6), (2, "b", 0)]
+    assert [r["id"] for r in missing.collect()] == [9]
