@@ -7,8 +7,8 @@ top trigrams, the rank difference to the language profile, or ``top`` when
 the trigram is missing; the language with the smallest sum wins, ties go to
 the smaller code.  Because the missing-penalty is constant, argmin distance
 equals argmax of ``sum(top - |rank_doc - rank_lang|)`` over *matched*
-trigrams, which is an equi-join plus a group-by, with no cross join against
-the language set.  A text with no letters, or without a single matched
+trigrams: a look-up of each trigram in the profiles and a sum for each
+language met, both inside the row.  A text with no letters, or without a single matched
 trigram, gets NULL (detection failed).
 """
 
@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsflow.operators.common import bounded_broadcast, spread
+from newsflow.operators.common import spread
+from newsflow.operators.side import check_side_size
 
 TOP = 300
+SLOTS = 4096  # lists of the dense profile value
 
 
 def normalized_text(col) -> Column:
@@ -56,54 +58,63 @@ def fit_language_profiles(corpus: DataFrame, text: str = "text", lang: str = "la
             .select("lang", "trigram", F.col("rank").cast("int").alias("rank")))
 
 
-def text_trigram_ranks(df: DataFrame, id_col: str, text: str, top: int = TOP) -> DataFrame:
-    """-> (id, trigram, rank) of each text's own top trigrams."""
-    grams = (df.select(F.col(id_col).alias("_id"), F.explode(trigrams(text)).alias("trigram"))
-             .groupBy("_id", "trigram").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("_id").orderBy(F.col("n").desc(), F.col("trigram"))
-    return (grams.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
-            .select("_id", "trigram", "rank"))
+def top_trigrams(col, top: int = TOP) -> Column:
+    """The ``top`` most frequent trigrams of a text, most frequent first, ties by trigram.
+
+    Counted inside the row: the sorted trigrams fall into runs, a run's length is its
+    count.  ``transform(array(x), f)[0]`` binds ``x`` once for the inner functions.
+    """
+    def ranked(s):
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                          lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        runs = _bind(starts, lambda b: F.transform(b, lambda p, j: F.struct(
+            (p - F.coalesce(F.get(b, j + 1), F.size(s))).alias("minus_n"), F.get(s, p).alias("t"))))
+        return F.transform(F.slice(F.array_sort(runs), 1, top), lambda r: r["t"])
+    grams = F.sort_array(F.coalesce(trigrams(col), F.array().cast("array<string>")))
+    return _bind(grams, lambda s: F.when(F.size(s) > 0, ranked(s)).otherwise(F.array().cast("array<string>")))
+
+
+def _bind(value: Column, f) -> Column:
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def profile_slots(profiles: DataFrame, slots: int = SLOTS) -> Column:
+    """The profiles as one dense value: ``slots`` lists of (trigram, lang, rank), by hash of the trigram.
+
+    A scalar subquery whose size is checked first; a look-up is an array access and
+    a list of about one entry, where a map value would be searched from its start.
+    """
+    check_side_size(profiles)
+    entries = (profiles.select(F.pmod(F.xxhash64("trigram"), F.lit(slots)).cast("int").alias("slot"),
+                               F.struct("trigram", "lang", F.col("rank").cast("int").alias("rank")).alias("e"))
+               .groupBy("slot").agg(F.collect_list("e").alias("es")))
+    every = profiles.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
+    dense = every.join(entries, "slot", "left").select(
+        "slot", F.coalesce("es", F.array().cast(entries.schema["es"].dataType)).alias("es"))
+    return dense.select(F.transform(F.array_sort(F.collect_list(F.struct("slot", "es"))),
+                                    lambda x: x["es"])).scalar()
 
 
 def detect_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
                     out: str = "detected_language", top: int = TOP) -> DataFrame:
     """SC-1: add ``out`` (ISO code or NULL) to every row of ``df``.
 
-    ``id_col`` must be unique in ``df``.  The profile table has at most
-    languages x top rows; it is broadcast after a size check.
-
-    One linear plan, no join back to ``df``: a branch-and-rejoin would
-    evaluate ``df`` twice (column pruning gives the branches different
-    projections, so no exchange is reused), and ``df`` is typically the
-    expensive part (decoded, parsed pages).  Instead the explode emits one
-    extra *carrier* element per row holding the row's other columns; the
-    carrier rides through the trigram aggregations as a grouping key
-    (hash aggregation stays possible), and the last per-id step picks the
-    best language and the row together.  When ``df`` arrives partitioned by
-    the id (as after the id joins of the ingest plans), every step is local.
+    Row by row, over the whole text and inside the JVM: the text's own top trigrams,
+    their ranks in the profiles, a sum for each language met, the best.  Nothing is
+    exploded, joined or shuffled, so any plan stays one pass and keeps its partitioning;
+    ``id_col`` need not be unique.  The profile table has at most languages x ``top``
+    rows; its size is checked before it becomes a value of the plan.
     """
-    rest = [c for c in df.columns if c != id_col]
-    row = F.struct(*[F.col(c) for c in rest])
-    row_type = df.select(row.alias("r")).schema["r"].dataType
-    no_row = F.lit(None).cast(row_type)
-    grams = F.coalesce(trigrams(text), F.array().cast("array<string>"))
-    items = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("t"), row.alias("row"))),
-                     F.transform(grams, lambda g: F.struct(g.alias("t"), no_row.alias("row"))))
-    x = (df.select(F.col(id_col).alias("_id"), F.explode(items).alias("_e"))
-         .select("_id", F.col("_e.t").alias("trigram"), F.col("_e.row").alias("_row")))
-    counts = x.groupBy("_id", "trigram", "_row").agg(F.count(F.lit(1)).alias("n"))
-    # the carrier sorts last, so it never takes a rank from a real trigram
-    w = Window.partitionBy("_id").orderBy(F.col("trigram").isNull(), F.col("n").desc(), F.col("trigram"))
-    ranked = (counts.withColumn("rank", F.row_number().over(w))
-              .where((F.col("rank") <= top) | F.col("trigram").isNull()))
-    prof = bounded_broadcast(profiles.select("lang", "trigram", F.col("rank").alias("prank")))
-    scores = (ranked.join(prof, "trigram", "left")
-              .groupBy("_id", "lang", "_row")
-              .agg(F.sum(F.lit(top) - F.abs(F.col("rank") - F.col("prank"))).alias("score")))
-    matched = F.col("lang").isNotNull()
-    best = scores.groupBy("_id").agg(
-        F.min_by(F.when(matched, F.col("lang")),
-                 F.when(matched, F.struct(-F.col("score"), F.col("lang")))).alias(out),
-        F.first("_row", ignorenulls=True).alias("_row"))
-    return best.select(F.col("_id").alias(id_col), *[F.col(f"_row.{c}").alias(c) for c in rest], out) \
-               .select(*df.columns, out)
+    n = SLOTS
+    x = df.withColumns({"_slots": profile_slots(profiles.select("lang", "trigram", "rank"), n),
+                        "_top": top_trigrams(text, top)})
+    hits = F.flatten(F.transform("_top", lambda t, i: F.transform(
+        F.filter(F.get(F.col("_slots"), F.pmod(F.xxhash64(t), F.lit(n)).cast("int")), lambda e: e["trigram"] == t),
+        lambda e: F.struct(e["lang"].alias("lang"), (F.lit(top) - F.abs(i + 1 - e["rank"])).cast("long").alias("s")))))
+
+    def best(h):
+        scores = F.transform(F.array_distinct(F.transform(h, lambda e: e["lang"])), lambda lang: F.struct(
+            (-F.aggregate(h, F.lit(0).cast("long"), lambda acc, e: F.when(e["lang"] == lang, acc + e["s"]).otherwise(acc)))
+            .alias("minus_s"), lang.alias("lang")))
+        return F.array_min(scores)["lang"]
+    return x.withColumn(out, _bind(hits, best)).select(*df.columns, out)

@@ -1,13 +1,14 @@
 """Model-backed enrichment stages (M-1..M-3, M-6, M-8, M-10, J-6, J-9, J-10, J-13, P-10, A-7, W-1, F-13, F-15).
 
 Each operator takes an optional ``model``: a Python callable over pandas
-batches, run through ``mapInPandas`` (Arrow batches, created once per Python
-worker).  Without a model, a deterministic Spark-only default runs entirely
+batches, run through ``mapInPandas`` (Arrow batches; ``per_worker`` builds one once per
+Python worker).  Without a model, a deterministic Spark-only default runs entirely
 JVM-side, so results are reproducible and checkable by SQL.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -37,6 +38,25 @@ def _run_model(df: DataFrame, model: PandasModel, schema: str) -> DataFrame:
     return df.mapInPandas(apply, schema)
 
 
+def per_worker(factory: Callable[[], PandasModel]) -> PandasModel:
+    """A hook whose model ``factory()`` builds once in each Python worker, however many batches and tasks it serves.
+
+    Only the factory is pickled.  The models of a worker live in a module of their own,
+    because a hook is unpickled anew for every task; the library itself need not be
+    importable there.
+    """
+    key = uuid.uuid4().hex
+
+    def hook(pdf: pd.DataFrame) -> pd.DataFrame:
+        import sys
+        import types
+        models = sys.modules.setdefault("newsflow_worker_models", types.ModuleType("newsflow_worker_models")).__dict__
+        if key not in models:
+            models[key] = factory()
+        return models[key](pdf)
+    return hook
+
+
 def pending_for(articles: DataFrame, results: DataFrame | None, key: str = "web_article_id") -> DataFrame:
     """F-11: articles without a stored result of this stage."""
     if results is None:
@@ -125,10 +145,12 @@ def zero_shot_classify(articles: DataFrame, templates: DataFrame, labels: DataFr
 
     Single-label templates: softmax over the template's labels (A-7);
     multi-class templates: independent sigmoid.  ``best`` marks the first
-    label of the descending distribution, ties by label id (W-1).
+    label of the descending distribution, ties by label id (W-1).  A label text
+    repeated within a template is an error of every article (J-13): no rows.
     """
     arts = with_title(pending_for(articles, results)).select("id", "title_eff")
-    hyp = hypotheses(templates, labels).where("NOT dup_label").drop("dup_label")
+    arts = arts.where(~repeated_label(templates, labels))
+    hyp = hypotheses(templates, labels).drop("dup_label")
     if model is not None:
         pairs = explode_side(arts, hyp)
         scored = _run_model(pairs, model, "id long, template_id long, label_id long, multi_class boolean, logit double")
@@ -152,6 +174,80 @@ def zero_shot_classify(articles: DataFrame, templates: DataFrame, labels: DataFr
         (F.row_number().over(rank) == 1).alias("best"), "confidence")
 
 
+def repeated_label(templates: DataFrame, labels: DataFrame) -> Column:
+    """Whether any template in use repeats a label text (a scalar subquery, one value for the whole plan)."""
+    return hypotheses(templates, labels).select(F.coalesce(F.bool_or("dup_label"), F.lit(False))).scalar()
+
+
+def label_sets(templates: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row for each live enabled template that has labels: (template_id, template, multi_class, labels, repeated)."""
+    h = hypotheses(templates, labels)
+    sets = h.groupBy("template_id", "multi_class").agg(
+        F.sort_array(F.collect_list(F.struct("label_id", "label"))).alias("labels"), F.bool_or("dup_label").alias("repeated"))
+    return sets.join(templates.select(F.col("id").alias("template_id"), F.col("text").alias("template")), "template_id")
+
+
+REPLY = "array<struct<class:string,confidence:float>>"
+
+
+def zero_shot_replies(articles: DataFrame, templates: DataFrame, labels: DataFrame, model: PandasModel,
+                      results: DataFrame | None = None) -> DataFrame:
+    """(web_article_id, template_id, distribution): ``model`` asked once for each pending article and template.
+
+    The model gets (id, title_eff, template_id, template, multi_class, labels: list of texts)
+    and returns (id, template_id, distribution), most likely class first.
+    """
+    arts = with_title(pending_for(articles, results)).select("id", "title_eff")
+    asked = explode_side(arts, label_sets(templates, labels).where("NOT repeated").drop("repeated"))
+    asked = asked.withColumn("labels", F.col("labels.label"))
+    return _run_model(asked, model, f"id long, template_id long, distribution {REPLY}") \
+        .withColumnRenamed("id", "web_article_id")
+
+
+def classes_from_replies(articles: DataFrame, templates: DataFrame, labels: DataFrame, replies: DataFrame,
+                         results: DataFrame | None = None) -> DataFrame:
+    """M-2 + J-13: replies of a classifier, checked -> one row for each article that the stage takes.
+
+    ``replies(web_article_id, template_id, distribution)`` holds at most one reply for an
+    article and template; class texts are matched with the template's labels.  Returns
+    (id, outcome, error, error_template_id, classes).  An article is 'classified', 'none' (no
+    template has labels) or 'error'; the error is that of its first template by id: 'duplicate
+    label', 'no reply', 'empty distribution' or 'unknown class'.  An article with an error has
+    no classes at all, so a later run takes it again.  ``classes`` has the columns of
+    ``zero_shot_classes``; the first of a distribution is ``best``.
+    """
+    arts = with_title(pending_for(articles, results)).select("id")
+    asked = explode_side(arts, label_sets(templates, labels).select("template_id", "labels", "repeated"))
+    answered = asked.join(replies.select(F.col("web_article_id").alias("id"), "template_id", "distribution"),
+                          ["id", "template_id"], "left")
+    found = F.transform("distribution", lambda c, i: F.struct(
+        F.get(F.filter("labels", lambda x: x["label"] == c["class"]), 0)["label_id"].alias("label_id"),
+        (i == 0).alias("best"), c["confidence"].cast("float").alias("confidence")))
+    error = (F.when(F.col("repeated"), "duplicate label").when(F.col("distribution").isNull(), "no reply")
+             .when(F.size("distribution") == 0, "empty distribution")
+             .when(F.exists("found", lambda c: c["label_id"].isNull()), "unknown class"))
+    checked = answered.withColumn("found", found).select("id", "template_id", error.alias("error"), "found")
+    # an article's templates are as many as the configuration has, whose size explode_side checks
+    whole = checked.groupBy("id").agg(
+        F.min(F.when(F.col("error").isNotNull(), F.struct("template_id", "error"))).alias("e"),
+        F.sort_array(F.collect_list(F.struct("template_id", "found"))).alias("t"))
+    rows = F.flatten(F.transform("t", lambda t: F.transform(t["found"], lambda c: F.struct(
+        c["label_id"].alias("zero_shot_hypothesis_label_id"), t["template_id"].alias("zero_shot_hypothesis_template_id"),
+        c["best"].alias("best"), c["confidence"].alias("confidence")))))
+    empty = F.array().cast("array<struct<zero_shot_hypothesis_label_id:bigint,zero_shot_hypothesis_template_id:bigint,"
+                           "best:boolean,confidence:float>>")
+    out = arts.join(whole, "id", "left")
+    return out.select("id", F.when(F.col("e").isNotNull(), "error").when(F.col("t").isNotNull(), "classified")
+                      .otherwise("none").alias("outcome"), F.col("e.error").alias("error"),
+                      F.col("e.template_id").alias("error_template_id"),
+                      F.coalesce(F.when(F.col("e").isNull(), rows), empty).alias("classes"))
+
+
+def class_rows(checked: DataFrame) -> DataFrame:
+    """The rows of ``zero_shot_classes`` of ``classes_from_replies``."""
+    return checked.select(F.col("id").alias("web_article_id"), F.explode("classes").alias("c")).select("web_article_id", "c.*")
+
+
 # ----------------------------------------------------------------- M-3
 
 def classify_text(articles: DataFrame, keywords: DataFrame | None = None,

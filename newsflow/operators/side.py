@@ -18,11 +18,15 @@ class SideInputTooLarge(ValueError):
     pass
 
 
-def side_array(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Column:
-    """Scalar-subquery column holding ``array<struct<side columns>>``."""
+def check_side_size(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> None:
     n = side.limit(max_rows + 1).count()
     if n > max_rows:
         raise SideInputTooLarge(f"side input has more than {max_rows} rows")
+
+
+def side_array(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Column:
+    """Scalar-subquery column holding ``array<struct<side columns>>``."""
+    check_side_size(side, max_rows)
     return side.select(F.collect_list(F.struct(*side.columns))).scalar()
 
 

@@ -132,12 +132,28 @@ def translation_stage(langs, target="en", lexicon=None, model=None) -> Stage:
     return stage
 
 
-def zero_shot_stage(templates, labels, results=None, model=None) -> Stage:
-    from newsflow.operators.models import zero_shot_classify
+def zero_shot_stage(templates, labels, results=None, model=None, replies=None) -> Stage:
+    """An article whose reply or labels are at fault ends here as 'error' and has no rows (J-13).
+
+    ``replies`` (see ``classes_from_replies``) takes the place of the default scores and of ``model``.
+    """
+    from newsflow.operators.models import class_rows, classes_from_replies, repeated_label, zero_shot_classify
+
+    def from_replies(a: DataFrame) -> StageResult:
+        checked = cut_lineage(classes_from_replies(a, templates, labels, replies, results))
+        own = a.select("id").join(checked.select("id", F.col("outcome").alias("_o")), "id", "left")
+        return StageResult("zero_shot_classifier", class_rows(checked), outcomes=outcome(
+            own, F.coalesce("_o", F.lit("skip")), onward("classified", "none")))
 
     def stage(a: DataFrame) -> StageResult:
+        if replies is not None:
+            return from_replies(a)
         rows = cut_lineage(zero_shot_classify(a, templates, labels, results, model))
-        return StageResult("zero_shot_classifier", rows, outcomes=settled(a, results, rows, "classified"))
+        out = settled(a, results, rows, "classified")
+        bad = repeated_label(templates, labels) & (F.col("outcome") != "skip")
+        return StageResult("zero_shot_classifier", rows, outcomes=out.select(
+            "id", F.when(bad, "error").otherwise(F.col("outcome")).alias("outcome"),
+            F.when(~bad, F.col("forward")).alias("forward")))
     return stage
 
 

@@ -367,6 +367,64 @@ def zero_shot_classes(spark, d):
     return z.withColumn("confidence", F.round("confidence", 4))
 
 
+ZERO_SHOT_TEXT = S.has_text(S.effective_title())
+
+
+@register("zero_shot_outcomes", with_tables("templates", "labels_t", "doc_articles", extra=[
+    ("f", "SELECT unnest(['plain', 'repeated']) AS labels"),
+    ("h", """SELECT f.labels, t.id AS template_id, l.id AS label_id, l.text AS label
+             FROM f, templates t JOIN (SELECT *, NULL AS only_in FROM labels_t
+                                       UNION ALL SELECT 11, 2, 'positive', TRUE, NULL, 'repeated') l
+                                 ON l.zero_shot_hypothesis_template_id = t.id
+             WHERE t.enabled AND t.deleted_at IS NULL AND l.enabled AND l.deleted_at IS NULL
+               AND coalesce(l.only_in = f.labels, TRUE)"""),
+    ("ts", """SELECT labels, template_id, count(*) > count(DISTINCT label) AS repeated, list(label) AS known
+              FROM h GROUP BY ALL"""),
+    ("a", f"SELECT id FROM doc_articles WHERE {ZERO_SHOT_TEXT}"),
+    ("r", """SELECT id, 1 AS template_id,
+                    CASE WHEN id % 19 = 0 THEN [] WHEN id % 17 = 0 THEN ['sport', 'weather']
+                         WHEN id % 2 = 0 THEN ['science', 'sport'] ELSE ['politics'] END AS classes
+             FROM a WHERE id % 23 <> 0
+             UNION ALL SELECT id, 2, CASE WHEN id % 29 = 0 THEN ['Positive'] ELSE ['negative', 'positive'] END FROM a"""),
+    ("c", """SELECT ts.labels, a.id, ts.template_id, r.classes,
+                    CASE WHEN ts.repeated THEN 'duplicate label' WHEN r.classes IS NULL THEN 'no reply'
+                         WHEN len(r.classes) = 0 THEN 'empty distribution'
+                         WHEN len(list_filter(r.classes, lambda x: NOT list_contains(ts.known, x))) > 0 THEN 'unknown class' END AS error
+             FROM a CROSS JOIN ts LEFT JOIN r ON r.id = a.id AND r.template_id = ts.template_id"""),
+    ("e", """SELECT labels, id, arg_min(error, template_id) FILTER (WHERE error IS NOT NULL) AS error,
+                    min(template_id) FILTER (WHERE error IS NOT NULL) AS error_template_id FROM c GROUP BY ALL"""),
+    ("b", """SELECT c.labels, c.id, sum(len(c.classes)) AS n, min(h.label_id) AS first_best
+             FROM c JOIN h ON h.labels = c.labels AND h.template_id = c.template_id AND h.label = c.classes[1] GROUP BY ALL"""),
+]) + """
+SELECT e.labels, e.id, CASE WHEN e.error IS NULL THEN 'classified' ELSE 'error' END AS outcome, e.error, e.error_template_id,
+       CAST(CASE WHEN e.error IS NULL THEN b.n ELSE 0 END AS BIGINT) AS n_classes,
+       CASE WHEN e.error IS NULL THEN b.first_best END AS first_best
+FROM e LEFT JOIN b USING (labels, id)""")
+def zero_shot_outcomes(spark, d):
+    """M-2 + J-13: replies with unknown classes, empty and missing ones, and a template that repeats a label."""
+    from newsflow.operators.models import REPLY, classes_from_replies
+    arts = TB.doc_articles(spark, d)
+    i = F.col("id")
+
+    def reply(*classes):
+        return F.array(*[F.struct(F.lit(c).alias("class"), F.lit(1.0 / (k + 2)).cast("float").alias("confidence"))
+                         for k, c in enumerate(classes)])
+    one = (F.when(i % 19 == 0, F.array().cast(REPLY)).when(i % 17 == 0, reply("sport", "weather"))
+           .when(i % 2 == 0, reply("science", "sport")).otherwise(reply("politics")))
+    two = F.when(i % 29 == 0, reply("Positive")).otherwise(reply("negative", "positive"))
+    ids = arts.select(i.alias("web_article_id"), "id")
+    replies = ids.where(i % 23 != 0).select("web_article_id", F.lit(1).cast("long").alias("template_id"), one.alias("distribution")) \
+        .unionByName(ids.select("web_article_id", F.lit(2).cast("long").alias("template_id"), two.alias("distribution")))
+    templates, labels = L.frame(spark, L.TEMPLATES), L.frame(spark, L.LABELS)
+    again = spark.createDataFrame([(11, 2, "positive", True, None)], L.LABELS["cols"])
+    parts = [classes_from_replies(arts, templates, lab, replies).withColumn("labels", F.lit(name))
+             for name, lab in (("plain", labels), ("repeated", labels.unionByName(again)))]
+    best = F.array_min(F.transform(F.filter("classes", lambda c: c["best"]), lambda c: c["zero_shot_hypothesis_label_id"]))
+    return parts[0].unionByName(parts[1]).select(
+        "labels", "id", "outcome", "error", "error_template_id", F.size("classes").cast("long").alias("n_classes"),
+        best.alias("first_best"))
+
+
 @register("text_classes_default", with_tables("keywords", "doc_articles", extra=[
     ("a", f"SELECT id, {S.effective_title()} AS title_eff FROM doc_articles WHERE {S.has_text(S.effective_title())}"),
     ("tk", f"SELECT DISTINCT id, unnest({S.tokens('title_eff')}) AS keyword FROM a"),
@@ -553,8 +611,9 @@ def geo_from_replies(spark, d):
 SELECT f.item_seq, d.detected AS detected_language FROM incoming_feed_items f LEFT JOIN det d USING (item_seq)""")
 def detected_languages(spark, d):
     """SC-1 + A-6: trigram-profile language of every feed item title (NULL = failed)."""
+    from newsflow.operators.common import spread
     from newsflow.operators.lang import detect_language
-    fi = TB.incoming_feed_items(spark, d).select("item_seq", "title")
+    fi = spread(TB.incoming_feed_items(spark, d).select("item_seq", "title"))
     return detect_language(fi, "item_seq", "title", _profiles(spark, d)).select("item_seq", "detected_language")
 
 
