@@ -124,8 +124,8 @@ def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return df
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Cast and order ``df`` to the declared schema; missing columns are NULL."""
+def conform(df: DataFrame, name: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Cast and order ``df`` to the declared schema (and ``extra`` columns); missing columns are NULL."""
     from pyspark.sql import functions as F
     cols = []
     for field in SCHEMAS[name].fields:
@@ -133,4 +133,4 @@ def conform(df: DataFrame, name: str) -> DataFrame:
             cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
         else:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-    return df.select(*cols)
+    return df.select(*cols, *extra)
