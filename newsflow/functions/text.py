@@ -10,6 +10,8 @@ import datetime as _dt
 from collections.abc import Iterable
 
 import pandas as pd
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +27,6 @@ WHITE_SPACE = ("\t\n\x0b\x0c\r \u0085\u00a0\u1680"
 # codes it expects for them.
 GEO_LANGUAGES = {"de": "DE", "es": "ES", "en": "EN"}
 
-# HTML entities decoded in extracted page fields.
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 
@@ -136,10 +134,34 @@ def parse_id(col) -> Column:
 
 
 def unescape_html(col) -> Column:
-    out = _c(col)
-    for entity, char in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Character references decoded: numeric ones, and the named ones of HTML 4 (the standard library's table).
+
+    Only references that a text holds are looked up.  A number that is no code point gives
+    U+FFFD, an unknown name stays as it is.  The ampersand comes last, so its result is
+    not read as the start of an other reference.
+    """
+    x = _c(col)
+    found = F.array_distinct(F.regexp_extract_all(x, F.lit(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8}[0-9]{0,2});"), 1))
+    names = F.create_map(*[F.lit(v) for name, point in sorted(name2codepoint.items()) if name != "amp"
+                           for v in (name, chr(point))], F.lit("apos"), F.lit("'"))
+
+    def character(ref):
+        point = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 8), 16, 10)) \
+            .otherwise(F.substring(ref, 2, 8)).cast("long")
+        valid = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point < 0x110000))
+        utf32 = F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(F.lit(0xFFFD))), 8, "0"))
+        return F.when(F.substring(ref, 1, 1) != "#", F.element_at(names, ref)).when(point != 38, F.decode(utf32, "UTF-32"))
+    out = F.aggregate(found, x, lambda acc, ref: F.replace(
+        acc, F.concat(F.lit("&"), ref, F.lit(";")), F.coalesce(character(ref), F.concat(F.lit("&"), ref, F.lit(";")))))
+    return F.regexp_replace(F.when(F.size(found) > 0, out).otherwise(x), "&(amp|#0*38|#[xX]0*26);", "&")
+
+
+def _meta(html, name: str) -> Column:
+    """``content`` of the <meta> with this property, whichever attribute comes first; '' where there is none."""
+    prop, content = rf"""property\s*=\s*["']{name}["']""", r"""content\s*=\s*["']([^"']*)["']"""
+    after = F.regexp_extract(_c(html), rf"(?is)<meta\s+[^>]*{prop}[^>]*{content}", 1)
+    before = F.regexp_extract(_c(html), rf"(?is)<meta\s+[^>]*{content}[^>]*{prop}", 1)
+    return F.when(after != "", after).otherwise(before)
 
 
 def html_title(html="html") -> Column:
@@ -150,15 +172,13 @@ def html_title(html="html") -> Column:
 
 def html_top_image(html="html") -> Column:
     """SC-13: og:image content, NULL when missing or empty."""
-    raw = F.regexp_extract(
-        _c(html), r"""(?is)<meta\s+[^>]*property\s*=\s*["']og:image["'][^>]*content\s*=\s*["']([^"']*)["']""", 1)
+    raw = _meta(html, "og:image")
     return null_if_empty(go_trim(unescape_html(raw)))
 
 
 def html_publish_date(html="html") -> Column:
     """SC-13: article:published_time meta or the first <time datetime>, as a timestamp."""
-    meta = F.regexp_extract(
-        _c(html), r"""(?is)<meta\s+[^>]*property\s*=\s*["']article:published_time["'][^>]*content\s*=\s*["']([^"']*)["']""", 1)
+    meta = _meta(html, "article:published_time")
     tag = F.regexp_extract(_c(html), r"""(?is)<time\s+[^>]*datetime\s*=\s*["']([^"']*)["']""", 1)
     text = F.coalesce(null_if_empty(meta), null_if_empty(tag))
     return F.coalesce(F.try_to_timestamp(text, F.lit(RFC3339)), F.try_to_timestamp(text))

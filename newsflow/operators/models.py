@@ -337,6 +337,21 @@ def _best_answers(sent: Column, q: Column) -> Column:
     return F.transform(ranked, lambda a: F.struct(a["text"].alias("text"), a["confidence"].alias("confidence")))
 
 
+def _matches(text: Column, pattern: Column, rules: DataFrame, literal: int = 256) -> Column:
+    """Whether ``text`` matches its rule's ``pattern`` (F-15).
+
+    The patterns are written into the plan, so each is compiled once for a task and not with
+    every row.  Beyond ``literal`` different patterns the plan keeps the column, with the same rows.
+    """
+    known = [p for (p,) in rules.where("pattern IS NOT NULL").select("pattern").distinct().limit(literal + 1).collect()]
+    if len(known) > literal:
+        return F.rlike(text, pattern)
+    out = F.lit(False)
+    for p in sorted(known):
+        out = F.when(pattern == p, F.lit(True) if p == "" else text.rlike(p)).otherwise(out)
+    return out
+
+
 def extract_info(articles: DataFrame, rules: DataFrame, results: DataFrame | None = None,
                  model: PandasModel | None = None) -> DataFrame:
     """M-8: (web_article_id, info_extraction_rule_id, text, confidence).
@@ -365,6 +380,6 @@ def extract_info(articles: DataFrame, rules: DataFrame, results: DataFrame | Non
                                 _best_answers(F.col("_sent"), F.col("_q")).alias("answers"))
     best = answered.select("id", "rule_id", "pattern", "threshold", F.get(F.col("answers"), 0).alias("a"))
     kept = best.where(F.col("a").isNotNull() & (F.col("a.confidence") >= F.col("threshold"))
-                      & F.rlike(F.col("a.text"), F.col("pattern")))
+                      & _matches(F.col("a.text"), F.col("pattern"), live))
     return kept.select(F.col("id").alias("web_article_id"), F.col("rule_id").alias("info_extraction_rule_id"),
                        F.col("a.text").alias("text"), F.col("a.confidence").alias("confidence"))

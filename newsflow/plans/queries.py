@@ -716,6 +716,25 @@ def duplicates(spark, d):
     return out.withColumn("distance", F.round("distance", 4))
 
 
+@register("duplicates_oldest_parent", with_tables("vectors", extra=[
+    ("pairs", f"""SELECT q.web_article_id AS qid, c.web_article_id AS id, {_cos_sql('q.data', 'c.data')} AS distance
+                  FROM vectors q JOIN vectors c ON c.publish_day BETWEEN q.publish_day - 3 AND q.publish_day
+                  AND c.web_article_id < q.web_article_id"""),
+    ("top", """SELECT qid, min(id) AS parent_id, arg_min(distance, id) AS distance FROM pairs
+               WHERE distance <= CAST(0.65 AS FLOAT) GROUP BY qid"""),
+]) + """
+SELECT v.web_article_id, t.parent_id, round(t.distance, 4) AS distance FROM vectors v LEFT JOIN top t ON t.qid = v.web_article_id""")
+def duplicates_oldest_parent(spark, d):
+    """M-9: the hook takes the oldest article within 0.65 as parent instead of the nearest."""
+    from newsflow.operators.knn import detect_duplicates
+
+    def oldest(hits):
+        first = F.array_min(F.transform(hits, lambda h: F.struct(h["id"], h["distance"])))
+        return F.struct(first["distance"].alias("distance"), first["id"].alias("id"))
+    out = detect_duplicates(TB.vector_articles(spark, d), TB.vectors(spark, d), None, 3, 0.65, select_top_hit=oldest, block_rows=1024)
+    return out.withColumn("distance", F.round("distance", 4))
+
+
 @register("vector_retention", with_tables("vectors") + """
 SELECT web_article_id, CAST(publish_day AS VARCHAR) AS publish_day, 'vec_' || strftime(publish_day, '%Y-%m-%d') AS day_key,
        publish_day < DATE '2024-01-03' AS expired FROM vectors""")
@@ -1109,6 +1128,34 @@ def enrichment_chain(spark, d):
     return run.outcomes().groupBy("stage_no", "stage", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("custom_stages", with_tables("doc_articles", extra=[
+    ("g", "SELECT *, CASE WHEN language = 'en' THEN 'home' WHEN language IS NOT NULL THEN 'foreign' ELSE 'unknown' END AS o FROM doc_articles"),
+    ("w", f"SELECT id, CASE WHEN len({S.tokens(S.effective_title())}) >= 50 THEN 'forward' ELSE 'stop' END AS o FROM g WHERE o = 'home'"),
+]) + """
+SELECT 'language_gate' AS stage, o AS outcome, count(*) AS n FROM g GROUP BY ALL
+UNION ALL SELECT 'long_reads', o, count(*) FROM w GROUP BY ALL
+UNION ALL SELECT 'branch', 'foreign', count(*) FROM g WHERE o = 'foreign' HAVING count(*) > 0""")
+def custom_stages(spark, d):
+    """M-11: two stages of a user in the chain, one parting articles by language, one forwarding long texts."""
+    from newsflow.functions.text import effective_title
+    from newsflow.operators.models import tokens
+    from newsflow.plans import chain as C
+
+    def language_gate(a):
+        route = (F.when(F.col("language") == "en", "home").when(F.col("language").isNotNull(), "foreign").otherwise("unknown"))
+        way = F.when(F.col("outcome") == "foreign", "foreign").otherwise(C.onward("home"))
+        return C.StageResult("language_gate", outcomes=C.outcome(a, route, way))
+
+    def long_reads(a):
+        return C.StageResult("long_reads", forward=a.where(F.size(tokens(effective_title())) >= 50).select("id"))
+    run = C.run_chain(TB.doc_articles(spark, d), [language_gate, long_reads])
+    out = run.outcomes().groupBy("stage", "outcome").agg(F.count(F.lit(1)).alias("n"))
+    for name, frame in run.branches.items():
+        out = out.unionByName(frame.groupBy(F.lit("branch").alias("stage"), F.lit(name).alias("outcome"))
+                              .agg(F.count(F.lit(1)).alias("n")))
+    return out
+
+
 @register("text_classes_from_labels", """
 SELECT doc_id AS web_article_id, 'quality' AS type, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS label,
        CAST(1.0 AS FLOAT) AS confidence FROM labels

