@@ -4,13 +4,25 @@ Base rules count words, symbols, repeated lines and repeated 8-word windows of
 each text.  The counts, transformed, form a vector; per language and source the
 minimum-covariance-determinant estimate of its mean and covariance is found by
 C-steps: keep the ``HELD`` share of rows nearest by Mahalanobis distance, take
-their mean and covariance, and again.  A document is rejected when the base
-rules fail or its squared distance is above ``CUTOFF``, the chi-square quantile of
-``INSIDE``.
+their mean and covariance, and again, until no group's determinant falls.  A
+document is rejected when the base rules fail or its squared distance is above
+``CUTOFF``, the chi-square quantile of ``INSIDE``.
 
-Distances are ranked in ``FINE`` steps per e-fold, so a C-step is a count per
-group and step and a sum per group, both with map-side combining; no group is
-ever in one task.  Groups of fewer than ``LEAST`` rows share one estimate.
+Statistics of a short text scatter more and its vocabulary is richer, which is no
+fault of it.  Means are therefore linear in the log of the length, and a row
+weighs ``n / (n + NOISE_WORDS)``: the variance of a text of n words is that of a
+long one times ``1 + NOISE_WORDS / n``.
+
+Every group has an estimate of its own.  Its sums are blended with ``PRIOR`` rows
+of its language's, and those with ``PRIOR`` rows of the whole table's, so an
+estimate of few rows leans on the wider one without a switch at some size.  Two
+starts (the group's and its language's quartiles) are followed; the smaller
+determinant wins.
+
+Distances are ranked in ``FINE`` steps per e-fold, so a C-step is one sum per
+group and step with map-side combining.  Estimates reach the rows by broadcast up
+to ``BROADCAST_GROUPS`` groups, beyond that by a join on the group and a salt;
+no group is ever in one task.
 """
 
 from __future__ import annotations
@@ -28,7 +40,15 @@ FEATURES = ("x0", "x1", "x2", "x3")
 #: Added scale of each feature, against zero variance.  Most documents have no symbols (x1) and no repeats (x2), so the
 #: nearest ``HELD`` share has no spread there and the scale is this one; word length and vocabulary have their own.
 FLOORS = (0.005, 0.05, 0.1, 0.005)
-HELD, LEAST, STEPS, FINE = 0.75, 200, 3, 16
+HELD, FINE = 0.75, 16
+#: Length in words at which sampling noise of a text's statistics is as large as the spread between long texts.
+NOISE_WORDS = 200
+#: Rows of the wider estimate that each estimate is blended with.
+PRIOR = 50
+#: A C-step counts for a group where it lowers the log determinant by more than ``STILL``; steps end when it does for none.
+STILL = 0.01
+#: Groups whose estimates (two starts, under 300 bytes each) are broadcast; beyond, the join is salted.
+BROADCAST_GROUPS, SALTS = 10_000, 64
 #: Share of a normal group that lies within the cutoff.
 INSIDE = 0.999
 WINDOW = 8
@@ -77,37 +97,48 @@ def features(d: DataFrame) -> DataFrame:
         "x1": F.asinh(20 * F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
         "x2": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)) + F.col("n_repeat_words") / n,
         "x3": F.log(F.greatest(F.col("n_distinct"), F.lit(1)) + 1) / F.log(n + 1),
-        "base_failed": failed})
-
-
-def estimate(held: DataFrame, scale: float) -> DataFrame:
-    """Per group g: means m0.. and the Cholesky factor l00, l10, l11, .. of the floored covariance."""
-    p = len(FEATURES)
-    pairs = [(i, j) for i in range(p) for j in range(i + 1)]
-    sums = [F.avg(x).alias(f"m{i}") for i, x in enumerate(FEATURES)]
-    sums += [F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}{j}") for i, j in pairs]
-    t = held.groupBy("g").agg(*sums)
-    for i, j in pairs:
-        cov = F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")
-        t = t.withColumn(f"c{i}{j}", scale * cov + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0)))
-    for i, j in pairs:
-        rest = F.col(f"c{i}{j}")
-        for k in range(j):
-            rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        t = t.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2 * 1e-3))) if i == j
-                         else rest / F.col(f"l{j}{j}"))
-    return t.select("g", *[f"m{i}" for i in range(p)], *[f"l{i}{j}" for i, j in pairs])
+        "u": F.log(n + 1), "weight": n / (n + NOISE_WORDS), "base_failed": failed})
+
+
+PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i + 1)]
+SUMS = ["n", "w", "wu", "wuu", *[f"w{i}" for i in range(len(FEATURES))], *[f"wu{i}" for i in range(len(FEATURES))],
+        *[f"w{i}_{j}" for i, j in PAIRS]]
+FIT = ["mu", *[f"{c}{i}" for c in "mb" for i in range(len(FEATURES))], *[f"l{i}{j}" for i, j in PAIRS], "log_det"]
+
+
+def sums_of_rows() -> list[Column]:
+    """Aggregates of rows: count, weight, and weighted first and second moments of u and the features."""
+    w, u, x = F.col("weight"), F.col("u"), [F.col(f) for f in FEATURES]
+    terms = [F.lit(1.0), w, w * u, w * u * u, *[w * y for y in x], *[w * u * y for y in x],
+             *[w * x[i] * x[j] for i, j in PAIRS]]
+    return [F.sum(t).alias(name) for t, name in zip(terms, SUMS)]
+
+
+def estimate(sums: DataFrame, scale: float) -> DataFrame:
+    """Per row of ``sums``: mean u, means m0.., slopes b0.. on u, the Cholesky factor l00, l10, .. of the floored
+    residual covariance and its log determinant."""
+    p = range(len(FEATURES))
+    cols = ["wu / w AS mu", *[f"w{i} / w AS m{i}" for i in p], "greatest((wuu - w * mu * mu) / n, 1e-6D) AS vu",
+            *[f"(wu{i} - w * mu * m{i}) / n AS v{i}" for i in p], *[f"v{i} / vu AS b{i}" for i in p]]
+    for i, j in PAIRS:
+        floor = FLOORS[i] ** 2
+        rest = f"{scale}D * ((w{i}_{j} - w * m{i} * m{j}) / n - b{i} * v{j})" + (f" + {floor}D" if i == j else "")
+        rest += "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+        cols.append(f"sqrt(greatest({rest}, {floor * 1e-3}D)) AS l{i}{i}" if i == j else f"({rest}) / l{j}{j} AS l{i}{j}")
+    cols.append(" + ".join(f"ln(l{i}{i})" for i in p) + " AS log_det")
+    keys = [c for c in sums.columns if c not in SUMS]
+    return sums.selectExpr(*keys, *cols).select(*keys, *FIT)
 
 
 def squared_distance() -> Column:
-    """Mahalanobis distance by forward substitution, from the columns of ``estimate``."""
+    """Weighted Mahalanobis distance by forward substitution, from the columns of ``estimate``."""
     solved: list[Column] = []
     for i, x in enumerate(FEATURES):
-        y = F.col(x) - F.col(f"m{i}")
+        y = F.col(x) - F.col(f"m{i}") - F.col(f"b{i}") * (F.col("u") - F.col("mu"))
         for k, before in enumerate(solved):
             y = y - F.col(f"l{i}{k}") * before
         solved.append(y / F.col(f"l{i}{i}"))
-    return sum((y * y for y in solved[1:]), solved[0] * solved[0])
+    return F.col("weight") * sum((y * y for y in solved[1:]), solved[0] * solved[0])
 
 
 def chi_square_quantile(share: float) -> float:
@@ -129,41 +160,88 @@ def consistency(held: float) -> float:
     return held / (1 - math.exp(-q / 2) * (1 + q / 2 + q * q / 8))
 
 
-def nearest(d: DataFrame, fit: DataFrame) -> DataFrame:
-    """The rows in the nearest ``HELD`` share of their group, whole distance steps at a time."""
-    step = F.floor(F.lit(FINE) * F.log(squared_distance() + 1e-9)).alias("step")
-    near = d.join(fit, "g").select("g", *FEATURES, step)
-    counts = near.groupBy("g", "step").count()
-    upto = F.sum("count").over(Window.partitionBy("g").orderBy("step"))
-    whole = F.sum("count").over(Window.partitionBy("g"))
-    edge = counts.select("g", "step", upto.alias("upto"), whole.alias("whole")).where(
-        F.col("upto") >= HELD * F.col("whole")).groupBy("g").agg(F.min("step").alias("edge"))
-    return near.join(edge, "g").where(F.col("step") <= F.col("edge"))
+def with_estimate(d: DataFrame, fit: DataFrame, few: bool) -> DataFrame:
+    """Rows with the estimates of their ``pair``: a broadcast for few groups, else a join on group and salt."""
+    if few:
+        return d.join(F.broadcast(fit), "pair")
+    salted = fit.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("pair", "weight", *FEATURES), F.lit(SALTS)).cast("int")
+    return d.withColumn("salt", salt).join(salted, ["pair", "salt"]).drop("salt")
+
+
+def nearest_sums(d: DataFrame, fit: DataFrame, few: bool) -> DataFrame:
+    """Sums over the nearest ``HELD`` share of each group and start, whole distance steps at a time."""
+    step = F.floor(F.lit(FINE) * F.log(squared_distance() + 1e-9))
+    steps = with_estimate(d, fit, few).groupBy("pair", "tongue", "start", step.alias("step")).agg(*sums_of_rows())
+    group = Window.partitionBy("pair", "start")  # a group has some hundred steps, however many rows
+    before = F.sum("n").over(group.orderBy("step")) - F.col("n")
+    held = steps.withColumns({"before": before, "whole": F.sum("n").over(group)}).where(
+        F.col("before") < HELD * F.col("whole"))
+    return held.groupBy("pair", "tongue", "start").agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def blended(sums: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sums of every group and start, with ``PRIOR`` rows of its language's, which have ``PRIOR`` rows of all."""
+    wide = lambda keys: sums.groupBy(*keys).agg(*[F.sum(c).alias(f"_{c}") for c in SUMS])
+    share = lambda c: F.lit(PRIOR) * F.col(f"_{c}") / F.nullif("_n", F.lit(0.0))
+
+    def join(narrow: DataFrame, wider: DataFrame, keys: list[str]) -> DataFrame:
+        j = narrow.join(wider, keys, "left")
+        rest = [c for c in narrow.columns if c not in SUMS]
+        return j.select(*rest, *[(F.coalesce(c, F.lit(0.0)) + F.coalesce(share(c), F.lit(0.0))).alias(c) for c in SUMS])
+    tongues = groups.select("tongue", "start").distinct().join(
+        sums.groupBy("tongue", "start").agg(*[F.sum(c).alias(c) for c in SUMS]), ["tongue", "start"], "left")
+    tongues = join(tongues, wide(["start"]), ["start"])
+    tongues = tongues.select("tongue", "start", *[F.col(c).alias(f"_{c}") for c in SUMS])
+    own = groups.join(sums.drop("tongue"), ["pair", "start"], "left")
+    return join(own, tongues, ["tongue", "start"]).where("n > 0").drop("tongue")
+
+
+def quartile_start(d: DataFrame, key: str) -> DataFrame:
+    """Per ``key``: medians, no slopes, and quartile distances as an uncorrelated scatter."""
+    p = range(len(FEATURES))
+    q = d.groupBy(key).agg(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"q{i}")
+                             for i, x in enumerate(FEATURES)])
+    wide = {i: F.sqrt(((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 + FLOORS[i] ** 2) for i in p}
+    return q.select(key, F.lit(0.0).alias("mu"), *[F.col(f"q{i}")[1].alias(f"m{i}") for i in p],
+                    *[F.lit(0.0).alias(f"b{i}") for i in p],
+                    *[(wide[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in PAIRS],
+                    F.lit(float("inf")).alias("log_det"))
+
+
+def fitted(d: DataFrame, all_groups: DataFrame, few: bool) -> DataFrame:
+    """One estimate for each ``pair`` of ``all_groups`` from the rows ``d``; none where ``d`` is empty."""
+    d = d.select("pair", "tongue", "u", "weight", *FEATURES)
+    own = quartile_start(d, "pair").withColumn("start", F.lit(0))
+    wide = all_groups.join(quartile_start(d, "tongue"), "tongue").drop("tongue").withColumn("start", F.lit(1))
+    fit = written(own.unionByName(wide), "quality-fit")
+    groups = all_groups.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+    falls = True
+    while falls:
+        sums = written(nearest_sums(d, fit, few), "quality-sums")
+        new = estimate(blended(sums, groups), consistency(HELD)).select("pair", "start", F.struct(*FIT).alias("new"))
+        old = fit.select("pair", "start", F.struct(*FIT).alias("old"))
+        lower = ~(F.col("new.log_det") >= F.coalesce("old.log_det", F.lit(float("inf"))) - STILL)
+        both = new.join(old, ["pair", "start"], "left").withColumn("lower", lower)
+        fit = written(both.select("pair", "start", "lower", F.when(F.col("lower"), F.col("new")).otherwise(F.col("old"))
+                                  .alias("fit")).select("pair", "start", "lower", "fit.*"), "quality-fit")
+        falls = not fit.where("lower").isEmpty()
+        fit = fit.drop("lower")
+    best = fit.groupBy("pair").agg(F.min(F.struct("log_det", "start")).alias("best"))
+    return fit.join(best, "pair").where("start = best.start").drop("start", "best")
 
 
 def judged(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every row (struct of ``columns``) with its counts, base_failed, distance and kept."""
-    d = features(text_counts(docs, columns)).withColumn(
-        "pair", F.concat_ws("\x01", F.coalesce("lang", F.lit("\x02")), F.coalesce("source", F.lit("\x02"))))
+    tongue = F.coalesce("lang", F.lit("\x02"))
+    d = features(text_counts(docs, columns)).withColumns({
+        "tongue": tongue, "pair": F.concat_ws("\x01", tongue, F.coalesce("source", F.lit("\x02")))})
     d = written(d, "quality")
-    fit_on = d.where(~F.col("base_failed"))
-    big = fit_on.groupBy("pair").count().where(F.col("count") >= LEAST).select("pair", F.col("pair").alias("g"))
-    big = written(big, "quality-groups")
-    pooled = F.coalesce("g", F.lit("\x03"))
-    # first estimate: medians and absolute deviations, as an uncorrelated scatter
-    g = fit_on.join(big, "pair", "left").select(pooled.alias("g"), *FEATURES)
-    mids = g.groupBy("g").agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"m{i}") for i, x in enumerate(FEATURES)])
-    mids = written(mids, "quality-mids")
-    wide = g.join(mids, "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 1000)
-                                               .alias(f"d{i}") for i, x in enumerate(FEATURES)])
-    p = len(FEATURES)
-    fit = mids.join(wide, "g").select("g", *[f"m{i}" for i in range(p)], *[
-        (F.sqrt((1.4826 * F.col(f"d{i}")) ** 2 + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
-        for i in range(p) for j in range(i + 1)])
-    fit = written(fit, "quality-fit")
-    for _ in range(STEPS):
-        fit = written(estimate(nearest(g, fit), consistency(HELD)), "quality-fit")
-    out = d.join(big, "pair", "left").withColumn("g", pooled).join(fit, "g", "left")
+    groups = written(d.groupBy("pair", "tongue").count().drop("count"), "quality-groups")
+    few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    # a row for every group, so the join below keeps all rows; where no row passes the base rules there are none
+    fit = groups.join(fitted(d.where(~F.col("base_failed")), groups, few), "pair", "left").drop("tongue")
+    out = with_estimate(d, written(fit, "quality-fit"), few)
     kept = ~F.col("base_failed") & (F.coalesce(squared_distance(), F.lit(0.0)) <= CUTOFF)
     return out.withColumn("distance", F.sqrt(squared_distance())).withColumn("kept", kept)
 
@@ -173,7 +251,7 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
     A null, empty or wordless text has no words and fails the base rules; null
     languages and sources form groups of their own; a group of equal rows has the
-    floors as its spread; repeated rows get equal verdicts; an empty table gives
+    floors as its spread; where no row passes the base rules distances are null; repeated rows get equal verdicts; an empty table gives
     no rows.  Other columns are not read.
     """
     return judged(docs, ["doc_id"]).select(
