@@ -50,12 +50,12 @@ def apply_creates(target: DataFrame, creates: DataFrame, keys: list[list[str]],
 
     ``defaults`` fixes columns regardless of the input (feeds and Twitter
     sources start disabled).  ``parent=(table, fk)`` requires the parent row
-    to exist (labels need their template).  Returns (snapshot, created).
+    to exist and not to be soft-deleted (labels need their template); requests
+    without one are those of ``missing_parents``.  Returns (snapshot, created).
     """
     c = creates
     if parent is not None:
-        ptable, fk = parent
-        c = c.join(ptable.select(F.col("id").alias(fk)), fk, "left_semi")
+        c = c.join(_live_parents(parent), parent[1], "left_semi")
     for col, value in (defaults or {}).items():
         c = c.withColumn(col, F.lit(value))
     c = insert_if_absent(c, target, keys, order or [k for key in keys for k in key])
@@ -69,6 +69,16 @@ def apply_creates(target: DataFrame, creates: DataFrame, keys: list[list[str]],
     return target.unionByName(created), created
 
 
+def missing_parents(creates: DataFrame, parent: tuple[DataFrame, str]) -> DataFrame:
+    """C-2: the requests of ``creates`` that fail because their parent is absent, soft-deleted or not named."""
+    return creates.join(_live_parents(parent), parent[1], "left_anti")
+
+
+def _live_parents(parent: tuple[DataFrame, str]) -> DataFrame:
+    table, fk = parent
+    return table.where(_live(table)).select(F.col("id").alias(fk))
+
+
 def _live(target: DataFrame) -> Column:
     """Rows that management can see: not soft-deleted (tables without ``deleted_at`` have no others)."""
     return F.col("deleted_at").isNull() if "deleted_at" in target.columns else F.lit(True)

@@ -895,6 +895,34 @@ def create_feeds(spark, d):
     return created.select("id", "url", "enabled", "failures_count")
 
 
+@register("create_labels", """
+WITH templates AS (SELECT row_number() OVER (ORDER BY lang) AS id FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+live AS (SELECT id FROM templates WHERE id <> 2),
+creates AS (SELECT CAST(doc_id % 6 + 1 AS BIGINT) AS template_id, coalesce(source, '') AS text FROM documents)
+SELECT 'created' AS outcome, template_id, text, row_number() OVER (ORDER BY template_id, text) AS label_id, CAST(1 AS BIGINT) AS n
+FROM (SELECT DISTINCT template_id, text FROM creates WHERE template_id IN (SELECT id FROM live))
+UNION ALL
+SELECT 'not found', template_id, text, NULL, count(*) FROM creates
+WHERE template_id NOT IN (SELECT id FROM live) GROUP BY template_id, text""")
+def create_labels(spark, d):
+    """C-2: labels created under live templates; requests for a deleted or unknown template are reported."""
+    import datetime as dt
+    from newsflow import schemas
+    from newsflow.operators.manage import apply_creates, missing_parents
+    from newsflow.operators.sinks import assign_ids
+    docs, fk, now = TB.raw(spark, d, "documents"), "zero_shot_hypothesis_template_id", dt.datetime(2024, 3, 1)
+    templates = assign_ids(docs.select(F.col("lang").alias("text")).where("text IS NOT NULL").distinct(), 0, ["text"])
+    templates = templates.withColumn("deleted_at", F.when(F.col("id") == 2, F.lit(now)))
+    creates = docs.select((F.col("doc_id") % 6 + 1).cast("long").alias(fk), F.coalesce("source", F.lit("")).alias("text"))
+    _, created = apply_creates(schemas.empty(spark, "zero_shot_hypothesis_labels"), creates, [[fk, "text"]], now,
+                               defaults={"enabled": True}, parent=(templates, fk))
+    missing = missing_parents(creates, (templates, fk)).groupBy(fk, "text").agg(F.count(F.lit(1)).alias("n"))
+    columns = [F.col(fk).alias("template_id"), "text"]
+    return created.select(F.lit("created").alias("outcome"), *columns, F.col("id").alias("label_id"),
+                          F.lit(1).cast("long").alias("n")).unionByName(
+        missing.select(F.lit("not found").alias("outcome"), *columns, F.lit(None).cast("long").alias("label_id"), "n"))
+
+
 @register("update_feeds", with_tables("feeds") + """
 SELECT id, url || '#u' AS url, NULL AS last_error, version + 1 AS version, id % 2 = 0 AS enabled FROM feeds""")
 def update_feeds(spark, d):

@@ -82,6 +82,19 @@ def test_label_create_requires_template(spark):
     assert [(r.id, r.text) for r in rows] == [(1, "a")]
 
 
+def test_label_creates_without_a_live_template_are_reported(spark):
+    from newsflow import schemas
+    from newsflow.operators.manage import apply_creates, missing_parents
+    fk = "zero_shot_hypothesis_template_id"
+    templates = spark.createDataFrame([(1, None), (2, dt.datetime(2023, 5, 1))], "id long, deleted_at timestamp")
+    creates = spark.createDataFrame([(1, "a", True), (2, "b", True), (9, "c", True), (None, "d", True)],
+                                    f"{fk} long, text string, enabled boolean")
+    _, created = apply_creates(schemas.empty(spark, "zero_shot_hypothesis_labels"), creates, [[fk, "text"]],
+                               dt.datetime(2024, 1, 1), parent=(templates, fk))
+    assert [r.text for r in created.collect()] == ["a"]
+    assert sorted(r.text for r in missing_parents(creates, (templates, fk)).collect()) == ["b", "c", "d"]
+
+
 def test_versioned_update_stale(spark):
     from newsflow.operators.sinks import versioned_update
     t = spark.createDataFrame([(1, 0, "a"), (2, 3, "b")], "id long, version long, url string")
