@@ -11,11 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from newsflow.functions.text import geo_text
 from newsflow.operators.common import bounded_broadcast
-from newsflow.operators.models import tokens
 from newsflow.schemas import GEO_REPLY
 
 KIND_ORDER = {"city": 0, "country": 1, "state": 2}
@@ -51,30 +49,27 @@ def geo_parse(articles: DataFrame, gazetteer: DataFrame, max_ngram: int = 3) ->
     """M-4: (id, country_code) per article; NULL when nothing is found (still forwarded).
 
     Pass 1 matches place names without demonyms; only articles without a
-    find in pass 1 get pass 2 with demonyms.
+    find in pass 1 get pass 2 with demonyms.  Both come from one scan of the texts:
+    a demonym's score ranks after every score without.
+
+    A text is read as the run of ``max_ngram`` tokens that begins at each token; only
+    runs whose first token begins a name are opened into their n-grams.
     """
-    arts = articles.select("id", tokens(geo_text()["text"]).alias("_t"))
-    # every 1..max_ngram token n-gram with its start position, in one explode (no window, no union)
-    grams_arr = F.flatten(F.array(*[
-        F.transform(F.filter(F.sequence(F.lit(0), F.size("_t") - n), lambda i: i >= 0),
-                    lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("_t", i + 1, n), " ").alias("name")))
-        for n in range(1, max_ngram + 1)]))
-    grams = (arts.where(F.size("_t") > 0)
-             .select("id", F.explode(grams_arr).alias("g")).select("id", "g.pos", "g.name"))
-    gz = bounded_broadcast(gazetteer.select("name", "country_code", "kind", "demonym"))
+    words = F.trim(F.regexp_replace(F.lower(geo_text()["text"]), r"[^\p{L}\p{N}]+", " "))
+    run = rf"(?=([^ ]+(?: [^ ]+){{0,{max_ngram - 1}}}))[^ ]+"
+    runs = articles.select("id", F.posexplode(F.regexp_extract_all(words, F.lit(run), 1)).alias("pos", "run"))
+    gz = bounded_broadcast(gazetteer.select("name", "country_code", "kind", "demonym").where("demonym IS NOT NULL"))
+    firsts = bounded_broadcast(gazetteer.select(F.substring_index("name", " ", 1).alias("first")).distinct())
+    runs = runs.withColumn("first", F.substring_index("run", " ", 1)).join(firsts, "first", "left_semi")
+    grams = runs.withColumn("t", F.split("run", " ")).select("id", "pos", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("t")), lambda n: F.array_join(F.slice("t", 1, n), " "))).alias("name"))
     hits = grams.join(gz, "name")
     kind_rank = F.lit(None).cast("int")
     for k, v in KIND_ORDER.items():
         kind_rank = F.when(F.col("kind") == k, F.lit(v)).otherwise(kind_rank)
-
-    def best(h: DataFrame) -> DataFrame:
-        scores = h.groupBy("id", "kind", "country_code").agg(
-            F.count(F.lit(1)).cast("double").alias("score"), F.min("pos").alias("first_pos"))
-        scores = scores.withColumn("kind_rank", kind_rank)
-        return scores.groupBy("id").agg(F.min_by("country_code", F.struct(
-            -F.col("score"), F.col("kind_rank"), F.col("first_pos"), F.col("country_code"))).alias("country_code"))
-
-    p1 = best(hits.where(~F.col("demonym")))
-    p2 = best(hits.where(F.col("demonym")).join(p1.select("id"), "id", "left_anti"))
-    found = p1.unionByName(p2)
+    scores = hits.groupBy("id", "demonym", "kind", "country_code").agg(
+        F.count(F.lit(1)).cast("double").alias("score"), F.min("pos").alias("first_pos"))
+    found = scores.groupBy("id").agg(F.min_by("country_code", F.struct(
+        F.col("demonym"), -F.col("score"), kind_rank.alias("kind_rank"), F.col("first_pos"), F.col("country_code")))
+        .alias("country_code"))
     return articles.select("id").join(found, "id", "left")
