@@ -40,6 +40,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+ARROW_ROWS = 256
+
+
+def small_batches(spark) -> None:
+    """Arrow batches of few rows, as one row can be a very long text."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Round-robin a few-partition input over the cluster before heavy per-row work.
 

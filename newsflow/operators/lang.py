@@ -10,25 +10,37 @@ equals argmax of ``sum(top - |rank_doc - rank_lang|)`` over *matched*
 trigrams: a look-up of each trigram in the profiles and a sum for each
 language met, both inside the row.  A text with no letters, or without a single matched
 trigram, gets NULL (detection failed).
+
+Trigrams are counted by NumPy in Arrow batches: a trigram is three code points
+packed into one integer, whose order is that of the strings, so counting is a
+sort of integers.  Case and letters are the JVM's.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsflow.operators.common import spread
-from newsflow.operators.side import check_side_size
+from newsflow.operators.common import small_batches, spread
+from newsflow.operators.side import side_rows
 
 TOP = 300
-SLOTS = 4096  # lists of the dense profile value
+HELD = 1 << 22  # trigrams a task counts at once
+POINT_BITS = 21  # bits of a code point; three fill a trigram's integer
+
+
+def letters_of(col) -> Column:
+    """Lower-case, letters only, single spaces; '' for a text without letters."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.trim(F.regexp_replace(F.lower(col), r"[^\p{L}]+", " "))
 
 
 def normalized_text(col) -> Column:
     """Lower-case, letters only, single spaces, padded with one space each side."""
-    col = F.col(col) if isinstance(col, str) else col
-    letters = F.trim(F.regexp_replace(F.lower(col), r"[^\p{L}]+", " "))
+    letters = letters_of(col)
     return F.when(F.length(letters) > 0, F.concat(F.lit(" "), letters, F.lit(" ")))
 
 
@@ -42,79 +54,116 @@ def trigrams(col) -> Column:
     return F.regexp_extract_all(s, F.lit("(?=(.{3}))"), 1)
 
 
-def fit_language_profiles(corpus: DataFrame, text: str = "text", lang: str = "lang",
-                          top: int = TOP) -> DataFrame:
-    """-> (lang, trigram, rank) with rank 1..top per language.
+def packed_trigrams(letters: str | None) -> np.ndarray:
+    """Every trigram of ``letters_of`` a text, a space before and after it, as integers in text order."""
+    if not letters:
+        return np.empty(0, np.int64)
+    points = np.frombuffer(f" {letters} ".encode("utf-32-le"), "<u4").astype(np.int64)
+    return points[:-2] << 2 * POINT_BITS | points[1:-1] << POINT_BITS | points[2:]
 
-    The trigram explode is aggregated map-side per (lang, trigram) before the
-    shuffle; the per-language top-k uses a window group limit, so only
-    ``top`` rows per language and partition cross the second exchange.
-    """
-    grams = (spread(corpus.where(F.col(lang).isNotNull()).select(text, lang))
-             .select(F.col(lang).alias("lang"), F.explode(trigrams(text)).alias("trigram"))
-             .groupBy("lang", "trigram").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("trigram"))
-    return (grams.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
-            .select("lang", "trigram", F.col("rank").cast("int").alias("rank")))
 
+def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each occurs."""
+    codes = np.sort(codes)
+    starts = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[starts], np.diff(np.append(starts, len(codes)))
 
-def top_trigrams(col, top: int = TOP) -> Column:
-    """The ``top`` most frequent trigrams of a text, most frequent first, ties by trigram.
 
-    Counted inside the row: the sorted trigrams fall into runs, a run's length is its
-    count.  ``transform(array(x), f)[0]`` binds ``x`` once for the inner functions.
-    """
-    def ranked(s):
-        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
-                          lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        runs = _bind(starts, lambda b: F.transform(b, lambda p, j: F.struct(
-            (p - F.coalesce(F.get(b, j + 1), F.size(s))).alias("minus_n"), F.get(s, p).alias("t"))))
-        return F.transform(F.slice(F.array_sort(runs), 1, top), lambda r: r["t"])
-    grams = F.sort_array(F.coalesce(trigrams(col), F.array().cast("array<string>")))
-    return _bind(grams, lambda s: F.when(F.size(s) > 0, ranked(s)).otherwise(F.array().cast("array<string>")))
+def trigram_text(code: int) -> str:
+    mask = (1 << POINT_BITS) - 1
+    return chr(code >> 2 * POINT_BITS) + chr(code >> POINT_BITS & mask) + chr(code & mask)
+
 
+def trigram_counts(corpus: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, trigram, n): how often each trigram occurs in the texts of a language, whole texts.
 
-def _bind(value: Column, f) -> Column:
-    return F.get(F.transform(F.array(value), f), 0)
+    ``HELD`` places are counted at once, so a row for each different trigram of them
+    reaches the aggregate, not one for each place of a text.
+    """
+    small_batches(corpus.sparkSession)
+
+    def partial(own):
+        for name, parts in own.items():
+            codes, n = counted(np.concatenate(parts))
+            yield pa.record_batch([pa.array([name] * len(codes), pa.string()),
+                                   pa.array(list(map(trigram_text, codes.tolist())), pa.string()), pa.array(n, pa.int64())],
+                                  names=["lang", "trigram", "n"])
+
+    def count(batches):
+        own, held = {}, 0
+        for b in batches:
+            for name, letters in zip(b["lang"].to_pylist(), b["letters"].to_pylist()):
+                codes = packed_trigrams(letters)
+                own.setdefault(name, []).append(codes)
+                held += len(codes)
+                if held > HELD:
+                    yield from partial(own)
+                    own, held = {}, 0
+        yield from partial(own)
+    rows = spread(corpus.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text))
+    return (rows.select("lang", letters_of(text).alias("letters")).mapInArrow(count, "lang string, trigram string, n long")
+            .groupBy("lang", "trigram").agg(F.sum("n").alias("n")))
 
 
-def profile_slots(profiles: DataFrame, slots: int = SLOTS) -> Column:
-    """The profiles as one dense value: ``slots`` lists of (trigram, lang, rank), by hash of the trigram.
+def fit_language_profiles(corpus: DataFrame, text: str = "text", lang: str = "lang",
+                          top: int = TOP) -> DataFrame:
+    """-> (lang, trigram, rank) with rank 1..top per language.
 
-    A scalar subquery whose size is checked first; a look-up is an array access and
-    a list of about one entry, where a map value would be searched from its start.
+    The trigrams are counted inside the tasks before the shuffle; the per-language
+    top-k uses a window group limit, so only ``top`` rows per language and
+    partition cross the second exchange.
     """
-    check_side_size(profiles)
-    entries = (profiles.select(F.pmod(F.xxhash64("trigram"), F.lit(slots)).cast("int").alias("slot"),
-                               F.struct("trigram", "lang", F.col("rank").cast("int").alias("rank")).alias("e"))
-               .groupBy("slot").agg(F.collect_list("e").alias("es")))
-    every = profiles.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    dense = every.join(entries, "slot", "left").select(
-        "slot", F.coalesce("es", F.array().cast(entries.schema["es"].dataType)).alias("es"))
-    return dense.select(F.transform(F.array_sort(F.collect_list(F.struct("slot", "es"))),
-                                    lambda x: x["es"])).scalar()
+    w = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("trigram"))
+    return (trigram_counts(corpus, text, lang).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+            .select("lang", "trigram", F.col("rank").cast("int").alias("rank")))
+
+
+def language_of(profiles: DataFrame, top: int = TOP):
+    """A column function: the language of ``letters_of`` a text, as its place in ``language_names``."""
+    rows = [r for r in side_rows(profiles.select("trigram", "lang", "rank")) if len(r["trigram"]) == 3]
+    names = sorted({r["lang"] for r in rows}, key=str.encode)
+    place = {name: k for k, name in enumerate(names)}
+    codes = np.array([int(packed_trigrams(r["trigram"])[1]) for r in rows], np.int64)
+    order = np.argsort(codes, kind="stable")
+    known = codes[order]
+    langs = np.array([place[r["lang"]] for r in rows], np.int64)[order]
+    ranks = np.array([r["rank"] for r in rows], np.int64)[order]
+
+    def one(letters):
+        own, n = counted(packed_trigrams(letters))
+        own = own[np.argsort(-n, kind="stable")[:top]]
+        lo = np.searchsorted(known, own, "left")
+        met = np.searchsorted(known, own, "right") - lo  # entries of each trigram, one a language
+        if not met.any():
+            return None
+        rank = np.repeat(np.arange(1, len(own) + 1), met)
+        entry = np.repeat(lo - np.cumsum(met) + met, met) + np.arange(len(rank))
+        score = np.zeros(len(names), np.int64)
+        np.add.at(score, langs[entry], top - np.abs(rank - ranks[entry]))
+        seen = np.unique(langs[entry])
+        return int(seen[score[seen].argmax()])
+
+    @F.arrow_udf("int")
+    def detect(letters: pa.Array) -> pa.Array:
+        return pa.array([one(x) for x in letters.to_pylist()], pa.int32())
+    # not deterministic to the optimizer: a filter by the language must not run it once more
+    return detect.asNondeterministic()
+
+
+def language_names(profiles: DataFrame) -> Column:
+    """The languages of ``profiles`` in order, one value for the whole plan."""
+    return profiles.where(F.char_length("trigram") == 3).select(F.array_sort(F.collect_set("lang"))).scalar()
 
 
 def detect_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
                     out: str = "detected_language", top: int = TOP) -> DataFrame:
     """SC-1: add ``out`` (ISO code or NULL) to every row of ``df``.
 
-    Row by row, over the whole text and inside the JVM: the text's own top trigrams,
-    their ranks in the profiles, a sum for each language met, the best.  Nothing is
-    exploded, joined or shuffled, so any plan stays one pass and keeps its partitioning;
-    ``id_col`` need not be unique.  The profile table has at most languages x ``top``
-    rows; its size is checked before it becomes a value of the plan.
+    Row by row, over the whole text: the text's own top trigrams, their ranks in the
+    profiles, a sum for each language met, the best.  Nothing is exploded, joined or
+    shuffled, so any plan stays one pass and keeps its partitioning; ``id_col`` need not
+    be unique.  The profile table has at most languages x ``top`` rows; its size is
+    checked before it goes to the tasks.
     """
-    n = SLOTS
-    x = df.withColumns({"_slots": profile_slots(profiles.select("lang", "trigram", "rank"), n),
-                        "_top": top_trigrams(text, top)})
-    hits = F.flatten(F.transform("_top", lambda t, i: F.transform(
-        F.filter(F.get(F.col("_slots"), F.pmod(F.xxhash64(t), F.lit(n)).cast("int")), lambda e: e["trigram"] == t),
-        lambda e: F.struct(e["lang"].alias("lang"), (F.lit(top) - F.abs(i + 1 - e["rank"])).cast("long").alias("s")))))
-
-    def best(h):
-        scores = F.transform(F.array_distinct(F.transform(h, lambda e: e["lang"])), lambda lang: F.struct(
-            (-F.aggregate(h, F.lit(0).cast("long"), lambda acc, e: F.when(e["lang"] == lang, acc + e["s"]).otherwise(acc)))
-            .alias("minus_s"), lang.alias("lang")))
-        return F.array_min(scores)["lang"]
-    return x.withColumn(out, _bind(hits, best)).select(*df.columns, out)
+    small_batches(df.sparkSession)
+    return df.select(*df.columns, F.get(language_names(profiles), language_of(profiles, top)(letters_of(text))).alias(out))

@@ -24,6 +24,14 @@ def check_side_size(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> None
         raise SideInputTooLarge(f"side input has more than {max_rows} rows")
 
 
+def side_rows(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> list:
+    """The rows of a side table on the driver, to go to the tasks with a function; its size is checked."""
+    rows = side.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise SideInputTooLarge(f"side input has more than {max_rows} rows")
+    return rows
+
+
 def side_array(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Column:
     """Scalar-subquery column holding ``array<struct<side columns>>``."""
     check_side_size(side, max_rows)
