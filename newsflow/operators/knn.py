@@ -7,18 +7,20 @@ Day-range KNN at scale
 A query vector published on day ``d`` is compared with the stored vectors of the
 days ``d - N .. d`` (whole UTC days, both ends included).  The distances are
 metrics in disguise: a cosine distance of ``t`` is a distance of ``sqrt(2 t)``
-between normalised vectors, L2 is squared.  So the stored vectors are parted into
+between normalised vectors, L2 is squared.  So a task parts its stored vectors into
 cells around ``pivots`` vectors, and a cell's members lie between two distances
 from its pivot.  By the triangle inequality a query meets a cell only if its own
-distance from the pivot is within the threshold of that range; cells of a day that
-are out of reach are skipped.  (IP is no metric: every cell is met.)
-
-A cell of a day is cut into blocks of at most ``block_rows`` vectors, so a day or a
-cell that holds a third of all rows only gets more blocks.  Each stored vector is
-shuffled once, each query once for each block it meets; a task holds one block and
-streams its queries past it, one matrix product an Arrow batch.  Where ``k`` hits are
-asked for, or the best alone, no block gives a query more.  Results are exact: no pair
-in reach is left out, nothing is sampled or capped but the choice of the pivots.
+distance from the pivot is within the threshold of that range; cells out of reach
+are skipped.  (IP is no metric: every cell is met.)
+
+A task holds one part of a day, at most ``PART_VALUES`` numbers, and streams a slice
+of the day's queries past it, one matrix product for ``block_rows`` vectors.  A day
+has as many slices as its share of the stored vectors asks for, so a day that holds
+most of them is still dealt over the cluster.  A stored vector is shuffled once for
+each slice of its day, a query once for each part of its days, however many blocks
+the part has; where ``k`` hits are asked for, or the best alone, no part gives a query
+more.  Results are exact: no pair in reach is left out, nothing is sampled or capped
+but the choice of the pivots.
 """
 
 from __future__ import annotations
@@ -108,6 +110,8 @@ def _distances(q: np.ndarray, c: np.ndarray, space: str) -> np.ndarray:
         return 1.0 - dot / (nq * nc)
 
 
+PART_VALUES = 1 << 24  # numbers of the stored vectors that a task holds
+SLICES = 4  # slices of the queries for each core, over all days
 PIVOTS_MAX = 256  # the pivots are held by every task: 256 vectors
 
 
@@ -133,29 +137,40 @@ def _vectors_of(column: pa.Array) -> np.ndarray:
     return np.array(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
-def _pivots(vectors: DataFrame, block_rows: int, space: str) -> np.ndarray:
-    """The vectors of the least id hashes, one for each block of rows, ``PIVOTS_MAX`` at most."""
-    n = min(PIVOTS_MAX, max(1, vectors.count() // block_rows))
+def _pivots(vectors: DataFrame, rows: int, block_rows: int, space: str) -> np.ndarray:
+    """The finite ones of the vectors of the least id hashes, one for each block of rows, ``PIVOTS_MAX`` at most."""
+    n = min(PIVOTS_MAX, max(1, rows // block_rows))
     rows = vectors.where("data IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(n).select("data").collect()
-    return _unit(np.array([r["data"] for r in rows], dtype=np.float64), space) if rows else np.empty((0, 0))
+    if not rows:
+        return np.empty((0, 0))
+    x = _unit(np.array([r["data"] for r in rows], dtype=np.float64), space)
+    finite = x[np.isfinite(x).all(1)]
+    return finite if len(finite) else np.zeros((1, x.shape[1]))
 
 
-def _cells(df: DataFrame, pivots: np.ndarray, space: str, every: bool) -> DataFrame:
-    """``df`` with its distances from the pivots: of all (``pivot_distances``), or its cell and that cell's."""
-    def measure(batches):
-        for b in batches:
-            x = _unit(_vectors_of(b["data"]), space)
-            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
-            own = [b[c] for c in ("id", "day", "data")]
-            if every:
-                more = [pa.ListArray.from_arrays(np.arange(0, d.size + 1, d.shape[1], dtype=np.int32), pa.array(d.reshape(-1)))]
-                names = ["pivot_distances"]
-            else:
-                cell = d.argmin(1)
-                more, names = [pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])], ["cell", "apart"]
-            yield pa.record_batch([*own, *more], names=["id", "day", "data", *names])
-    extra = "pivot_distances array<double>" if every else "cell int, apart double"
-    return df.where("data IS NOT NULL").mapInArrow(measure, f"id long, day date, data array<float>, {extra}")
+def _apart(x: np.ndarray, pivots: np.ndarray, space: str) -> np.ndarray:
+    """Distances of vectors from the pivots."""
+    x = _unit(x, space)
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
+
+
+def _blocks(ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, space: str, rows: int) -> list[tuple]:
+    """Stored vectors as blocks (cell, least and largest distance from its pivot, ids, vectors) of one cell each.
+
+    A vector that is not finite is in no reach; without a metric all are one cell.
+    """
+    if space == "IP":
+        return [(0, 0.0, np.inf, ids[at:at + rows], x[at:at + rows]) for at in range(0, len(ids), rows)]
+    cell, own = np.empty(len(ids), np.int64), np.empty(len(ids))
+    for at in range(0, len(ids), 8192):
+        d = _apart(x[at:at + 8192], pivots, space)
+        cell[at:at + 8192] = d.argmin(1)
+        own[at:at + 8192] = d.min(1)
+    order = np.argsort(cell, kind="stable")
+    order = order[np.isfinite(own[order])]
+    edges = np.searchsorted(cell[order], np.arange(len(pivots) + 1))
+    cuts = [(c, order[at:min(at + rows, hi)]) for c, (lo, hi) in enumerate(zip(edges, edges[1:])) for at in range(lo, hi, rows)]
+    return [(c, own[part].min(), own[part].max(), ids[part], x[part]) for c, part in cuts]
 
 
 def _best_rows(d: np.ndarray, ok: np.ndarray, ids: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -165,11 +180,16 @@ def _best_rows(d: np.ndarray, ok: np.ndarray, ids: np.ndarray, k: int | None) ->
         return qi, ci
     order = np.lexsort((ids[ci], d[qi, ci], qi))
     qi, ci = qi[order], ci[order]
-    first = np.flatnonzero(np.diff(qi, prepend=-1))
-    rank = np.arange(len(qi)) - np.repeat(first, np.diff(np.append(first, len(qi))))
+    rank = _rank(qi)
     return qi[rank < k], ci[rank < k]
 
 
+def _rank(groups: np.ndarray) -> np.ndarray:
+    """Place of each row in its run of equal values, from 0."""
+    first = np.flatnonzero(np.diff(groups, prepend=-1))
+    return np.arange(len(groups)) - np.repeat(first, np.diff(np.append(first, len(groups))))
+
+
 def knn_pairs(queries: DataFrame, vectors: DataFrame, timeframe_days: int, threshold: float,
               space: str = "COSINE", block_rows: int = 4096, smaller_only: bool = False,
               exclude_self: bool = False, k: int | None = None) -> DataFrame:
@@ -177,68 +197,85 @@ def knn_pairs(queries: DataFrame, vectors: DataFrame, timeframe_days: int, thres
     ``day - N .. day`` with ``distance <= threshold`` (float32 comparison).
 
     ``queries`` and ``vectors`` have columns (id, day, data).  With
-    ``smaller_only`` only candidates with a smaller id count, and each block
-    emits at most the best hit per query; with ``k`` at most its ``k`` best.
+    ``smaller_only`` only candidates with a smaller id count, and each part of a
+    day emits at most the best hit per query; with ``k`` at most its ``k`` best.
     """
     check_space(space)
     spark = vectors.sparkSession
     q, c = (df.select(*[F.col(x).alias(x) for x in ("id", "day", "data")]) for df in (queries, vectors))
     q, c = (df.withColumn("data", F.col("data").cast("array<float>")).where("day IS NOT NULL") for df in (q, c))
-    pivots = _pivots(c, block_rows, space)
+    rows = c.count()
+    pivots = _pivots(c, rows, block_rows, space)
     if not len(pivots):
         return spark.createDataFrame([], "qid long, id long, distance float")
     reach, limit, top = _reach(threshold, space), np.float32(threshold), 1 if smaller_only else k
-    key = ["c_day", "cell", "block"]
-
-    placed = _cells(c, pivots, space, every=False)
-    # one row a day and cell: how many blocks, and between which distances from the pivot its members lie
-    cells = placed.groupBy("day", "cell").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("nb"), F.min("apart").alias("lo"),
-        F.max("apart").alias("hi"))
-    cells = bounded_broadcast(cells.withColumnRenamed("day", "c_day"))
-    stored = (placed.withColumnRenamed("day", "c_day").join(cells.select("c_day", "cell", "nb"), ["c_day", "cell"])
-              .select("c_day", "cell", F.pmod(F.xxhash64("id"), "nb").cast("int").alias("block"), F.lit(0).alias("side"),
-                      "id", "data"))
-    asked = (_cells(q, pivots, space, every=True)
-             .withColumn("c_day", F.explode(day_range("day", timeframe_days))).join(cells, "c_day")
-             .withColumn("_d", F.get("pivot_distances", "cell"))
-             .where((F.col("_d") - reach <= F.col("hi")) & (F.col("_d") + reach >= F.col("lo")))
-             .select("c_day", "cell", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"),
-                     F.lit(1).alias("side"), "id", "data"))
+    q, c = (df.where("data IS NOT NULL") for df in (q, c))
+    key = ["c_day", "part", "slice"]
+
+    # one row a day: into how many parts its vectors go, and into how many slices its queries
+    part_rows = max(block_rows, PART_VALUES // max(1, pivots.shape[1]))
+    slices = SLICES * spark.sparkContext.defaultParallelism
+    days = bounded_broadcast(c.groupBy(F.col("day").alias("c_day")).agg(F.count(F.lit(1)).alias("n")).select(
+        "c_day", F.ceil(F.col("n") / F.lit(part_rows)).cast("int").alias("parts"),
+        F.ceil(F.col("n") * F.lit(slices) / F.lit(rows)).cast("int").alias("slices")))
+    stored = (c.withColumnRenamed("day", "c_day").join(days, "c_day")
+              .select("c_day", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"),
+                      F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("side"), "id", "data"))
+    asked = (q.withColumn("c_day", F.explode(day_range("day", timeframe_days))).join(days, "c_day")
+             .select("c_day", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                     F.pmod(F.xxhash64("id"), "slices").cast("int").alias("slice"), F.lit(1).alias("side"), "id", "data"))
+
+    def hits_of(qid, data, blocks):
+        apart = _apart(data, pivots, space) if space != "IP" else np.zeros((len(qid), 1))
+        found = []
+        for cell, lo, hi, ids, x in blocks:
+            met = np.flatnonzero((apart[:, cell] - reach <= hi) & (apart[:, cell] + reach >= lo))
+            if not len(met):
+                continue
+            d = _distances(data[met], x, space).astype(np.float32)
+            ok = d <= limit  # a distance that is no number is no hit
+            if smaller_only:
+                ok &= ids[None, :] < qid[met, None]
+            elif exclude_self:
+                ok &= ids[None, :] != qid[met, None]
+            qi, ci = _best_rows(d, ok, ids, top)
+            if top is None:  # every hit counts: they leave block by block
+                yield qid[met[qi]], ids[ci], d[qi, ci]
+            elif len(qi):
+                found.append((met[qi], ids[ci], d[qi, ci]))
+        if found:
+            qi, ids, d = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((ids, d, qi))
+            order = order[_rank(qi[order]) < top]
+            yield qid[qi[order]], ids[order], d[order]
 
     def search(batches):
-        block, ids, x = None, None, None
+        group, blocks = None, None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
             keys = list(zip(*(b[n].to_pylist() for n in key)))
             side = np.array(b["side"])
-            # runs of one block and side
+            # runs of one part, slice and side
             cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1] or side[i] != side[i - 1]), len(keys)]
             for lo, hi in zip(cuts, cuts[1:]):
-                part = b.slice(lo, hi - lo)
-                own, data = np.array(part["id"]), _vectors_of(part["data"])
-                if keys[lo] != block:
-                    block, held, x = keys[lo], [], None
+                rows = b.slice(lo, hi - lo)
+                own, data = np.array(rows["id"]), _vectors_of(rows["data"])
+                if keys[lo] != group:
+                    group, held, blocks = keys[lo], [], None
                 if side[lo] == 0:
                     held.append((own, data))
                     continue
-                if not held:
-                    continue
-                if x is None:
-                    ids, x = np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held])
+                if blocks is None:
+                    blocks = _blocks(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held]),
+                                     pivots, space, block_rows) if held else []
+                    held = []
                 for at in range(0, len(own), 512):
-                    qid = own[at:at + 512]
-                    d = _distances(data[at:at + 512], x, space).astype(np.float32)
-                    ok = d <= limit  # a distance that is no number is no hit
-                    if smaller_only:
-                        ok &= ids[None, :] < qid[:, None]
-                    elif exclude_self:
-                        ok &= ids[None, :] != qid[:, None]
-                    qi, ci = _best_rows(d, ok, ids, top)
-                    yield pa.record_batch([pa.array(qid[qi]), pa.array(ids[ci]), pa.array(d[qi, ci])],
-                                          names=["qid", "id", "distance"])
-
-    return (stored.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "side")
+                    for hits in hits_of(own[at:at + 512], data[at:at + 512], blocks):
+                        yield pa.record_batch([pa.array(x) for x in hits], names=["qid", "id", "distance"])
+
+    # a fixed number of partitions: the work is the product of both sides, which sizes do not show
+    width = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return (stored.unionByName(asked).repartition(width, *key).sortWithinPartitions(*key, "side")
             .mapInArrow(search, "qid long, id long, distance float"))
 
 
