@@ -69,6 +69,22 @@ def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[starts], np.diff(np.append(starts, len(codes)))
 
 
+def trigrams_among(wanted: set[str]):
+    """A column function: the distinct trigrams of ``letters_of`` a text that are in ``wanted``, sorted."""
+    names = sorted((t for t in wanted if len(t) == 3), key=str.encode)
+    codes = np.array([int(packed_trigrams(t)[1]) for t in names], np.int64)
+
+    def one(letters):
+        place = np.searchsorted(codes, own := packed_trigrams(letters))
+        hit = place < len(codes)
+        return [names[k] for k in np.unique(place[hit][codes[place[hit]] == own[hit]])]
+
+    @F.arrow_udf("array<string>")
+    def among(letters: pa.Array) -> pa.Array:
+        return pa.array([one(x) for x in letters.to_pylist()], pa.list_(pa.string()))
+    return among.asNondeterministic()
+
+
 def trigram_text(code: int) -> str:
     mask = (1 << POINT_BITS) - 1
     return chr(code >> 2 * POINT_BITS) + chr(code >> POINT_BITS & mask) + chr(code & mask)

@@ -8,19 +8,22 @@ JVM-side, so results are reproducible and checkable by SQL.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from newsflow.functions.text import effective_title, go_trim, has_text, language_allowed
-from newsflow.operators.common import bounded_broadcast
-from newsflow.operators.lang import trigrams
-from newsflow.operators.side import explode_side
+from newsflow.operators.common import bounded_broadcast, small_batches
+from newsflow.operators.lang import letters_of, trigrams, trigrams_among
+from newsflow.operators.side import explode_side, side_rows
 
 PandasModel = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -155,8 +158,10 @@ def zero_shot_classify(articles: DataFrame, templates: DataFrame, labels: DataFr
         pairs = explode_side(arts, hyp)
         scored = _run_model(pairs, model, "id long, template_id long, label_id long, multi_class boolean, logit double")
     else:
-        # trigram sets once per article and once per label, then one intersect per pair
-        arts = arts.select("id", F.array_distinct(F.coalesce(trigrams("title_eff"), F.array())).alias("_tri"))
+        # the article's trigrams that any label has, and each label's, once; then one intersect per pair
+        small_batches(articles.sparkSession)
+        wanted = {t for r in side_rows(hyp.select(trigrams("label").alias("t"))) for t in r["t"] or ()}
+        arts = arts.select("id", trigrams_among(wanted)(letters_of("title_eff")).alias("_tri"))
         hyp = hyp.withColumn("_ltri", F.array_distinct(F.coalesce(trigrams("label"), F.array())))
         pairs = explode_side(arts, hyp.select("template_id", "label_id", "multi_class", "_ltri"))
         scored = pairs.select("id", "template_id", "label_id", "multi_class",
@@ -279,17 +284,45 @@ def classify_text(articles: DataFrame, keywords: DataFrame | None = None,
 
 # ----------------------------------------------------------------- M-6
 
-def hashed_token_vector(col, dim: int) -> Column:
-    """Bucket index of each token: first 28 bits of its MD5, modulo ``dim``."""
-    return F.transform(tokens(col), lambda t: (F.conv(F.substring(F.md5(t), 1, 7), 16, 10).cast("long") % dim).cast("int"))
+def token_words(col) -> Column:
+    """The ``tokens`` of a text, joined by single spaces."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.trim(F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]+", " "))
+
+
+KNOWN_TOKENS = 1_000_000  # buckets of tokens that a Python worker keeps
+
+
+def hashed_token_counts(dim: int):
+    """A column function: how many tokens of ``token_words`` fall into each of ``dim`` buckets.
+
+    A token's bucket is the first 28 bits of its MD5, modulo ``dim``; a worker hashes a token once.
+    """
+    class Buckets(dict):
+        def __missing__(self, token):
+            if len(self) >= KNOWN_TOKENS:
+                self.clear()
+            found = self[token] = int(hashlib.md5(token.encode()).hexdigest()[:7], 16) % dim
+            return found
+    known: dict[str, int] = {}
+
+    @F.arrow_udf("array<double>")
+    def counts(words: pa.Array) -> pa.Array:
+        nonlocal known
+        if not known:
+            known = Buckets()
+        rows = [np.bincount([known[t] for t in x.split(" ")] if x else [], minlength=dim) for x in words.to_pylist()]
+        flat = np.concatenate(rows).astype(np.float64) if rows else np.empty(0)
+        return pa.ListArray.from_arrays(np.arange(0, dim * len(rows) + 1, dim, dtype=np.int32), pa.array(flat))
+    return counts.asNondeterministic()  # so that the optimizer does not run it for each mention of its result
 
 
 def vectorize(articles: DataFrame, dim: int = 64, results: DataFrame | None = None,
               model: PandasModel | None = None) -> DataFrame:
     """M-6: (web_article_id, data array<float>, publish_day) L2-normalised vectors.
 
-    Default model: hashed token counts.  Counting is an ``aggregate`` over
-    the token buckets inside one expression, no explode or shuffle.
+    Default model: hashed token counts, counted row by row in Arrow batches,
+    no explode or shuffle.
     """
     from newsflow.operators.knn import l2_normalize
     arts = with_title(pending_for(articles, results))
@@ -297,11 +330,8 @@ def vectorize(articles: DataFrame, dim: int = 64, results: DataFrame | None = No
         vec = _run_model(arts.select("id", "title_eff", "publish_date"), model,
                          "id long, data array<float>, publish_date timestamp")
     else:
-        buckets = hashed_token_vector("title_eff", dim)
-        zeros = F.array_repeat(F.lit(0.0), dim)
-        counts = F.aggregate(buckets, zeros, lambda acc, b: F.transform(
-            acc, lambda x, i: F.when(i == b, x + 1.0).otherwise(x)))
-        vec = arts.select("id", counts.alias("data"), "publish_date")
+        small_batches(articles.sparkSession)
+        vec = arts.select("id", hashed_token_counts(dim)(token_words("title_eff")).alias("data"), "publish_date")
     return vec.select(F.col("id").alias("web_article_id"),
                       l2_normalize("data").alias("data"),
                       F.to_date("publish_date").alias("publish_day"))
