@@ -118,7 +118,7 @@ def estimate(sums: DataFrame, scale: float) -> DataFrame:
     """Per row of ``sums``: mean u, means m0.., slopes b0.. on u, the Cholesky factor l00, l10, .. of the floored
     residual covariance and its log determinant."""
     p = range(len(FEATURES))
-    cols = ["wu / w AS mu", *[f"w{i} / w AS m{i}" for i in p], "greatest((wuu - w * mu * mu) / n, 1e-6D) AS vu",
+    cols = ["try_divide(wu, w) AS mu", *[f"try_divide(w{i}, w) AS m{i}" for i in p], "greatest((wuu - w * mu * mu) / n, 1e-6D) AS vu",
             *[f"(wu{i} - w * mu * m{i}) / n AS v{i}" for i in p], *[f"v{i} / vu AS b{i}" for i in p]]
     for i, j in PAIRS:
         floor = FLOORS[i] ** 2
