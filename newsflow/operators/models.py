@@ -2,8 +2,8 @@
 
 Each operator takes an optional ``model``: a Python callable over pandas
 batches, run through ``mapInPandas`` (Arrow batches; ``per_worker`` builds one once per
-Python worker).  Without a model, a deterministic Spark-only default runs entirely
-JVM-side, so results are reproducible and checkable by SQL.
+Python worker).  Without a model, a deterministic default runs in the JVM, its counts of
+tokens and trigrams in NumPy, so results are reproducible and checkable by SQL.
 """
 
 from __future__ import annotations
