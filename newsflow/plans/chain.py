@@ -7,9 +7,9 @@ is the end, and any other name leads to the branch of that name (duplicates and
 originals part so).  The frame keeps one column ``outcome_<stage>`` a stage.  A simple
 stage may give only the ids it forwards; the others then have the outcome 'stop'.
 
-Between stages the frame is checkpointed into the shared folder of the session, so
+Between stages the frame is written into the shared folder of the session, so
 the plan of a stage reads one table whatever came before, and an executor lost in
-stage seven does not run the model of stage one again.  A stage checkpoints its
+stage seven does not run the model of stage one again.  A stage writes its
 result rows once: its outcomes and its table are then two reads of one evaluation.
 Stages are plain functions, so a custom stage (M-11) is any callable of that shape.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import effective_title, has_text
-from newsflow.session import cut_lineage
+from newsflow.session import stored_frame
 
 NEXT = "next"
 
@@ -59,7 +59,7 @@ class ChainRun:
         return self.articles.select("id", F.explode(every).alias("s")).where("s.outcome IS NOT NULL").select("id", "s.*")
 
 
-def run_chain(articles: DataFrame, stages: list[Stage], cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> ChainRun:
+def run_chain(articles: DataFrame, stages: list[Stage], cut: Callable[[DataFrame], DataFrame] = stored_frame) -> ChainRun:
     """Run ``stages`` in order over ``articles`` (unique ``id``); ``cut`` writes the frame after each stage."""
     own = articles.columns
     frame = articles.withColumn("_way", F.lit(NEXT))
@@ -125,7 +125,7 @@ def translation_stage(langs, target="en", lexicon=None, model=None) -> Stage:
     from newsflow.operators.models import translate
 
     def stage(a: DataFrame) -> StageResult:
-        t = cut_lineage(translate(a, langs, target, lexicon=lexicon, model=model)
+        t = stored_frame(translate(a, langs, target, lexicon=lexicon, model=model)
                         .select("id", "outcome", "translated_title", "translation_language"))
         return StageResult("translator", outcomes=outcome(t, F.col("outcome"), onward("pass", "translated")),
                            changes=t.where("outcome = 'translated'").drop("outcome"))
@@ -140,7 +140,7 @@ def zero_shot_stage(templates, labels, results=None, model=None, replies=None) -
     from newsflow.operators.models import class_rows, classes_from_replies, repeated_label, zero_shot_classify
 
     def from_replies(a: DataFrame) -> StageResult:
-        checked = cut_lineage(classes_from_replies(a, templates, labels, replies, results))
+        checked = stored_frame(classes_from_replies(a, templates, labels, replies, results))
         own = a.select("id").join(checked.select("id", F.col("outcome").alias("_o")), "id", "left")
         return StageResult("zero_shot_classifier", class_rows(checked), outcomes=outcome(
             own, F.coalesce("_o", F.lit("skip")), onward("classified", "none")))
@@ -148,7 +148,7 @@ def zero_shot_stage(templates, labels, results=None, model=None, replies=None) -
     def stage(a: DataFrame) -> StageResult:
         if replies is not None:
             return from_replies(a)
-        rows = cut_lineage(zero_shot_classify(a, templates, labels, results, model))
+        rows = stored_frame(zero_shot_classify(a, templates, labels, results, model))
         out = settled(a, results, rows, "classified")
         bad = repeated_label(templates, labels) & (F.col("outcome") != "skip")
         return StageResult("zero_shot_classifier", rows, outcomes=out.select(
@@ -163,7 +163,7 @@ def text_class_stage(keywords=None, results=None, model=None, should_continue=No
 
     def stage(a: DataFrame) -> StageResult:
         rows, go = classify_text(a, keywords, results, model, should_continue)
-        rows = cut_lineage(rows)
+        rows = stored_frame(rows)
         out = settled(a, results, rows, "classified")
         if should_continue is not None:
             go = go.select(F.col("web_article_id").alias("id"), F.lit(True).alias("_go"))
@@ -181,7 +181,7 @@ def geo_stage(gazetteer) -> Stage:
 
     def stage(a: DataFrame) -> StageResult:
         known = F.col("country_code").isNotNull() if "country_code" in a.columns else F.lit(False)
-        found = cut_lineage(geo_parse(a.where(~known), gazetteer).where("country_code IS NOT NULL"))
+        found = stored_frame(geo_parse(a.where(~known), gazetteer).where("country_code IS NOT NULL"))
         own = a.select("id", known.alias("_known")).join(found.select("id", F.lit(True).alias("_made")), "id", "left")
         route = F.when(F.col("_known"), "skip").when(F.col("_made"), "found").otherwise("none")
         return StageResult("geo_parser", found, outcomes=outcome(own, route, onward("found", "none")),
@@ -193,7 +193,7 @@ def vector_stage(dim=64, results=None, model=None) -> Stage:
     from newsflow.operators.models import vectorize
 
     def stage(a: DataFrame) -> StageResult:
-        rows = cut_lineage(vectorize(a, dim, results, model))
+        rows = stored_frame(vectorize(a, dim, results, model))
         out = settled(a, results, rows, "vectorized")
         # a hook that gives no vector for a title ends the article's way
         return StageResult("vectorizer", rows, outcomes=out.withColumn("forward", F.when(F.col("outcome") == "vectorized", NEXT)))
@@ -211,8 +211,8 @@ def duplicate_stage(vectors: DataFrame | None = None, similarity_infos=None, tim
     from newsflow.operators.models import vectorize
 
     def stage(a: DataFrame) -> StageResult:
-        known = vectors if vectors is not None else cut_lineage((vector_of or (lambda x: vectorize(x, dim)))(a))
-        rows = cut_lineage(detect_duplicates(a, known, similarity_infos, timeframe_days, threshold))
+        known = vectors if vectors is not None else stored_frame((vector_of or (lambda x: vectorize(x, dim)))(a))
+        rows = stored_frame(detect_duplicates(a, known, similarity_infos, timeframe_days, threshold))
         own = a.select("id").join(rows.select(F.col("web_article_id").alias("id"), "parent_id", F.lit(True).alias("_made")),
                                   "id", "left")
         route = (F.when(F.col("_made").isNull(), "skip").when(F.col("parent_id").isNull(), "original")
@@ -227,6 +227,6 @@ def extraction_stage(rules, results=None, model=None) -> Stage:
     from newsflow.operators.models import extract_info
 
     def stage(a: DataFrame) -> StageResult:
-        rows = cut_lineage(extract_info(a, rules, results, model))
+        rows = stored_frame(extract_info(a, rules, results, model))
         return StageResult("information_extractor", rows, outcomes=settled(a, results, rows, "extracted"))
     return stage

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,14 @@ def cut_lineage(df, eager: bool = True):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored_frame(df):
+    """``df`` written into the shared checkpoint folder as compressed Parquet and read back.
+
+    Cuts the lineage like ``cut_lineage``; a reader opens only the columns it takes.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/newsflow/frame-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
